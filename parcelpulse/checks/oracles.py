@@ -363,7 +363,9 @@ FROM gauss"""
 
 BANDS = ", ".join(SPECTRAL_BANDS)
 SCALED = ", ".join(f"round({b} * scale + shift, 9) + 0e0 AS {b}" for b in SPECTRAL_BANDS)
-MASKED = ", ".join(f"CASE WHEN scl IN (4, 5) THEN {b} END AS {b}" for b in SPECTRAL_BANDS)
+MASKED = ", ".join(
+    f"CASE WHEN scl IN (4, 5) THEN CAST({b} AS DOUBLE) END AS {b}" for b in SPECTRAL_BANDS
+)
 SAMPLE = "parcel_key, item_id, y, x, px_seq"
 SUITABLE = [n for n in ALL if not {"swir16", "rededge3"} & set(INDICES[n].bands)]
 FOLDER = """CASE s_suppkey % 6 WHEN 0 THEN '1996-01-01_1996-12-31'

@@ -235,7 +235,8 @@ def scan_time_series(spark, sf):
 
 def stamped_cube(spark, sf, params):
     found = full_search(spark, sf, params=params)
-    cube, days = ts.masked_cube(fx.pixels(spark, sf), found, params, fx.GRID)
+    days_ok = usable(spark, sf, found, params)
+    cube, days = ts.masked_cube(fx.pixels(spark, sf), found, days_ok, params, fx.GRID)
     timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
     return series.stamp_provenance(timed, found.parcels)
 
@@ -322,7 +323,8 @@ def filter_valid_items(spark, sf):
 
 
 def mask_clear(spark, sf):
-    return ix.mask_clear(fx.pixels(spark, sf), SPECTRAL_BANDS).drop("scl")
+    masked = ix.mask_clear(fx.pixels(spark, sf), SPECTRAL_BANDS)
+    return masked.select(*SAMPLE, *[F.col(b).cast("double").alias(b) for b in SPECTRAL_BANDS])
 
 
 def mask_nodata(spark, sf):
@@ -520,7 +522,7 @@ def clip_pixels(spark, sf):
 
 
 def usable(spark, sf, found, params=PARAMS):
-    return ts.usable_parcel_days(fx.pixels(spark, sf), found, fx.GRID, params)
+    return ts.usable_parcel_days(fx.pixels(spark, sf), found, params, fx.GRID)
 
 
 def semi_join_usable_days(spark, sf):

@@ -20,10 +20,9 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def index_value(name: str) -> Column:
     """The index over the band columns of the frame it is used in."""
     index = INDICES[name]
-    a = F.col(index.plus).cast("double")
-    b = F.col(index.minus).cast("double")
+    a, b = F.col(index.plus).cast("double"), F.col(index.minus).cast("double")
     if index.soil:
-        return safe_ratio(a - b, a + b + F.lit(index.soil)) * F.lit(1 + index.soil)
+        return safe_ratio(a - b, a + b + index.soil) * (1 + index.soil)
     return safe_ratio(a - b, a + b)
 
 

@@ -75,12 +75,10 @@ def search(
 
     Parcels with dates of their own are matched to scenes by date in the spatial join.
     """
-    found = filter_valid_items(
-        filter_cloud_cover(filter_collection(scenes, collection), max_cloud)
-    )
     if start is not None and end is not None:
-        found = filter_date_range(found, start, end)
-    return found
+        scenes = filter_date_range(scenes, start, end)
+    scenes = filter_collection(filter_valid_items(scenes), collection)
+    return filter_cloud_cover(scenes, max_cloud)
 
 
 def with_days(scenes: DataFrame) -> DataFrame:

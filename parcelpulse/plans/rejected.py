@@ -16,6 +16,7 @@ from parcelpulse.plans.time_series import (
     with_class_band,
 )
 from parcelpulse.schema import CLASS_BAND, Grid
+from parcelpulse.session import hold
 
 REJECTED_BANDS = ["red", "nir"]
 
@@ -23,16 +24,14 @@ REJECTED_BANDS = ["red", "nir"]
 def cube_of_rejected(
     pixels: DataFrame,
     found: Search,
+    usable: DataFrame,
     params: Params,
     grid: Grid,
     classes: DataFrame | None = None,
     class_grid: Grid | None = None,
 ) -> DataFrame:
     """Red, nir (scaled, clipped, not masked) and class of all dates of rejected parcels."""
-    usable = usable_parcel_days(
-        pixels if classes is None else classes, found, class_grid or grid, params
-    )
-    days = found.days.join(usable, "parcel_key", "left_anti")
+    days = hold(found.days.join(usable, "parcel_key", "left_anti"), "rejected-days")
     px = with_class_band(pixels, classes, grid, class_grid)
     cube = spectral_cube(px, found, days, grid, REJECTED_BANDS, params.per_item_scale)
     timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
@@ -55,7 +54,8 @@ def rejected_cube(
 ) -> DataFrame:
     params = Params(indices=["NDVI"], collection=collection, **options)
     found = search(parcels, scenes, params, start, end, utm)
-    return cube_of_rejected(pixels, found, params, grid, classes, class_grid)
+    usable = usable_parcel_days(pixels, found, params, grid, classes, class_grid)
+    return cube_of_rejected(pixels, found, usable, params, grid, classes, class_grid)
 
 
 def rejected_ndvi(cube: DataFrame) -> DataFrame:

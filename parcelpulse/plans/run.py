@@ -9,8 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelpulse.operators import clarity, series
 from parcelpulse.params import Params
 from parcelpulse.plans.rejected import cube_of_rejected
-from parcelpulse.plans.time_series import finish_series, masked_cube, search
+from parcelpulse.plans.time_series import (
+    finish_series,
+    masked_cube,
+    search,
+    usable_parcel_days,
+)
 from parcelpulse.schema import Grid
+from parcelpulse.session import hold
 from parcelpulse.sources.parcels import read_parcels
 from parcelpulse.sources.results import read_cube, write_cube, write_series
 
@@ -43,7 +49,11 @@ def run_folders(
     """
     parcels = read_parcels(spark, root, file_format)
     found = search(parcels, scenes, params, utm=utm)
-    cube, days = masked_cube(pixels, found, params, grid, classes, class_grid)
+    coarse = {"classes": classes, "class_grid": class_grid}
+    usable = usable_parcel_days(pixels, found, params, grid, **coarse)
+    if params.debug_cloud:
+        usable = hold(usable, "usable")
+    cube, days = masked_cube(pixels, found, usable, params, grid, **coarse)
     if params.save_cube:
         timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
         write_cube(series.stamp_provenance(timed, found.parcels), paths.cube)
@@ -55,7 +65,7 @@ def run_folders(
         cube = saved.select(*cube.columns)
     if params.debug_cloud:
         write_cube(
-            cube_of_rejected(pixels, found, params, grid, classes, class_grid),
+            cube_of_rejected(pixels, found, usable, params, grid, **coarse),
             paths.rejected,
         )
     return write_series(finish_series(cube, days, found.parcels, params), paths.series)

@@ -11,7 +11,7 @@ from parcelpulse.functions.indices import add_indices, computable, mask_clear
 from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
 from parcelpulse.params import Params
 from parcelpulse.schema import CLASS_BAND, Grid, bands_for
-from parcelpulse.session import hold
+from parcelpulse.session import broadcast_if_small, hold
 
 ITEM_COLUMNS = ["item_id", "footprint_id", "solar_day", "utc_day", "item_seq"]
 FOUND_COLUMNS = [
@@ -63,21 +63,35 @@ def search(
     if utm:
         parcels = spatial.in_batch_utm(parcels, params.batch_size_deg)
     parcels = hold(parcels, "parcels")
+    if start is None and end is None:
+        start, end = parcels.agg(F.min("start"), F.max("end")).first()
     items, footprints = find_items(scenes, params, start, end)
     matches = spatial.match_footprints(parcels, footprints)
     days = hold(spatial.parcel_days(matches, items), "days")
     return Search(parcels, items, days, "rings_utm" if utm else "rings")
 
 
+def items_on(found: Search, days: DataFrame) -> DataFrame:
+    """The scenes that some parcel needs on the given days.
+
+    Pixels of all other scenes fall out at the first join, before anything is shuffled.
+    """
+    needed = days.select("footprint_id", "solar_day", "utc_day").distinct()
+    return hold(
+        found.items.join(needed, ["footprint_id", "solar_day", "utc_day"], "left_semi"),
+        "needed-items",
+    )
+
+
 def matched_pixels(
     pixels: DataFrame, cells: DataFrame, items: DataFrame, days: DataFrame
 ) -> DataFrame:
-    """Pixels of the items found, inside a parcel, on one of that parcel's days.
+    """Pixels of the items, inside a parcel, on one of that parcel's days.
 
-    All three are equi-joins. The item join comes first: it drops the pixels of cloudy or
-    foreign scenes before anything else moves, and the scene side is narrow.
+    All three are equi-joins on keys that no single parcel, scene or day dominates, except
+    the first, which is a broadcast while the scene table is small. ``items`` is held.
     """
-    of_items = pixels.join(items, "item_id")
+    of_items = pixels.join(broadcast_if_small(items), "item_id")
     return spatial.clip_pixels(of_items, cells).join(days, DAY_KEYS)
 
 
@@ -95,17 +109,26 @@ def class_mosaic(
     px = matched_pixels(
         sample_columns(pixels, [CLASS_BAND]),
         cells,
-        found.items.select(*ITEM_COLUMNS),
+        items_on(found, found.days).select(*ITEM_COLUMNS),
         found.days.select(*DAY_KEYS),
     )
     return mosaic.solar_day_mosaic(px, [CLASS_BAND])
 
 
 def usable_parcel_days(
-    pixels: DataFrame, found: Search, grid: Grid, params: Params
+    pixels: DataFrame,
+    found: Search,
+    params: Params,
+    grid: Grid,
+    classes: DataFrame | None = None,
+    class_grid: Grid | None = None,
 ) -> DataFrame:
-    """(parcel_key, solar_day, clear_ratio) of the days that pass the clear-sky test."""
-    ratios = clarity.clear_ratio(class_mosaic(pixels, found, grid))
+    """(parcel_key, solar_day, clear_ratio) of the days that pass the clear-sky test.
+
+    Reads the class table on its own grid when there is one, else the pixels' class band.
+    """
+    source = pixels if classes is None else classes
+    ratios = clarity.clear_ratio(class_mosaic(source, found, class_grid or grid))
     return clarity.usable_days(ratios, params.min_clear)
 
 
@@ -123,11 +146,12 @@ def spectral_cube(
     rides on the small day or item table, so the pixels need no join for it.
     """
     cells = spatial.parcel_cells(found.parcels, grid, found.rings)
-    items = found.items.select(*ITEM_COLUMNS)
+    items = items_on(found, days)
     wanted = days.select(*DAY_KEYS)
     if per_item_scale:
-        items = found.items.select(*ITEM_COLUMNS, "scale", "offset")
+        items = items.select(*ITEM_COLUMNS, "scale", "offset")
     else:
+        items = items.select(*ITEM_COLUMNS)
         wanted = wanted.join(mosaic.first_item_scale(days), "parcel_key")
     px = matched_pixels(sample_columns(pixels, [*bands, CLASS_BAND]), cells, items, wanted)
     return mosaic.reflectance_mosaic(px, bands, [CLASS_BAND])
@@ -147,6 +171,7 @@ def with_class_band(
 def masked_cube(
     pixels: DataFrame,
     found: Search,
+    usable: DataFrame,
     params: Params,
     grid: Grid,
     classes: DataFrame | None = None,
@@ -154,14 +179,11 @@ def masked_cube(
 ) -> tuple[DataFrame, DataFrame]:
     """(cube, days): masked bands and indices per cell on the usable days, and those days.
 
-    Two passes over the pixels: the narrow class band decides which days are worth
-    reading, and only their pixels take part in the wide pass. The days are held, since
-    the second pass needs them for its join, its scale and its time stamps.
+    This is the second of two passes over the pixels: the first, narrow one over the class
+    band has found the days worth reading, and only their pixels take part here. The days
+    are held, since the join, the scale and the time stamps all need them.
     """
     bands = bands_for(params.indices)
-    usable = usable_parcel_days(
-        pixels if classes is None else classes, found, class_grid or grid, params
-    )
     days = hold(
         clarity.keep_usable(found.days, usable, params.utc_day_match), "usable-days"
     )
@@ -211,5 +233,6 @@ def parcel_time_series(
     """
     params = Params(indices=indices, collection=collection, **options)
     found = search(parcels, scenes, params, start, end, utm)
-    cube, days = masked_cube(pixels, found, params, grid, classes, class_grid)
+    usable = usable_parcel_days(pixels, found, params, grid, classes, class_grid)
+    cube, days = masked_cube(pixels, found, usable, params, grid, classes, class_grid)
     return finish_series(cube, days, found.parcels, params)

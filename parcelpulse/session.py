@@ -6,23 +6,24 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Settings the plans are written for. Joins carry no broadcast hints: Catalyst and AQE
-# broadcast a side only when its measured size is below these thresholds, and split
-# skewed partitions of the sort-merge join they use otherwise.
+# Settings the plans are written for. Catalyst and AQE broadcast a side only when its
+# measured size is below the thresholds, and split skewed partitions of the sort-merge
+# join they use otherwise. The one hint in the plans is checked by broadcast_if_small.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites of column expressions cost driver time and only serve error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# On a cluster the filtered scene table (some 100 bytes per scene) is worth broadcasting
-# up to a few hundred MB, because the other side of that join is the pixel table.
+# For a cluster: partitions that fit executor memory, and enough of them for 100 TB.
 CLUSTER_SETTINGS = {
     **SETTINGS,
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "128m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -75,3 +76,16 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Rows of a narrow held table that may be broadcast: some hundred bytes each in memory.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for a held table that is proven small; leave it alone otherwise.
+
+    Counting a held table reads Parquet footers only. Meant for the small side of a join
+    with the pixels, where a wrong guess would shuffle the pixels for nothing.
+    """
+    return F.broadcast(held) if held.count() <= max_rows else held

@@ -22,6 +22,7 @@ def _plain(value):
     """One spelling for missing values and for whole numbers that pandas made floats."""
     if pd.isna(value):
         return None
+    value = getattr(value, "item", lambda: value)()
     if isinstance(value, float) and value.is_integer():
         return int(value)
     return value
