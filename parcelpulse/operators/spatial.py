@@ -184,46 +184,71 @@ def parcel_days(matches: DataFrame, items: DataFrame) -> DataFrame:
 # --- parcels and cells -------------------------------------------------------------
 
 
+def _rows_to_cells(rows: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """One row per cell from one row per grid row and its x_first and x_last.
+
+    The rows are shuffled first: a very large parcel is filled by many tasks.
+    """
+    spread = rows.select(*keys, "y", "x_first", "x_last", *carried).repartition(*keys, "y")
+    return spread.withColumn("x", F.explode(F.sequence("x_first", "x_last")))
+
+
 def parcel_cells(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
     """(parcel_key[, epsg], y, x) of the cells whose centre lies in the polygon.
 
     Scan conversion: the edges that cross a row of cells are found once per row, so a
     cell only counts crossings to its right. The clip is then an equi-join, and the polygon
-    test runs once per cell instead of once per pixel and date. Rows are shuffled before
-    they become cells: one very large parcel is filled by many tasks.
+    test runs once per cell instead of once per pixel and date.
     """
     keys = ["parcel_key"] + (["epsg"] if rings == "rings_utm" else [])
     res = grid.resolution
-
-    def first(lo):
-        return F.floor(F.col(lo) / res) - 1
-
-    def last(hi):
-        return F.floor(F.col(hi) / res) + 1
-
     rows = (
         with_bounds(parcels, rings)
         .withColumn("edges", F.expr(geometry.edges(rings)))
         .select(
             *keys,
             "edges",
-            first("minx").alias("x_first"),
-            last("maxx").alias("x_last"),
-            F.explode(F.sequence(first("miny"), last("maxy"))).alias("y"),
+            F.explode(
+                F.sequence(F.floor(F.col("miny") / res) - 1, F.floor(F.col("maxy") / res) + 1)
+            ).alias("y"),
         )
-    )
-    crossings = F.expr(geometry.row_crossings("edges", grid.centre("y")))
-    scan = (
-        rows.select(*keys, "y", "x_first", "x_last", crossings.alias("crossings"))
+        .withColumn("crossings", F.expr(geometry.row_crossings("edges", grid.centre("y"))))
         .where(F.size("crossings") > 0)
-        .repartition(*keys, "y")
+        .withColumns(
+            {
+                "x_first": F.floor(F.array_min("crossings") / res) - 1,
+                "x_last": F.floor(F.array_max("crossings") / res) + 1,
+            }
+        )
     )
-    cells = scan.withColumn("x", F.explode(F.sequence("x_first", "x_last")))
+    cells = _rows_to_cells(rows, keys, ["crossings"])
     return cells.where(geometry.right_of("crossings", grid.centre("x"))).select(
         *keys, "y", "x"
     )
 
 
+def window_cells(parcels: DataFrame, grid: Grid, pad: float = 0.0) -> DataFrame:
+    """(parcel_key, y, x) of the cells whose centre lies in the padded bounds."""
+    res = grid.resolution
+    box = with_bounds(parcels).select(
+        "parcel_key",
+        *[(F.col(c) - pad).alias(c) for c in BOUNDS[:2]],
+        *[(F.col(c) + pad).alias(c) for c in BOUNDS[2:]],
+    )
+    rows = box.select(
+        "*",
+        (F.floor(F.col("minx") / res) - 1).alias("x_first"),
+        (F.floor(F.col("maxx") / res) + 1).alias("x_last"),
+        F.explode(
+            F.sequence(F.floor(F.col("miny") / res) - 1, F.floor(F.col("maxy") / res) + 1)
+        ).alias("y"),
+    ).where(f"{grid.centre('y')} BETWEEN miny AND maxy")
+    cells = _rows_to_cells(rows, ["parcel_key"], ["minx", "maxx"])
+    return cells.where(f"{grid.centre('x')} BETWEEN minx AND maxx").select(
+        "parcel_key", "y", "x"
+    )
+
+
 def cell_keys(pixels: DataFrame, cells: DataFrame) -> list[str]:
     """Columns the two frames share that identify a cell (of a parcel, of a zone)."""
     return [
@@ -240,36 +265,9 @@ def clip_pixels(pixels: DataFrame, cells: DataFrame) -> DataFrame:
 def window_pixels(
     pixels: DataFrame, parcels: DataFrame, pairs: DataFrame, grid: Grid, pad: float = 0.0
 ) -> DataFrame:
-    """Pixels of a parcel's items within its padded bounds (the raster read window).
-
-    Pixels and windows meet on blocks of cells; the exact bounds test follows.
-    """
-    side = 64
-    res = grid.resolution
-    box = with_bounds(parcels).select(
-        "parcel_key",
-        *[(F.col(c) - pad).alias(c) for c in BOUNDS[:2]],
-        *[(F.col(c) + pad).alias(c) for c in BOUNDS[2:]],
-    )
-
-    def blocks(lo, hi):
-        return F.explode(
-            F.sequence(F.floor(F.col(lo) / (res * side)), F.floor(F.col(hi) / (res * side)))
-        )
-
-    boxes = box.withColumn("bx", blocks("minx", "maxx")).withColumn(
-        "by", blocks("miny", "maxy")
-    )
-    placed = pixels.withColumns(
-        {"bx": F.floor(F.col("x") / side), "by": F.floor(F.col("y") / side)}
-    )
-    on = [c for c in ("parcel_key",) if c in pixels.columns] + ["bx", "by"]
-    near = placed.join(boxes, on).where(
-        f"{grid.centre('x')} BETWEEN minx AND maxx AND {grid.centre('y')} BETWEEN miny AND maxy"
-    )
-    return near.drop("bx", "by", *BOUNDS).join(
-        pairs, ["parcel_key", "item_id"], "left_semi"
-    )
+    """Pixels of a parcel's items within its padded bounds (the raster read window)."""
+    near = clip_pixels(pixels, window_cells(parcels, grid, pad))
+    return near.join(pairs, ["parcel_key", "item_id"], "left_semi")
 
 
 def resample_nearest(

@@ -13,7 +13,6 @@ from parcelpulse.plans.time_series import (
     search,
     spectral_cube,
     usable_parcel_days,
-    with_class_band,
 )
 from parcelpulse.schema import CLASS_BAND, Grid
 from parcelpulse.session import hold
@@ -32,8 +31,9 @@ def cube_of_rejected(
 ) -> DataFrame:
     """Red, nir (scaled, clipped, not masked) and class of all dates of rejected parcels."""
     days = hold(found.days.join(usable, "parcel_key", "left_anti"), "rejected-days")
-    px = with_class_band(pixels, classes, grid, class_grid)
-    cube = spectral_cube(px, found, days, grid, REJECTED_BANDS, params.per_item_scale)
+    cube = spectral_cube(
+        pixels, found, days, grid, REJECTED_BANDS, params.per_item_scale, classes, class_grid
+    )
     timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
     return series.stamp_provenance(timed, found.parcels)
 

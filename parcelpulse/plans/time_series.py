@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ ITEM_COLUMNS = ["item_id", "footprint_id", "solar_day", "utc_day", "item_seq"]
 FOUND_COLUMNS = [
     "item_id", "datetime", "utc_day", "solar_day", "scale", "offset", "rings"
 ]
+IDENTITY = ["item_id", "parcel_key", "epsg", "y", "x", "px_seq", "acq_day"]
 DAY_KEYS = ["parcel_key", "footprint_id", "solar_day", "utc_day"]
 
 
@@ -33,8 +35,8 @@ def with_range(parcels: DataFrame, start=None, end=None) -> DataFrame:
 class Search:
     """What the catalogue and the geometry say, before any pixel is read.
 
-    All three are held tables: several steps read them, and they are small beside the
-    pixels. Holding the parcels also fixes their row keys.
+    Parcels, scenes found and days are held tables: several steps read them, and they are
+    small beside the pixels. Holding the parcels also fixes their row keys.
     """
 
     parcels: DataFrame
@@ -44,16 +46,12 @@ class Search:
 
 
 def find_items(scenes: DataFrame, params: Params, start=None, end=None):
-    """(items, footprints) of the catalogue search."""
-    found = hold(
-        catalogue.with_days(
-            catalogue.search(scenes, params.collection, params.max_cloud, start, end)
-        ).select(*FOUND_COLUMNS),
-        "found",
-    )
-    footprints = spatial.distinct_footprints(found)
-    items = catalogue.with_item_seq(found.join(footprints, "rings").drop("rings"))
-    return hold(items, "items"), footprints
+    """(items, footprints) of the catalogue search, which is held in item order."""
+    found = catalogue.search(scenes, params.collection, params.max_cloud, start, end)
+    dated = catalogue.with_days(found).select(*FOUND_COLUMNS)
+    held = hold(catalogue.with_item_seq(dated), "found")
+    footprints = spatial.distinct_footprints(held)
+    return held.join(footprints, "rings").drop("rings"), footprints
 
 
 def search(
@@ -83,6 +81,30 @@ def items_on(found: Search, days: DataFrame) -> DataFrame:
     )
 
 
+def prune_pixels(
+    pixels: DataFrame, found: Search, items: DataFrame, grid: Grid
+) -> DataFrame:
+    """Restrict the pixel scan to the parcels' extent and to the scenes' days.
+
+    The extent is one row, the days are at most the calendar days of the run. On a table
+    stored by day and sorted by cell they skip folders and row groups.
+    """
+    extent = (
+        spatial.with_bounds(found.parcels, found.rings)
+        .agg(F.min("minx"), F.max("maxx"), F.min("miny"), F.max("maxy"))
+        .first()
+    )
+    if None not in extent:
+        left, right, low, high = (math.floor(v / grid.resolution) for v in extent)
+        pixels = pixels.where(
+            F.col("x").between(left - 1, right + 1) & F.col("y").between(low - 1, high + 1)
+        )
+    if "acq_day" in pixels.columns:
+        days = [row["utc_day"] for row in items.select("utc_day").distinct().collect()]
+        pixels = pixels.where(F.col("acq_day").isin(days))
+    return pixels
+
+
 def matched_pixels(
     pixels: DataFrame, cells: DataFrame, items: DataFrame, days: DataFrame
 ) -> DataFrame:
@@ -97,19 +119,18 @@ def matched_pixels(
 
 def sample_columns(pixels: DataFrame, bands: list[str]) -> DataFrame:
     """Only the identity columns present and the bands asked for."""
-    identity = ["item_id", "parcel_key", "epsg", "y", "x", "px_seq"]
-    return pixels.select(*[c for c in identity if c in pixels.columns], *bands)
+    return pixels.select(*[c for c in IDENTITY if c in pixels.columns], *bands)
 
 
 def class_mosaic(
     pixels: DataFrame, found: Search, grid: Grid
 ) -> DataFrame:
     """Class band per parcel, solar day and cell inside the polygon."""
-    cells = spatial.parcel_cells(found.parcels, grid, found.rings)
+    items = items_on(found, found.days)
     px = matched_pixels(
-        sample_columns(pixels, [CLASS_BAND]),
-        cells,
-        items_on(found, found.days).select(*ITEM_COLUMNS),
+        sample_columns(prune_pixels(pixels, found, items, grid), [CLASS_BAND]),
+        spatial.parcel_cells(found.parcels, grid, found.rings),
+        items.select(*ITEM_COLUMNS),
         found.days.select(*DAY_KEYS),
     )
     return mosaic.solar_day_mosaic(px, [CLASS_BAND])
@@ -139,33 +160,34 @@ def spectral_cube(
     grid: Grid,
     bands: list[str],
     per_item_scale: bool = False,
+    classes: DataFrame | None = None,
+    class_grid: Grid | None = None,
 ) -> DataFrame:
     """Scaled bands and raw class per parcel, solar day and cell, on the given days.
 
     The scale is that of the parcel's first item on those days, or each item's own. It
-    rides on the small day or item table, so the pixels need no join for it.
+    rides on the small day or item table, so the pixels need no join for it. The class of a
+    coarser table is looked up for the matched pixels only.
     """
-    cells = spatial.parcel_cells(found.parcels, grid, found.rings)
     items = items_on(found, days)
     wanted = days.select(*DAY_KEYS)
+    scene_columns = ITEM_COLUMNS
     if per_item_scale:
-        items = items.select(*ITEM_COLUMNS, "scale", "offset")
+        scene_columns = [*ITEM_COLUMNS, "scale", "offset"]
     else:
-        items = items.select(*ITEM_COLUMNS)
         wanted = wanted.join(mosaic.first_item_scale(days), "parcel_key")
-    px = matched_pixels(sample_columns(pixels, [*bands, CLASS_BAND]), cells, items, wanted)
-    return mosaic.reflectance_mosaic(px, bands, [CLASS_BAND])
-
-
-def with_class_band(
-    pixels: DataFrame, classes: DataFrame | None, grid: Grid, class_grid: Grid | None
-) -> DataFrame:
-    """Pixels carry their own class band, or get it from a coarser class table."""
-    if classes is None:
-        return pixels
-    return spatial.resample_nearest(
-        pixels.drop(CLASS_BAND), classes, grid, class_grid, [CLASS_BAND]
+    own = [CLASS_BAND] if classes is None else []
+    px = matched_pixels(
+        sample_columns(prune_pixels(pixels, found, items, grid), [*bands, *own]),
+        spatial.parcel_cells(found.parcels, grid, found.rings),
+        items.select(*scene_columns),
+        wanted,
     )
+    if classes is not None:
+        coarse = sample_columns(prune_pixels(classes, found, items, class_grid), [CLASS_BAND])
+        coarse = coarse.join(broadcast_if_small(items.select("item_id")), "item_id", "left_semi")
+        px = spatial.resample_nearest(px, coarse, grid, class_grid, [CLASS_BAND])
+    return mosaic.reflectance_mosaic(px, bands, [CLASS_BAND])
 
 
 def masked_cube(
@@ -187,8 +209,9 @@ def masked_cube(
     days = hold(
         clarity.keep_usable(found.days, usable, params.utc_day_match), "usable-days"
     )
-    px = with_class_band(pixels, classes, grid, class_grid)
-    cube = spectral_cube(px, found, days, grid, bands, params.per_item_scale)
+    cube = spectral_cube(
+        pixels, found, days, grid, bands, params.per_item_scale, classes, class_grid
+    )
     masked = add_indices(mask_clear(cube, bands), params.indices)
     indices = computable(masked, params.indices)
     return series.assemble_cube(masked, bands, indices, mosaic.CELL_DAY), days

@@ -8,8 +8,8 @@ scenes   item_id (any type), collection STRING, datetime TIMESTAMP_NTZ, rings RI
          cloud_cover DOUBLE, scale DOUBLE, offset DOUBLE, optional solar_lon DOUBLE
 pixels   item_id, y LONG, x LONG, one column per band, scl; one row per item and cell.
          Optional columns: parcel_key (samples already cut to a parcel window), epsg
-         (the grid's UTM code), px_seq LONG (order of repeated samples of one item
-         and cell)
+         (the grid's UTM code), acq_day DATE (UTC day, best as partition column),
+         px_seq LONG (order of repeated samples of one item and cell)
 """
 
 from __future__ import annotations

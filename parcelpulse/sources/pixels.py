@@ -19,8 +19,7 @@ def read_pixels(spark: SparkSession, path: str, bands: list[str]) -> DataFrame:
     if absent:
         raise ValueError(f"{path}: no band {', '.join(absent)}")
     classes = [CLASS_BAND] if CLASS_BAND in table.columns else []
-    days = [c for c in ("acq_day",) if c in table.columns]
-    return sample_columns(table, [*bands, *classes, *days])
+    return sample_columns(table, [*bands, *classes])
 
 
 def write_pixels(pixels: DataFrame, path: str, day: str = "acq_day") -> None:

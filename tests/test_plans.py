@@ -13,6 +13,7 @@ from parcelpulse.params import Params
 from parcelpulse.plans import time_series as ts
 from parcelpulse.schema import RINGS, Grid
 from parcelpulse.session import new_folder
+from parcelpulse.sources.pixels import read_pixels, write_pixels
 from parcelpulse.sources.scenes import read_scenes
 
 WORLD = [(-20.0, 30.0), (30.0, 30.0), (30.0, 60.0), (-20.0, 60.0)]
@@ -172,21 +173,35 @@ def executed(df) -> str:
 
 
 def test_flagship_plan_shape(spark):
-    """No nested loops, no Python workers, only wanted columns read, hash aggregation."""
+    """No nested loops, no Python workers, hash aggregation, and a narrow, pruned scan."""
     items, rings = make_items(), {1: [(0.05, 40.05), (0.95, 40.05), (0.5, 40.95)]}
     path = new_folder(spark, "px")
-    pixel_table(
-        spark, random_pixels(random.Random(1), items, range(398, 412), range(-2, 12))
-    ).withColumns({"swir16": F.lit(1), "rededge1": F.lit(1)}).write.parquet(path)
+    days = {i: when.date() for i, (when, *_) in items.items()}
+    day_of = F.create_map(*[F.lit(v) for pair in days.items() for v in pair])
+    write_pixels(
+        pixel_table(
+            spark, random_pixels(random.Random(1), items, range(398, 412), range(-2, 12))
+        ).withColumns(
+            {"swir16": F.lit(1), "rededge1": F.lit(1), "acq_day": day_of[F.col("item_id")]}
+        ),
+        path,
+    )
     out = parcel_time_series(
-        parcel_table(spark, rings), scene_table(spark, items), spark.read.parquet(path),
+        parcel_table(spark, rings), scene_table(spark, items),
+        read_pixels(spark, path, ["red", "green", "blue", "nir", "swir16"]),
         ["NDVI"], collection="l2a", grid=Grid(10, 100),
     )
-    plan = executed(out)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = executed(out)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     for word in ("NestedLoop", "Cartesian", "Python", "Pandas", "SortAggregate", "Window"):
         assert word not in plan
-    scan = next(line for line in plan.splitlines() if path in line or "red:int" in line)
+    scan = next(line for line in plan.splitlines() if path in line)
     assert "swir16" not in scan and "rededge1" not in scan
+    assert "acq_day" in scan.split("PartitionFilters")[1].split("]")[0]
+    assert "GreaterThanOrEqual(y,399)" in scan.split("PushedFilters")[1]
 
 
 def test_mosaic_adds_one_exchange_and_aggregates_before_it(spark):

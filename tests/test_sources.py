@@ -104,7 +104,7 @@ def test_pixels_missing_band(spark):
     ).withColumn("acq_day", F.to_date("acq_day"))
     pixels.write_pixels(table, path)
     assert pixels.read_pixels(spark, path, ["red"]).columns == [
-        "item_id", "y", "x", "red", "scl", "acq_day",
+        "item_id", "y", "x", "acq_day", "red", "scl",
     ]
     with pytest.raises(ValueError, match="nir"):
         pixels.read_pixels(spark, path, ["red", "nir"])
