@@ -33,6 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores where the file has fewer splits than there are cores.
+
+    The small test files hold a single row group, which one task would read and process.
+    A table with more splits than cores passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, *keys)
+
+
 def _ring(vertices):
     return F.array(F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in vertices]))
 
@@ -66,7 +76,8 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scene item per order, with its nested documents and the columns from them."""
     ring = [(F.col("lon0") + dx, F.col("lat0") + dy) for dx, dy in FOOTPRINT]
-    base = table(spark, sf_dir, "orders").selectExpr(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    base = spread(orders, "o_orderkey").selectExpr(
         "o_orderkey AS item_id",
         "CASE WHEN o_orderkey % 7 = 0 THEN 'l2a-old' ELSE 'l2a' END AS collection",
         "timestampadd(HOUR, cast(o_orderkey % 24 AS int),"
@@ -100,8 +111,11 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sample per line item, on five by five cells over the parcel's box."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"
+    )
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(lines, "l_orderkey", "l_linenumber")
         .selectExpr(
             "l_suppkey AS parcel_key",
             "l_orderkey AS item_id",

@@ -12,7 +12,7 @@ from parcelpulse.functions.indices import add_indices, computable, mask_clear
 from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
 from parcelpulse.params import Params
 from parcelpulse.schema import CLASS_BAND, Grid, bands_for
-from parcelpulse.session import broadcast_if_small, hold
+from parcelpulse.session import hold, is_small
 
 ITEM_COLUMNS = ["item_id", "footprint_id", "solar_day", "utc_day", "item_seq"]
 FOUND_COLUMNS = [
@@ -35,14 +35,20 @@ def with_range(parcels: DataFrame, start=None, end=None) -> DataFrame:
 class Search:
     """What the catalogue and the geometry say, before any pixel is read.
 
-    Parcels, scenes found and days are held tables: several steps read them, and they are
-    small beside the pixels. Holding the parcels also fixes their row keys.
+    The three tables are held: several steps read them, and they are small beside the
+    pixels. Holding the parcels also fixes their row keys.
     """
 
     parcels: DataFrame
-    items: DataFrame  # one row per scene found
+    items: DataFrame  # one row per scene that some parcel needs
     days: DataFrame  # one row per parcel, footprint and day with items
     rings: str  # column that the pixel grid's cells are cut with
+    extent: tuple  # minx, miny, maxx, maxy of that column over all parcels
+    items_small: bool  # the scene table may be broadcast
+
+    def beside_pixels(self, items: DataFrame) -> DataFrame:
+        """Mark the scene table, or a part of it, for broadcast when it is small."""
+        return F.broadcast(items) if self.items_small else items
 
 
 def find_items(scenes: DataFrame, params: Params, start=None, end=None):
@@ -54,54 +60,59 @@ def find_items(scenes: DataFrame, params: Params, start=None, end=None):
     return held.join(footprints, "rings").drop("rings"), footprints
 
 
+def needed_items(items: DataFrame, days: DataFrame) -> DataFrame:
+    """The scenes that some parcel needs on the given days.
+
+    Pixels of all other scenes fall out at the first join, before anything is shuffled.
+    """
+    keys = ["footprint_id", "solar_day", "utc_day"]
+    return items.join(days.select(*keys).distinct(), keys, "left_semi")
+
+
+def total_extent(parcels: DataFrame, rings: str) -> tuple:
+    """First and last date, and minx, miny, maxx, maxy, over all parcels: one row."""
+    return tuple(
+        spatial.with_bounds(parcels, rings)
+        .agg(
+            F.min("start"), F.max("end"),
+            F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"),
+        )
+        .first()
+    )
+
+
 def search(
     parcels: DataFrame, scenes: DataFrame, params: Params, start=None, end=None, utm=False
 ) -> Search:
     parcels = with_range(spatial.drop_invalid_parcels(parcels), start, end)
+    rings = "rings_utm" if utm else "rings"
     if utm:
         parcels = spatial.in_batch_utm(parcels, params.batch_size_deg)
     parcels = hold(parcels, "parcels")
-    if start is None and end is None:
-        start, end = parcels.agg(F.min("start"), F.max("end")).first()
+    start, end, *extent = total_extent(parcels, rings)
     items, footprints = find_items(scenes, params, start, end)
     matches = spatial.match_footprints(parcels, footprints)
     days = hold(spatial.parcel_days(matches, items), "days")
-    return Search(parcels, items, days, "rings_utm" if utm else "rings")
-
-
-def items_on(found: Search, days: DataFrame) -> DataFrame:
-    """The scenes that some parcel needs on the given days.
-
-    Pixels of all other scenes fall out at the first join, before anything is shuffled.
-    """
-    needed = days.select("footprint_id", "solar_day", "utc_day").distinct()
-    return hold(
-        found.items.join(needed, ["footprint_id", "solar_day", "utc_day"], "left_semi"),
-        "needed-items",
-    )
+    items = hold(needed_items(items, days), "items")
+    return Search(parcels, items, days, rings, tuple(extent), is_small(items))
 
 
 def prune_pixels(
-    pixels: DataFrame, found: Search, items: DataFrame, grid: Grid
+    pixels: DataFrame, found: Search, days: DataFrame, grid: Grid
 ) -> DataFrame:
-    """Restrict the pixel scan to the parcels' extent and to the scenes' days.
+    """Restrict the pixel scan to the parcels' extent and to the given days.
 
     The extent is one row, the days are at most the calendar days of the run. On a table
     stored by day and sorted by cell they skip folders and row groups.
     """
-    extent = (
-        spatial.with_bounds(found.parcels, found.rings)
-        .agg(F.min("minx"), F.max("maxx"), F.min("miny"), F.max("maxy"))
-        .first()
-    )
-    if None not in extent:
-        left, right, low, high = (math.floor(v / grid.resolution) for v in extent)
+    if None not in found.extent:
+        left, low, right, high = (math.floor(v / grid.resolution) for v in found.extent)
         pixels = pixels.where(
             F.col("x").between(left - 1, right + 1) & F.col("y").between(low - 1, high + 1)
         )
     if "acq_day" in pixels.columns:
-        days = [row["utc_day"] for row in items.select("utc_day").distinct().collect()]
-        pixels = pixels.where(F.col("acq_day").isin(days))
+        dates = [row["utc_day"] for row in days.select("utc_day").distinct().collect()]
+        pixels = pixels.where(F.col("acq_day").isin(dates))
     return pixels
 
 
@@ -111,9 +122,9 @@ def matched_pixels(
     """Pixels of the items, inside a parcel, on one of that parcel's days.
 
     All three are equi-joins on keys that no single parcel, scene or day dominates, except
-    the first, which is a broadcast while the scene table is small. ``items`` is held.
+    the first, which is a broadcast while the scene table is small.
     """
-    of_items = pixels.join(broadcast_if_small(items), "item_id")
+    of_items = pixels.join(items, "item_id")
     return spatial.clip_pixels(of_items, cells).join(days, DAY_KEYS)
 
 
@@ -122,15 +133,12 @@ def sample_columns(pixels: DataFrame, bands: list[str]) -> DataFrame:
     return pixels.select(*[c for c in IDENTITY if c in pixels.columns], *bands)
 
 
-def class_mosaic(
-    pixels: DataFrame, found: Search, grid: Grid
-) -> DataFrame:
+def class_mosaic(pixels: DataFrame, found: Search, grid: Grid) -> DataFrame:
     """Class band per parcel, solar day and cell inside the polygon."""
-    items = items_on(found, found.days)
     px = matched_pixels(
-        sample_columns(prune_pixels(pixels, found, items, grid), [CLASS_BAND]),
+        sample_columns(prune_pixels(pixels, found, found.days, grid), [CLASS_BAND]),
         spatial.parcel_cells(found.parcels, grid, found.rings),
-        items.select(*ITEM_COLUMNS),
+        found.beside_pixels(found.items.select(*ITEM_COLUMNS)),
         found.days.select(*DAY_KEYS),
     )
     return mosaic.solar_day_mosaic(px, [CLASS_BAND])
@@ -169,7 +177,7 @@ def spectral_cube(
     rides on the small day or item table, so the pixels need no join for it. The class of a
     coarser table is looked up for the matched pixels only.
     """
-    items = items_on(found, days)
+    items = needed_items(found.items, days)
     wanted = days.select(*DAY_KEYS)
     scene_columns = ITEM_COLUMNS
     if per_item_scale:
@@ -178,14 +186,16 @@ def spectral_cube(
         wanted = wanted.join(mosaic.first_item_scale(days), "parcel_key")
     own = [CLASS_BAND] if classes is None else []
     px = matched_pixels(
-        sample_columns(prune_pixels(pixels, found, items, grid), [*bands, *own]),
+        sample_columns(prune_pixels(pixels, found, days, grid), [*bands, *own]),
         spatial.parcel_cells(found.parcels, grid, found.rings),
-        items.select(*scene_columns),
+        found.beside_pixels(items.select(*scene_columns)),
         wanted,
     )
     if classes is not None:
-        coarse = sample_columns(prune_pixels(classes, found, items, class_grid), [CLASS_BAND])
-        coarse = coarse.join(broadcast_if_small(items.select("item_id")), "item_id", "left_semi")
+        coarse = sample_columns(prune_pixels(classes, found, days, class_grid), [CLASS_BAND])
+        coarse = coarse.join(
+            found.beside_pixels(items.select("item_id")), "item_id", "left_semi"
+        )
         px = spatial.resample_nearest(px, coarse, grid, class_grid, [CLASS_BAND])
     return mosaic.reflectance_mosaic(px, bands, [CLASS_BAND])
 

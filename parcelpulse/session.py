@@ -6,11 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings the plans are written for. Catalyst and AQE broadcast a side only when its
 # measured size is below the thresholds, and split skewed partitions of the sort-merge
-# join they use otherwise. The one hint in the plans is checked by broadcast_if_small.
+# join they use otherwise. The one hint in the plans is checked by is_small.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -82,10 +81,10 @@ def hold(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a held table that is proven small; leave it alone otherwise.
+def is_small(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """A held table is proven small enough to broadcast.
 
-    Counting a held table reads Parquet footers only. Meant for the small side of a join
-    with the pixels, where a wrong guess would shuffle the pixels for nothing.
+    Counting it reads Parquet footers only. Meant for the small side of a join with the
+    pixels, where a wrong guess would shuffle the pixels for nothing.
     """
-    return F.broadcast(held) if held.count() <= max_rows else held
+    return held.count() <= max_rows

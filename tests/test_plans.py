@@ -144,7 +144,7 @@ def test_one_parcel_holds_most_pixels(spark, monkeypatch):
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    monkeypatch.setattr(ts, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(ts, "is_small", lambda df: False)
     try:
         out = parcel_time_series(
             parcel_table(spark, rings), scene_table(spark, items), pixel_table(spark, pixels),
@@ -157,7 +157,7 @@ def test_one_parcel_holds_most_pixels(spark, monkeypatch):
 
 
 def test_result_does_not_depend_on_broadcasts(spark, monkeypatch):
-    monkeypatch.setattr(ts, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(ts, "is_small", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = QUERIES["parcel_time_series"](spark, SF_DIR)
