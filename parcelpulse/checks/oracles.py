@@ -660,21 +660,29 @@ GROUP BY d.parcel_key""",
     ),
     "run_counters": series_statement(
         ["NDVI"],
-        final="""SELECT source_file, date_range, batch_id, n_parcels, n_done, n_points,
-       coalesce(n_items, 0) AS n_items
-FROM (SELECT b.source_file, b.date_range, b.batch_id, count(*) AS n_parcels,
-             count(s.points) AS n_done, CAST(coalesce(sum(s.points), 0) AS BIGINT) AS n_points
-      FROM fx_batch b
-      LEFT JOIN (SELECT parcel_key, count(*) AS points FROM stamped GROUP BY parcel_key) s
-        USING (parcel_key)
-      GROUP BY b.source_file, b.date_range, b.batch_id)
-LEFT JOIN (SELECT b.source_file, b.date_range, b.batch_id, count(*) AS n_items
-           FROM batch_box b JOIN foot_box f
-             ON f.minx <= b.maxx AND f.maxx >= b.minx
-            AND f.miny <= b.maxy AND f.maxy >= b.miny
-           JOIN found s ON s.lon0 = f.lon0 AND s.lat0 = f.lat0
-           GROUP BY b.source_file, b.date_range, b.batch_id)
-  USING (source_file, date_range, batch_id)""",
+        final=""",
+debt AS (
+  SELECT b.*, s_acctbal < 0 AS debt FROM fx_batch b JOIN supplier ON s_suppkey = b.parcel_key),
+solvent_box AS (
+  SELECT source_file, date_range, batch_id, min(minx) AS minx, min(miny) AS miny,
+         max(maxx) AS maxx, max(maxy) AS maxy
+  FROM debt WHERE NOT debt GROUP BY source_file, date_range, batch_id),
+batch_items AS (
+  SELECT b.source_file, b.date_range, b.batch_id, count(*) AS n_items
+  FROM solvent_box b JOIN foot_box f
+    ON f.minx <= b.maxx AND f.maxx >= b.minx AND f.miny <= b.maxy AND f.maxy >= b.miny
+  JOIN found s ON s.lon0 = f.lon0 AND s.lat0 = f.lat0
+  GROUP BY b.source_file, b.date_range, b.batch_id),
+points AS (SELECT parcel_key, count(*) AS points FROM stamped GROUP BY parcel_key),
+counted AS (
+  SELECT source_file, date_range, CASE WHEN NOT debt THEN batch_id END AS batch_id,
+         count(*) AS n_parcels, count(*) FILTER (WHERE debt) AS n_dropped,
+         count(points) FILTER (WHERE NOT debt) AS n_done,
+         CAST(coalesce(sum(points) FILTER (WHERE NOT debt), 0) AS BIGINT) AS n_points
+  FROM debt LEFT JOIN points USING (parcel_key)
+  GROUP BY ALL)
+SELECT c.*, coalesce(n_items, 0) AS n_items
+FROM counted c LEFT JOIN batch_items USING (source_file, date_range, batch_id)""",
     ),
     "union_chunks": statement(
         [],

@@ -88,9 +88,9 @@ def show_series(df: DataFrame, indices) -> DataFrame:
     )
 
 
-def flagship(spark, sf, indices=None, **options) -> DataFrame:
+def flagship(spark, sf, indices=None, parcels=None, **options) -> DataFrame:
     return ts.parcel_time_series(
-        fx.parcels(spark, sf),
+        fx.parcels(spark, sf) if parcels is None else parcels,
         fx.scenes(spark, sf),
         fx.pixels(spark, sf),
         indices or ALL,
@@ -633,14 +633,25 @@ def first_item_scale(spark, sf):
 
 
 def run_counters(spark, sf):
-    parcels = fx.parcels(spark, sf)
+    """Counters of a run in which the parcels of suppliers in debt have no polygon."""
+    debt = fx.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("parcel_key"), (F.col("s_acctbal") < 0).alias("debt")
+    )
+    parcels = (
+        fx.parcels(spark, sf)
+        .join(debt, "parcel_key")
+        .withColumn("rings", F.when(~F.col("debt"), F.col("rings")))
+        .drop("debt")
+    )
     batched = spatial.with_batch(parcels, BATCH_DEG)
+    boxes = spatial.batch_bounds(spatial.drop_invalid_parcels(batched))
     found = spatial.scenes_in_boxes(
         catalogue.search(fx.scenes(spark, sf), fx.COLLECTION, start=fx.START, end=fx.END),
-        spatial.batch_bounds(batched),
+        boxes,
         spatial.BATCH,
     )
-    return series.run_counters(batched, found, flagship(spark, sf, ["NDVI"]))
+    points = flagship(spark, sf, ["NDVI"], parcels=parcels)
+    return series.run_counters(batched, found, points)
 
 
 # --- set operations ----------------------------------------------------------------

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpulse.functions.geometry import is_polygon
 from parcelpulse.functions.indices import require_indices
 from parcelpulse.operators.clarity import PARCEL_DAY
 from parcelpulse.operators.spatial import BATCH
@@ -65,18 +66,21 @@ def project_series(series: DataFrame, index: str = "NDVI") -> DataFrame:
 
 
 def run_counters(batched: DataFrame, found: DataFrame, series: DataFrame) -> DataFrame:
-    """Per batch: items found, parcels, parcels done and time series points.
+    """Per batch: items found, parcels, parcels without a polygon, parcels done, points.
 
-    ``batched`` has parcel_key and the batch columns, ``found`` the batch columns and
-    item_id, ``series`` parcel_key.
+    ``batched`` has parcel_key, rings and the batch columns, ``found`` the batch columns
+    and item_id, ``series`` parcel_key. Parcels without a polygon are dropped from a run and
+    have no batch_id; they are counted per file and date range.
     """
     points = series.groupBy("parcel_key").agg(F.count("*").alias("points"))
+    valid = F.expr(is_polygon("rings"))
     parcels = (
-        batched.select("parcel_key", *BATCH)
+        batched.select("parcel_key", *BATCH, valid.alias("valid"))
         .join(points, "parcel_key", "left")
         .groupBy(*BATCH)
         .agg(
             F.count("*").alias("n_parcels"),
+            F.count_if(~F.col("valid")).alias("n_dropped"),
             F.count("points").alias("n_done"),
             F.coalesce(F.sum("points"), F.lit(0)).cast("long").alias("n_points"),
         )

@@ -46,19 +46,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a fresh local folder only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return configured
-    if context.getCheckpointDir() is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder that all executors share"
             )
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return context.getCheckpointDir()
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

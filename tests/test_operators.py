@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
-from parcelpulse.schema import Grid
+from parcelpulse.schema import RINGS, Grid
 
 D1, D2 = date(2024, 5, 1), date(2024, 5, 2)
 
@@ -181,3 +181,22 @@ def test_resample_nearest_at_negative_cells(spark):
     assert {(r["y"], r["x"]): r["scl"] for r in out.collect()} == {
         (y, x): 8 if y < 0 else 4 for y in (-2, -1, 0, 1) for x in (0, 1)
     }
+
+
+def test_bbox_filter_counts_touching(spark):
+    def box(x, y):
+        return [[(x, y), (x + 1.0, y), (x + 1.0, y + 1.0), (x, y + 1.0)]]
+
+    rows = [("in", box(2.0, 2.0)), ("touch", box(5.0, 5.0)), ("out", box(5.1, 2.0)), ("none", None)]
+    df = spark.createDataFrame(rows, f"item_id string, rings {RINGS.simpleString()}")
+    kept = catalogue.filter_bbox(df, 1.0, 1.0, 5.0, 5.0).collect()
+    assert {r["item_id"] for r in kept} == {"in", "touch"}
+
+
+def test_window_cells_are_padded_bounds(spark):
+    ring = [(0.0, 0.0), (20.0, 0.0), (20.0, 10.0)]
+    df = spark.createDataFrame([(1, [ring])], f"parcel_key long, rings {RINGS.simpleString()}")
+    plain = {(r["y"], r["x"]) for r in spatial.window_cells(df, Grid(10)).collect()}
+    padded = {(r["y"], r["x"]) for r in spatial.window_cells(df, Grid(10), 10).collect()}
+    assert plain == {(0, 0), (0, 1)}
+    assert padded == {(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1, 2)}
