@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from parcelpulse.schema import CLASS_BAND, CLEAR_CLASSES, INDICES, NODATA
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den with IEEE signs at zero, but NULL (missing) instead of NaN for 0/0."""
+def safe_ratio(num: str, den: str) -> str:
+    """SQL text of num / den: IEEE signs at zero, but NULL (missing) for 0/0, not NaN."""
     return (
-        F.when(den != 0, num / den)
-        .when(num > 0, F.lit(float("inf")))
-        .when(num < 0, F.lit(float("-inf")))
+        f"(CASE WHEN {den} <> 0 THEN {num} / {den} WHEN {num} > 0 THEN double('Infinity')"
+        f" WHEN {num} < 0 THEN double('-Infinity') END)"
     )
 
 
 def index_value(name: str) -> Column:
     """The index over the band columns of the frame it is used in."""
     index = INDICES[name]
-    a, b = F.col(index.plus).cast("double"), F.col(index.minus).cast("double")
+    a, b = f"cast({index.plus} AS double)", f"cast({index.minus} AS double)"
     if index.soil:
-        return safe_ratio(a - b, a + b + index.soil) * (1 + index.soil)
-    return safe_ratio(a - b, a + b)
+        ratio = safe_ratio(f"({a} - {b})", f"({a} + {b} + {index.soil}D)")
+        return F.expr(f"{ratio} * {1 + index.soil}D")
+    return F.expr(safe_ratio(f"({a} - {b})", f"({a} + {b})"))
 
 
 def computable(df: DataFrame, indices) -> list[str]:
@@ -58,12 +58,14 @@ def clear_share(scl: Column | None = None) -> Column:
 
 def mask_clear(df: DataFrame, bands) -> DataFrame:
     """Bands become missing where the pixel is not clear; no row is dropped."""
-    masked = {b: F.when(is_clear(), F.col(b)) for b in bands}
-    return df.withColumns(masked)
+    classes = ", ".join(map(str, CLEAR_CLASSES))
+    return df.withColumns(
+        {b: F.expr(f"CASE WHEN {CLASS_BAND} IN ({classes}) THEN {b} END") for b in bands}
+    )
 
 
 def scale_bands(df: DataFrame, bands, scale="scale", offset="offset") -> DataFrame:
     """Raw value to reflectance for the given bands; every other column is unchanged."""
     return df.withColumns(
-        {b: F.col(b).cast("double") * F.col(scale) + F.col(offset) for b in bands}
+        {b: F.expr(f"cast({b} AS double) * {scale} + {offset}") for b in bands}
     )

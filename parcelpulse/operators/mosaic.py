@@ -10,17 +10,15 @@ from parcelpulse.schema import NODATA
 CELL_DAY = ["parcel_key", "solar_day", "y", "x"]
 
 
-def item_order(df: DataFrame) -> Column:
+def item_order(df: DataFrame) -> str:
     """Order of items in a mosaic; repeated samples of one item follow px_seq."""
-    if "px_seq" in df.columns:
-        return F.struct("item_seq", "px_seq")
-    return F.col("item_seq")
+    return "struct(item_seq, px_seq)" if "px_seq" in df.columns else "item_seq"
 
 
-def first_valid(band: str, order: Column, value: Column | None = None) -> Column:
-    """Aggregate: the value in the first item whose raw band is not nodata."""
-    value = F.col(band) if value is None else value
-    return F.min_by(value, F.when(F.col(band) != NODATA, order))
+def first_valid(band: str, order: str, value: str, fill: str) -> Column:
+    """Aggregate: the value in the first item whose raw band is not nodata, or the fill."""
+    chosen = f"min_by({value}, CASE WHEN {band} <> {NODATA} THEN {order} END)"
+    return F.expr(f"coalesce({chosen}, {fill})").alias(band)
 
 
 def solar_day_mosaic(pixels: DataFrame, bands: list[str], keys=None) -> DataFrame:
@@ -30,10 +28,9 @@ def solar_day_mosaic(pixels: DataFrame, bands: list[str], keys=None) -> DataFram
     days, and partial aggregation runs before the shuffle, so neither a large parcel nor
     a busy day ends up in one task.
     """
-    keys = CELL_DAY if keys is None else keys
     order = item_order(pixels)
-    return pixels.groupBy(*keys).agg(
-        *[F.coalesce(first_valid(b, order), F.lit(NODATA)).alias(b) for b in bands]
+    return pixels.groupBy(*(keys or CELL_DAY)).agg(
+        *[first_valid(b, order, b, str(NODATA)) for b in bands]
     )
 
 
@@ -45,26 +42,25 @@ def reflectance_mosaic(
     Nodata is judged on the raw value, and a cell without a valid value keeps a scaled 0,
     that is, the offset. Class bands stay raw.
     """
-    keys = CELL_DAY if keys is None else keys
     order = item_order(pixels)
-    fill = F.min_by("offset", order)
-
-    def scaled(band):
-        value = F.col(band).cast("double") * F.col("scale") + F.col("offset")
-        return F.coalesce(first_valid(band, order, value), fill).alias(band)
-
-    return pixels.groupBy(*keys).agg(
-        *[scaled(b) for b in bands],
-        *[F.coalesce(first_valid(c, order), F.lit(NODATA)).alias(c) for c in classes],
+    fill = f"min_by(offset, {order})"
+    return pixels.groupBy(*(keys or CELL_DAY)).agg(
+        *[
+            first_valid(b, order, f"cast({b} AS double) * scale + offset", fill)
+            for b in bands
+        ],
+        *[first_valid(c, order, c, str(NODATA)) for c in classes],
     )
 
 
-def first_item_scale(days: DataFrame, keys=("parcel_key",)) -> DataFrame:
+def first_item_scale(items: DataFrame, keys=("parcel_key",)) -> DataFrame:
     """Scale and offset of the first item (datetime, item_id order) per parcel.
 
-    Takes either parcel-item pairs or parcel days; both carry item_seq.
+    Takes either parcel-item pairs or parcel days, which name their first item.
     """
-    return days.groupBy(*keys).agg(
-        F.min_by("scale", "item_seq").alias("scale"),
-        F.min_by("offset", "item_seq").alias("offset"),
+    first = F.min(F.struct("datetime", "item_id", "scale", "offset"))
+    return (
+        items.groupBy(*keys)
+        .agg(first.alias("first"))
+        .select(*keys, "first.scale", "first.offset")
     )

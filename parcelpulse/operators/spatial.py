@@ -168,15 +168,14 @@ def parcel_days(matches: DataFrame, items: DataFrame) -> DataFrame:
     """The dates on which a parcel has items, without listing the items.
 
     One row per (parcel_key, solar_day, utc_day, footprint_id) with the number of items,
-    and item_seq, datetime, scale and offset of the first. Items are reduced to footprint
+    and datetime, item_id, scale and offset of the first. Items are reduced to footprint
     days before they meet the parcels.
     """
-    footprint_days = items.groupBy("footprint_id", "solar_day", "utc_day").agg(
-        F.count("*").alias("n_items"),
-        F.min("item_seq").alias("item_seq"),
-        F.min("datetime").alias("datetime"),
-        F.min_by("scale", "item_seq").alias("scale"),
-        F.min_by("offset", "item_seq").alias("offset"),
+    first = F.min(F.struct("datetime", "item_id", "scale", "offset"))
+    footprint_days = (
+        items.groupBy("footprint_id", "solar_day", "utc_day")
+        .agg(F.count("*").alias("n_items"), first.alias("first"))
+        .select("footprint_id", "solar_day", "utc_day", "n_items", "first.*")
     )
     return _in_range(matches, footprint_days).drop("month", "start", "end")
 

@@ -52,10 +52,9 @@ class Search:
 
 
 def find_items(scenes: DataFrame, params: Params, start=None, end=None):
-    """(items, footprints) of the catalogue search, which is held in item order."""
+    """(items, footprints) of the catalogue search."""
     found = catalogue.search(scenes, params.collection, params.max_cloud, start, end)
-    dated = catalogue.with_days(found).select(*FOUND_COLUMNS)
-    held = hold(catalogue.with_item_seq(dated), "found")
+    held = hold(catalogue.with_days(found).select(*FOUND_COLUMNS), "found")
     footprints = spatial.distinct_footprints(held)
     return held.join(footprints, "rings").drop("rings"), footprints
 
@@ -93,7 +92,7 @@ def search(
     items, footprints = find_items(scenes, params, start, end)
     matches = spatial.match_footprints(parcels, footprints)
     days = hold(spatial.parcel_days(matches, items), "days")
-    items = hold(needed_items(items, days), "items")
+    items = hold(catalogue.with_item_seq(needed_items(items, days)), "items")
     return Search(parcels, items, days, rings, tuple(extent), is_small(items))
 
 

@@ -54,9 +54,10 @@ def test_reflectance_fill_is_the_offset(spark):
 
 
 def test_first_item_scale_follows_order(spark):
-    df = cells(
-        spark,
-        [(1, D1, 0, 0, 9, 1, 4, 0.1, 1.0), (1, D2, 0, 0, 2, 1, 4, 0.2, 2.0)],
+    noon, later = datetime(2024, 5, 1, 12), datetime(2024, 5, 1, 13)
+    df = spark.createDataFrame(
+        [(1, later, "a", 0.1, 1.0), (1, noon, "c", 0.3, 3.0), (1, noon, "b", 0.2, 2.0)],
+        "parcel_key long, datetime timestamp_ntz, item_id string, scale double, offset double",
     )
     assert tuple(mosaic.first_item_scale(df).first()) == (1, 0.2, 2.0)
 

@@ -196,7 +196,7 @@ def test_flagship_plan_shape(spark):
         plan = executed(out)
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    for word in ("NestedLoop", "Cartesian", "Python", "Pandas", "SortAggregate", "Window"):
+    for word in ("NestedLoop", "Cartesian", "Python", "Pandas", "Window"):
         assert word not in plan
     scan = next(line for line in plan.splitlines() if path in line)
     assert "swir16" not in scan and "rededge1" not in scan
