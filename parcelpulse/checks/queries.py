@@ -40,11 +40,11 @@ def rounded(df: DataFrame, columns, places: int = 9) -> DataFrame:
 
 
 def day(column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd")
+    return F.col(column).cast("string")
 
 
 def stamp(column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+    return F.col(column).cast("string")
 
 
 def found_items(spark, sf, start=fx.START, end=fx.END) -> DataFrame:
@@ -171,7 +171,7 @@ def scan_scenes(spark, sf):
     coordinates = F.transform(
         "rings", lambda ring: F.transform(ring, lambda v: F.array(v["x"], v["y"]))
     )
-    when = F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    when = F.concat(F.translate(stamp("datetime"), " ", "T"), F.lit("Z"))
     cloud = F.struct(when.alias("datetime"), F.col("cloud_cover").alias("eo:cloud_cover"))
     scenes.select(
         F.to_json(

@@ -10,7 +10,9 @@ CHUNK_SPAN_DAYS = 365
 
 
 def utc_day(datetime: Column) -> Column:
-    return F.date_format(datetime, "yyyy-MM-dd")
+    """ISO text of the day. A cast keeps clear of the session's time zone, which
+    date_format would apply to a TIMESTAMP_NTZ."""
+    return datetime.cast("date").cast("string")
 
 
 def solar_day(datetime: Column, lon: Column) -> Column:
@@ -20,9 +22,7 @@ def solar_day(datetime: Column, lon: Column) -> Column:
 
 
 def format_date_range(start: Column, end: Column) -> Column:
-    return F.concat_ws(
-        "_", F.date_format(start, "yyyy-MM-dd"), F.date_format(end, "yyyy-MM-dd")
-    )
+    return F.concat_ws("_", start.cast("string"), end.cast("string"))
 
 
 def parse_date_range(name: Column) -> tuple[Column, Column]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpulse.functions.dates import utc_day
 from parcelpulse.functions.indices import add_indices
 from parcelpulse.operators import clarity, series
 from parcelpulse.params import Params
@@ -68,7 +69,7 @@ def rejected_ndvi(cube: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"the cube lacks {missing}")
     shown = add_indices(cube, ["NDVI"]).withColumn(
-        "day", F.date_format("time", "yyyy-MM-dd")
+        "day", utc_day(F.col("time"))
     )
     counts = cube.groupBy("parcel_key").agg(F.count_distinct("time").alias("n_dates"))
     return shown.join(counts, "parcel_key").select(
