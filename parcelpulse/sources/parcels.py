@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,14 @@ from parcelpulse.schema import PARCEL_FILE, WGS84
 
 
 def _below(root: str, path: Column, depth: int) -> Column:
-    """Name of the path's part at a depth below the root folder."""
-    name = root.rstrip("/").rsplit("/", 1)[-1]
-    tail = F.substring_index(path, f"/{name}/", -1)
-    return F.url_decode(F.get(F.split(tail, "/"), F.lit(depth)))
+    """Name of the path's part at a depth below the root folder.
+
+    File paths in the metadata are URL-encoded, with a plus sign left as it is.
+    """
+    base = urlsplit(root).path.rstrip("/") + "/"
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    tail = F.substr(plain, F.instr(plain, base) + len(base))
+    return F.get(F.split(tail, "/"), F.lit(depth))
 
 
 def scan_date_folders(spark: SparkSession, root: str, file_format="parquet") -> DataFrame:
@@ -29,7 +35,7 @@ def scan_date_folders(spark: SparkSession, root: str, file_format="parquet") ->
     raw = (
         spark.read.schema(PARCEL_FILE)
         .format(file_format)
-        .load(f"{root.rstrip('/')}/*/*")
+        .load(f"{root.rstrip('/')}/[^_]*/[^_.]*")
         .select("*", path.alias("file_path"))
     )
     named = raw.withColumns(

@@ -33,6 +33,19 @@ def test_parcels_of_all_folders(spark):
     assert {r["epsg"] for r in rows} == {4326}
 
 
+def test_odd_names_below_the_root(spark):
+    """A file named like its root, names with spaces and signs, and a success marker."""
+    root = f"{new_folder(spark, 'x')}/in"
+    folder = f"{root}/2024-01-01_2024-02-01"
+    put(spark, f"{folder}/in", [("p", None, [RING])])
+    put(spark, f"{folder}/a b+c%.parquet", [("q", None, [RING])])
+    put(spark, f"{root}/2024-03-01_2024-04-01", [("r", None, [RING])])
+    rows = parcels.read_parcels(spark, root).collect()
+    names = {r["parcel_id"]: r["source_file"] for r in rows}
+    assert names["p"] == "in" and names["q"] == "a b+c%.parquet"
+    assert names["r"].startswith("part-") and len(rows) == 3
+
+
 def test_parcels_as_json(spark):
     root = new_folder(spark, "in")
     put(spark, f"{root}/2024-01-01_2024-02-01/a.json", [("p", None, [RING])], "json")
