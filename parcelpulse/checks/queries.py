@@ -509,10 +509,10 @@ def join_parcel_scene(spark, sf):
 def join_parcel_pixel(spark, sf):
     """Shared-grid pixels of a parcel's items within its padded bounds."""
     matches, items = matched_footprints(spark, sf)
-    pairs = spatial.join_parcel_scene(matches, items).select("parcel_key", "item_id")
+    days = spatial.parcel_days(matches, items)
     px = fx.pixels(spark, sf).select("item_id", "y", "x", "px_seq", "scl")
     return spatial.window_pixels(
-        px, fx.parcels(spark, sf), pairs, fx.GRID, pad=fx.GRID.resolution / 4
+        px, fx.parcels(spark, sf), items, days, fx.GRID, pad=fx.GRID.resolution / 4
     )
 
 

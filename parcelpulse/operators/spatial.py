@@ -17,6 +17,8 @@ JOIN_CELL_DEG = 1.0
 CELL_SPREAD = 8
 
 BATCH = ["source_file", "date_range", "batch_id"]
+# Identifies a row of parcel_days; all but the parcel are columns of an item, too.
+DAY_KEYS = ["parcel_key", "footprint_id", "solar_day", "utc_day"]
 
 
 def drop_invalid_parcels(parcels: DataFrame) -> DataFrame:
@@ -262,11 +264,21 @@ def clip_pixels(pixels: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def window_pixels(
-    pixels: DataFrame, parcels: DataFrame, pairs: DataFrame, grid: Grid, pad: float = 0.0
+    pixels: DataFrame,
+    parcels: DataFrame,
+    items: DataFrame,
+    days: DataFrame,
+    grid: Grid,
+    pad: float = 0.0,
 ) -> DataFrame:
-    """Pixels of a parcel's items within its padded bounds (the raster read window)."""
-    near = clip_pixels(pixels, window_cells(parcels, grid, pad))
-    return near.join(pairs, ["parcel_key", "item_id"], "left_semi")
+    """Pixels of a parcel's items within its padded bounds (the raster read window).
+
+    The items of a parcel are told by its footprint days, so parcel-item pairs, of which
+    there can be more than pixels, are not listed.
+    """
+    of_items = pixels.join(items.select("item_id", *DAY_KEYS[1:]), "item_id")
+    near = clip_pixels(of_items, window_cells(parcels, grid, pad))
+    return near.join(days, DAY_KEYS, "left_semi").drop(*DAY_KEYS[1:])
 
 
 def resample_nearest(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelpulse.functions.indices import add_indices, computable, mask_clear
 from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
+from parcelpulse.operators.spatial import DAY_KEYS
 from parcelpulse.params import Params
 from parcelpulse.schema import CLASS_BAND, Grid, bands_for
 from parcelpulse.session import hold, is_small
@@ -19,7 +20,6 @@ FOUND_COLUMNS = [
     "item_id", "datetime", "utc_day", "solar_day", "scale", "offset", "rings"
 ]
 IDENTITY = ["item_id", "parcel_key", "epsg", "y", "x", "px_seq", "acq_day"]
-DAY_KEYS = ["parcel_key", "footprint_id", "solar_day", "utc_day"]
 
 
 def with_range(parcels: DataFrame, start=None, end=None) -> DataFrame:
