@@ -5,11 +5,11 @@ space parts words; fewer words are one shingle). Two documents are linked when t
 have a Jaccard similarity of at least 3/4; the result names the component of each row.
 
 1. Equal sets are one class from the start, however many copies there are.
-2. Each class has 128 minima; 32 bands of four make the buckets. A linked pair shares none
+2. Each class has 256 minima; 32 bands of four make the buckets. A linked pair shares none
    with probability (1 - 0.75^4)^32, about 5e-6 at the very threshold.
 3. Members of a bucket are compared with its first member. What is connected by that needs no
-   further look; only members of different components in a bucket are then paired, so a
-   bucket of copies costs its size, not its square.
+   further look. Then each component in a bucket is compared with what is nearest to it, and in
+   the end all members of components that are still different.
 4. A pair's signatures are compared batch by batch. It is dropped as soon as the posterior
    probability of a similarity of 3/4 (uniform prior) falls below ``miss``. Survivors are
    confirmed on the full sets of words.
@@ -21,6 +21,8 @@ greater than all; a component of null ids has a null component_id, and its rows
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -40,20 +42,22 @@ from parcelpulse.llm.common import (
 )
 from parcelpulse.llm.graph import components
 
-HASHES, BANDS, BATCH = 128, 32, 32
+HASHES, BANDS, ROWS, BATCH = 256, 32, 4, 32
 SHARE = (3, 4)  # intersection / union at least
 MISS = 1e-6
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
+CHUNK = 4_096  # members of a bucket that meet at once
 
 _SEEDS = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR, _MULTIPLY = _SEEDS[:HASHES], _SEEDS[HASHES:] | np.uint64(1)
 
 SETS = (
     "doc_id bigint, text string, row bigint, n_shingles bigint, print binary, signature binary, "
-    "bands array<bigint>, sketch array<bigint>"
+    "bands array<bigint>"
 )
 
 
+@lru_cache(maxsize=64)
 def least_matches(seen: int, miss: float, share: float = SHARE[0] / SHARE[1]) -> int:
     """Fewest equal minima among ``seen`` at which P(similarity >= share) is ``miss`` or more."""
     total = 0.0
@@ -64,15 +68,18 @@ def least_matches(seen: int, miss: float, share: float = SHARE[0] / SHARE[1]) ->
     return seen
 
 
-def survivors(a: np.ndarray, b: np.ndarray, miss: float) -> np.ndarray:
-    """Which pairs of signature rows pass all batches of the sequential test."""
-    alive = np.arange(len(a))
-    matches = np.zeros(len(a), np.int64)
+def survivors(
+    signatures: np.ndarray, x: np.ndarray, y: np.ndarray, miss: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (x, y) of rows pass all batches of the sequential test, and their matches."""
+    alive = np.arange(len(x))
+    matches = np.zeros(len(x), np.int64)
     for seen in range(BATCH, HASHES + 1, BATCH):
-        part = slice(seen - BATCH, seen)
-        matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
-        alive = alive[matches[alive] >= least_matches(seen, miss)]
-    return alive
+        part = np.ascontiguousarray(signatures[:, seen - BATCH : seen])
+        matches = matches + (part[x[alive]] == part[y[alive]]).sum(axis=1)
+        passed = matches >= least_matches(seen, miss)
+        alive, matches = alive[passed], matches[passed]
+    return alive, matches
 
 
 def _sets(batch: pa.RecordBatch):
@@ -101,9 +108,7 @@ def _sets(batch: pa.RecordBatch):
             for k in range(HASHES):
                 minima[some, k] = np.minimum.reduceat((values ^ _XOR[k]) * _MULTIPLY[k], starts)
         signature = (minima >> np.uint64(40)).astype("<u2")
-        bits = (minima & np.uint64(3)).astype(np.uint8)
-        bits = np.concatenate([bits & 1, bits >> 1], axis=1)
-        keys = np.ascontiguousarray(signature).view("<u8")
+        keys = np.ascontiguousarray(signature[:, : BANDS * ROWS]).view("<u8")
         keys = mix64(keys ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(32)) * _MULTIPLY[0])
         empty = counts == 0
         content = "whole" if "whole" in part.schema.names else "text"
@@ -116,15 +121,12 @@ def _sets(batch: pa.RecordBatch):
                 "print": pa.array([None if e else p.tobytes() for e, p in zip(empty, prints)], pa.binary()),
                 "signature": pa.array([s.tobytes() for s in signature], pa.binary()),
                 "bands": pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                "sketch": pa.array(
-                    list(np.packbits(bits, axis=1).view(np.int64)), pa.list_(pa.int64())
-                ),
             }
         )
 
 
 def shingle_sets(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per document with its set's size, print, minima, band keys and sketch.
+    """One row per document with its set's size, print, minima and band keys.
 
     With ``whole`` all columns of ``docs`` stand in a struct, in place of the text.
     """
@@ -141,13 +143,15 @@ def shingle_sets(docs: DataFrame, whole: bool = False) -> DataFrame:
     return map_arrow(rows, _sets, schema)
 
 
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, HASHES)
+
+
 def _test(miss: float):
     def work(batch: pa.RecordBatch):
-        sides = [
-            np.frombuffer(b"".join(batch.column(name).to_pylist()), "<u2").reshape(-1, HASHES)
-            for name in ("signature_a", "signature_b")
-        ]
-        yield batch.select(["a", "b"]).take(pa.array(survivors(*sides, miss)))
+        both = np.concatenate([_signatures(batch.column(f"signature_{side}")) for side in "ab"])
+        x = np.arange(batch.num_rows)
+        yield batch.select(["a", "b"]).take(pa.array(survivors(both, x, x + batch.num_rows, miss)[0]))
 
     return work
 
@@ -181,8 +185,12 @@ def _with(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 def verify(pairs: DataFrame, sets: DataFrame, miss: float = MISS) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     tested = map_arrow(_with(pairs, sets, "signature"), _test(miss), "a bigint, b bigint")
-    confirmed = _with(stash(tested, "candidates"), sets, "text")
-    return map_arrow(confirmed, _confirm, "a bigint, b bigint")
+    return confirm(stash(tested, "candidates"), sets)
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets of shingles, made from the whole texts, are similar enough."""
+    return map_arrow(_with(pairs, sets, "text"), _confirm, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
@@ -228,7 +236,7 @@ def components_of(sets: DataFrame, miss: float = MISS) -> DataFrame:
     )
     firsts = sets.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
 
-    bands = firsts.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
+    bands = firsts.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"))
     shared = bands.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
     members = stash(bands.join(shared.where("n > 1").drop("n"), "key"), "members")
     star = stash(
@@ -238,49 +246,159 @@ def components_of(sets: DataFrame, miss: float = MISS) -> DataFrame:
     links = stash(verify(star, sets, miss), "links")
     groups = components(links)
 
-    links = links.unionByName(verify(_across(members, groups, sets, star), sets, miss))
-    groups = components(links)
+    done = star
+    for every in (False, True):
+        pairs = stash(_across(members, groups, sets, miss, every).join(done, ["a", "b"], "left_anti"), "pairs")
+        links = stash(links.unionByName(confirm(pairs, sets)), "links")
+        groups = components(links)
+        done = done.unionByName(pairs)
 
     named = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return named.join(least, "component").select("print", "component", "component_id")
 
 
-def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that were not compared before."""
+def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, miss: float, every: bool) -> DataFrame:
+    """Pairs of one bucket and different components that pass the sequential test.
+
+    For each component in a bucket that with most equal minima, which joins most of what
+    belongs together; or ``every`` one whose sets of hashes confirm it, as far as it joins
+    components in the bucket that earlier ones did not. A pair is made in the first bucket that it shares. A
+    large bucket is cut in chunks by hash, and chunks meet two by two, each in its own group.
+    """
     named = members.join(groups, "node", "left").select(
-        "key", "node", "lead", F.coalesce("component", "node").alias("part")
+        "key", "band", "node", F.coalesce("component", "node").alias("part")
     )
-    mixed = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    named = named.join(mixed.where("low < high").select("key"), "key")
-    named = stash(
-        named.join(sets.select(F.col("row").alias("node"), "n_shingles", "sketch"), "node"), "contested"
+    mixed = named.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")
     )
-    leads = named.where("node = lead").select("key", F.col("part").alias("lead_part"))
-    rest = named.join(leads, "key").where("part <> lead_part").drop("lead_part")
-    apart = sum(
-        F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(2 * HASHES // 64)
+    chunks = F.ceil(F.col("n") / CHUNK)
+    rows = (
+        named.join(mixed.where("low < high").select("key", "n"), "key")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
+        .withColumn("first", F.least("chunk", "other"))
+        .withColumn("second", F.greatest("chunk", "other"))
+        .drop("n", "other")
     )
+    signed = rows.join(sets.select(F.col("row").alias("node"), "n_shingles", "signature"), "node")
+    if not every:
+        return _meeting(signed, miss, "best")
+    # Sets of hashes only go where some pair passes the test.
+    alive = stash(_meeting(signed, miss, "groups"), "groups")
+    rows = rows.join(alive, ["key", "first", "second"], "left_semi")
+    nodes = rows.select(F.col("node").alias("row")).distinct()
+    whole = sets.select("row", "text", "n_shingles", "signature").join(nodes, "row")
+    schema = "node bigint, n_shingles bigint, signature binary, hashes binary"
+    return _meeting(rows.join(stash(map_arrow(whole, _hashes, schema), "hashes"), "node"), miss, "links")
+
+
+def _meeting(rows: DataFrame, miss: float, mode: str) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "key bigint, first bigint, second bigint" if mode == "groups" else "a bigint, b bigint"
     return (
-        rest.alias("x")
-        .join(
-            named.alias("y"),
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.part") != F.col("y.part"))
-            & (SHARE[1] * F.col("x.n_shingles") >= SHARE[0] * F.col("y.n_shingles"))
-            & (SHARE[1] * F.col("y.n_shingles") >= SHARE[0] * F.col("x.n_shingles"))
-            & (apart <= most_bits_apart()),
-        )
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
-        .join(done, ["a", "b"], "left_anti")
+        rows.repartition(parts, "key", "first", "second")
+        .sortWithinPartitions("key", "first", "second", "part", "node")
+        .mapInArrow(_meet(miss, mode), schema)
     )
 
 
-def most_bits_apart(miss: float = MISS, share: float = SHARE[0] / SHARE[1]) -> int:
-    """Bits of the sketches that a pair at the threshold exceeds with probability ``miss``."""
-    one = np.array([share + (1 - share) / 4, (1 - share) / 2, (1 - share) / 4])
-    total = np.ones(1)
-    for _ in range(HASHES):
-        total = np.convolve(total, one)
-    return int(np.flatnonzero(np.cumsum(total[::-1])[::-1] >= miss)[-1])
+def _meet(miss: float, mode: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last group: more of them may follow
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                rows = pa.Table.from_batches([batch.slice(at, CHUNK)])
+                if held is not None:
+                    rows = pa.concat_tables([held, rows])
+                edges = _group_edges(rows)
+                for a, b in zip(edges[:-2].tolist(), edges[1:-1].tolist(), strict=True):
+                    yield from cross_pairs(rows.slice(a, b - a), miss, mode)
+                held = rows.slice(int(edges[-2]))
+        if held is not None:
+            yield from cross_pairs(held, miss, mode)
+
+    return run
+
+
+def _hashes(batch: pa.RecordBatch):
+    flat, offsets = text_bytes(batch.column("text"))
+    values, at = hash_shingles(*hash_words(flat, offsets))
+    sets = [np.unique(values[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    kept = {c: batch.column(c) for c in ("n_shingles", "signature")}
+    yield pa.record_batch({"node": batch.column("row")} | kept | {"hashes": pa.array(sets, pa.binary())})
+
+
+def _linked(sets: list[np.ndarray], found: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Pairs that are similar enough by hashes, without those between joined components."""
+    root = {p: p for p in np.unique(part).tolist()}
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    keep = []
+    for k, (i, j) in enumerate(found[:, :2].tolist()):
+        a, b = find(int(part[i])), find(int(part[j]))
+        if a == b:
+            continue
+        x, y = sorted((sets[i], sets[j]), key=len)
+        place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        both = int((y[place] == x).sum())
+        if SHARE[1] * both >= SHARE[0] * (len(x) + len(y) - both):
+            root[a] = b
+            keep.append(k)
+    return found[keep]
+
+
+def _group_edges(rows: pa.Table) -> np.ndarray:
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for name in ("key", "first", "second"):
+        values = rows[name].to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(new), rows.num_rows)
+
+
+def cross_pairs(rows: pa.Table, miss: float, mode: str) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components in one group that pass the test, or the group if there are."""
+    node, part, size, chunk = (rows[c].to_numpy() for c in ("node", "part", "n_shingles", "chunk"))
+    signatures = _signatures(rows["signature"])
+    band = rows["band"][0].as_py()
+    apart = rows["first"][0].as_py() != rows["second"][0].as_py()
+    found = []
+    for at in range(0, len(node), 64):
+        x = np.arange(at, min(at + 64, len(node)))[:, None]
+        y = np.arange(at, len(node))[None, :]
+        fit = (part[x] != part[y]) & (x < y)
+        fit &= (SHARE[1] * size[x] >= SHARE[0] * size[y]) & (SHARE[1] * size[y] >= SHARE[0] * size[x])
+        if apart:
+            fit &= chunk[x] != chunk[y]
+        i, j = np.nonzero(fit)
+        i, j = i + at, j + at
+        for earlier in range(band):
+            if not len(i):
+                break
+            same = signatures[:, earlier * ROWS : (earlier + 1) * ROWS]
+            there = (same[i] == same[j]).all(axis=1)
+            i, j = i[~there], j[~there]
+        alive, matches = survivors(signatures, i, j, miss)
+        found.append(np.column_stack([i[alive], j[alive], matches]))
+    found = np.concatenate(found)
+    if mode == "groups":
+        if len(found):
+            yield from rows.select(["key", "first", "second"]).slice(0, 1).to_batches()
+        return
+    if mode == "best" and len(found):
+        found = found[np.argsort(-found[:, 2], kind="stable")]
+        _, of_x = np.unique(part[found[:, 0]], return_index=True)
+        _, of_y = np.unique(part[found[:, 1]], return_index=True)
+        found = found[np.union1d(of_x, of_y)]
+    if mode == "links" and len(found):
+        sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"].to_pylist()]
+        found = _linked(sets, found[np.argsort(-found[:, 2], kind="stable")], part)
+    if len(found):
+        a, b = node[found[:, 0]], node[found[:, 1]]
+        yield pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
