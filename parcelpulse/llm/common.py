@@ -16,6 +16,7 @@ from parcelpulse.session import hold
 
 # ASCII white space: what separates words.
 SPACE = rb"\x20\x09-\x0D"
+BATCH_ROWS = 512  # rows that a Python step holds as objects
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -38,12 +39,12 @@ def map_arrow(
     work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]],
     schema: str,
 ) -> DataFrame:
-    """``mapInArrow`` for a function of one batch; batches stay apart and small."""
+    """``mapInArrow`` for a function of one batch; it gets ``BATCH_ROWS`` rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                for out in work(batch):
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                for out in work(batch.slice(at, BATCH_ROWS)):
                     yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)

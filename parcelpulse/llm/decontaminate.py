@@ -5,9 +5,9 @@ divided by their sum: the score of a passage is the share of the segment that it
 passage of every document (twice ``SEGMENT`` words, half of them shared with the next) queries
 the index and retrieves all segments scoring ``LEAST_SCORE`` or more.
 
-Postings stand in order of segment, in blocks with their greatest weight. A document is looked
+Postings stand in order of segment, in blocks with their greatest weight. A passage is looked
 at only if its rare terms, with all common ones granted, can reach the score for some segment;
-then its passages run block-max WAND, which skips blocks that cannot reach it.
+then it runs block-max WAND, which skips blocks that cannot reach it.
 
 A retrieved item is verified on full words: of its shingles of five words the document holds
 ``LEAST_OVERLAP``, and half of those in each of question and answer (the item's first and second
@@ -95,6 +95,10 @@ class Index:
     words: dict = field(default_factory=dict)
     common: np.ndarray = None  # per segment, the weight of terms that are not rare
     rare: dict = field(default_factory=dict)  # term: (segments, weights)
+    rare_number: dict = field(default_factory=dict)  # place of a rare term in the arrays below
+    rare_ends: np.ndarray = None
+    rare_segments: np.ndarray = None
+    rare_weights: np.ndarray = None
 
 
 def build_index(rows: list, items: list) -> Index:
@@ -122,6 +126,10 @@ def build_index(rows: list, items: list) -> Index:
             index.common[at] += weights
         else:
             index.rare[term] = (at, weights)
+    index.rare_number = {term: k for k, term in enumerate(index.rare)}
+    index.rare_ends = np.cumsum([0, *(len(at) for at, _ in index.rare.values())])
+    index.rare_segments = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in index.rare.values())])
+    index.rare_weights = np.concatenate([np.zeros(0), *(w for _, w in index.rare.values())])
     return index
 
 
@@ -195,20 +203,32 @@ def overlap(words: list[bytes], held: set[tuple]) -> tuple[float, float, float]:
     return share(there), share(there[:half]), share(there[half:])
 
 
+def passages(index: Index, words: list[bytes]) -> list[int]:
+    """Starts of the passages whose rare terms, with all common ones granted, can reach the score."""
+    get = index.rare_number.get
+    terms = np.array([get(w, -1) for w in words], np.int64)
+    at = np.flatnonzero(terms >= 0)
+    if not len(at):
+        return []
+    # A word is in the passage that starts at its segment and in the one before; a term counts once.
+    part = at // SEGMENT
+    pairs = np.concatenate([part * len(index.rare) + terms[at], (part - 1) * len(index.rare) + terms[at]])
+    pairs = np.unique(pairs[pairs >= 0])
+    part, terms = pairs // len(index.rare), pairs % len(index.rare)
+    sizes = index.rare_ends[terms + 1] - index.rare_ends[terms]
+    rows = np.repeat(index.rare_ends[terms] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    cells, place = np.unique(
+        np.repeat(part, sizes) * len(index.common) + index.rare_segments[rows], return_inverse=True
+    )
+    reach = np.bincount(place, index.rare_weights[rows])
+    good = reach + index.common[cells % len(index.common)] >= LEAST_SCORE - 1e-9
+    return (np.unique(cells[good] // len(index.common)) * SEGMENT).tolist()
+
+
 def contained(index: Index, words: list[bytes]) -> dict[int, float]:
     """Items that the words of one document hold, with the share of their shingles."""
-    near = [index.rare[t] for t in set(words).intersection(index.rare)]
-    if not near:
-        return {}
-    reach = np.bincount(
-        np.concatenate([s for s, _ in near]),
-        np.concatenate([w for _, w in near]),
-        minlength=len(index.common),
-    )
-    if not (reach + index.common * (reach > 0) >= LEAST_SCORE - 1e-9).any():
-        return {}
     items = set()
-    for k in range(0, max(len(words) - SEGMENT, 1), SEGMENT):
+    for k in passages(index, words):
         for segment, _ in block_max_wand(index, set(words[k : k + 2 * SEGMENT]), LEAST_SCORE):
             items.add(index.owner[segment])
     out: dict[int, float] = {}

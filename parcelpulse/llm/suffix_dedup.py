@@ -181,13 +181,17 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared[:-1] |= equal
         if held is not None and held_shared:
             shared[0] = True
-        out = rows.take(pa.array(at)).drop_columns(["bucket", "content"])
-        out = out.append_column("shared", pa.array(shared))
-        yield from out.slice(0, len(at) - 1).to_batches()
+        yield from _marked(rows.take(pa.array(at[:-1])), shared[:-1]).to_batches()
         held, held_shared = rows.slice(int(at[-1]), 1), bool(shared[-1])
     if held is not None:
-        out = held.drop_columns(["bucket", "content"])
-        yield from out.append_column("shared", pa.array([held_shared])).to_batches()
+        yield from _marked(held, np.array([held_shared])).to_batches()
+
+
+def _marked(rows: pa.Table, shared: np.ndarray) -> pa.Table:
+    """Only shared tokens are needed again; the others would not compress."""
+    token = pa.array(rows["token"].to_numpy(), mask=~shared)
+    out = rows.select(["id", "tie", "place"]).add_column(0, "token", token)
+    return out.append_column("shared", pa.array(shared))
 
 
 def multikey_order(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

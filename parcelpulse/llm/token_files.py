@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -31,9 +32,14 @@ from parcelpulse.session import new_folder
 COUNTS = (1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 
+# The narrowest width for an id: number of limits up to it, or looked up for small ids.
+_CLASS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 64], np.int8)
+_LIMITS = np.array([1 << int(w) for w in _CLASS[:-1]], np.uint64)
+_SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right")]
+
 BLOCK_TOKENS = 1 << 16
 BATCH_TEXTS = 256
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000  # twice: recent ones and those before
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
@@ -41,11 +47,14 @@ BLOCKS = (
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_UNSURE = re.compile(r"(?:^|\s) | (?:\s|$)")
 _FINE = re.compile(rf"(?<=[{_LATIN}])(?=[.,;:!?\n])|(?<=\n)(?=[{_LATIN}])")
 _WORD = re.compile(rf" ?[{_LATIN}]+")
 
 
+class _Unsure(Exception):
+    """A blank beside other white space: the text cannot be cut at each blank."""
+
+
 class Encoder:
     """Whole texts to ids, by pieces that the tokenizer never joins, each encoded once.
 
@@ -58,49 +67,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenize = self.tokenizer.model.tokenize
-        self.after_blank: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         # Bytes that print as themselves keep their character; others follow from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.chars = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            if _WORD.fullmatch(part):
-                tokens = self.tokenize(part.encode().decode("latin-1").translate(self.chars))
-                found = [t.id for t in tokens]
-            else:
-                found = self.tokenizer.encode(part, add_special_tokens=False).ids
-            if len(self.parts) >= CACHED_WORDS // 2:
-                self.parts.clear()
-            ids = self.parts[part] = np.array(found, "<u4").tobytes()
-        return ids
+    def _word(self, word: str) -> bytes:
+        """Ids of letters, maybe after a blank."""
+        shown = word.encode().decode("latin-1").translate(self.chars)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self._part, _FINE.split(piece)))
+        if _WORD.fullmatch(piece):
+            return self._word(piece)
+        out = []
+        for part in _FINE.split(piece):
+            if _WORD.fullmatch(part):
+                out.append(self._word(part))
+            else:
+                ids = self.marks.get(part)
+                if ids is None:
+                    found = self.tokenizer.encode(part, add_special_tokens=False).ids
+                    if len(self.marks) >= CACHED_WORDS // 4:
+                        self.marks.clear()
+                    ids = self.marks[part] = array("I", found).tobytes()
+                out.append(ids)
+        return b"".join(out)
+
+    def _after_blank(self, word: str) -> bytes:
+        """Ids of a blank and a word."""
+        if not word or word != word.strip():
+            raise _Unsure
+        return self._piece(" " + word)
 
     def _learn(self, word: str) -> bytes:
-        ids = self._piece(" " + word)
-        if len(self.after_blank) >= CACHED_WORDS:
-            self.after_blank.clear()
-        self.after_blank[word] = ids
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._after_blank(word)
+        if len(self.recent) >= CACHED_WORDS:  # words not met for long are forgotten
+            self.older, self.recent = self.recent, {}
+        self.recent[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        if _UNSURE.search(text):
-            first, *pieces = _CUT.split(text)
-            words = [p[1:] for p in pieces]
-        else:
-            first, *words = text.split(" ")
-        known = self.after_blank
+        first, *words = text.split(" ")
         try:
-            rest = b"".join([known[w] for w in words])
-        except KeyError:
-            rest = b"".join([known.get(w) or self._learn(w) for w in words])
-        return self._piece(first) + rest
+            if words and (not first or first != first.strip()):
+                raise _Unsure
+            get, learn = self.recent.get, self._learn
+            return self._piece(first) + b"".join([get(w) or learn(w) for w in words])
+        except _Unsure:
+            return b"".join(map(self._piece, _CUT.split(text)))
 
 
 def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,9 +130,7 @@ def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     ends = np.cumsum(counts)
     left = np.repeat(ends, counts) - np.arange(n)  # ids up to the end of the document
-    width = np.zeros(n, np.int8)
-    for bits in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 64):
-        width[ids >= np.uint64(1 << (bits - 1) if bits == 1 else 1 << _below(bits))] = bits
+    width = _CLASS[np.searchsorted(_LIMITS, ids, side="right")] if ids.max(initial=0) >> 16 else _SMALL[ids]
     selector = np.where(width > 60, 0, 15).astype(np.int8)
     widest, span = width, 1
     for s in range(14, 0, -1):
@@ -148,11 +167,6 @@ def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(place[first])
 
 
-def _below(bits: int) -> int:
-    """The next smaller width."""
-    return max(w for w in WIDTHS if w < bits)
-
-
 def unpack(words: np.ndarray) -> np.ndarray:
     """All ids of a block."""
     selector = (words >> np.uint64(60)).astype(np.int64)
