@@ -22,15 +22,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
+    state = _state(now)
     for _ in range(max_rounds):
-        after = stash(_small_star(_large_star(now)), "edges")
-        # Settled when each node has one link, and no link leads to a node that has one.
-        many = after.groupBy("a").count().where("count > 1").limit(1)
-        chained = after.select(F.col("b").alias("a")).join(after, "a", "left_semi").limit(1)
-        if many.isEmpty() and chained.isEmpty():
-            now = after
+        now = stash(_small_star(_large_star(now)), "edges")
+        before, state = state, _state(now)
+        if state == before:
             break
-        now = after
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
@@ -38,6 +35,32 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Tells edges apart that differ; a round that changes nothing is the last."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b") % 65_521)).first())
+
+
+def extend(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (``node``, ``component``) after some more ``links`` (``a``, ``b``).
+
+    Only the components themselves are joined, so the work follows the new links.
+    """
+
+    def inside(side: str) -> DataFrame:
+        return groups.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}"))
+
+    joined = (
+        links.join(inside("a"), "a", "left")
+        .join(inside("b"), "b", "left")
+        .select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
+    )
+    moved = components(joined)
+    renamed = groups.join(
+        moved.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left"
+    ).select("node", F.coalesce("into", "component").alias("component"))
+    return stash(renamed.unionByName(moved.join(groups.select("node"), "node", "left_anti")), "groups")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

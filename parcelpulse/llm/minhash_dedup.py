@@ -40,7 +40,7 @@ from parcelpulse.llm.common import (
     stash,
     text_bytes,
 )
-from parcelpulse.llm.graph import components
+from parcelpulse.llm.graph import components, extend
 
 HASHES, BANDS, ROWS, BATCH = 256, 32, 4, 32
 SHARE = (3, 4)  # intersection / union at least
@@ -243,14 +243,14 @@ def components_of(sets: DataFrame, miss: float = MISS) -> DataFrame:
         members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(),
         "pairs",
     )
-    links = stash(verify(star, sets, miss), "links")
-    groups = components(links)
+    groups = stash(components(stash(verify(star, sets, miss), "links")), "groups")
 
     done = star
     for every in (False, True):
         pairs = stash(_across(members, groups, sets, miss, every).join(done, ["a", "b"], "left_anti"), "pairs")
-        links = stash(links.unionByName(confirm(pairs, sets)), "links")
-        groups = components(links)
+        more = stash(confirm(pairs, sets), "links")
+        if not more.isEmpty():
+            groups = extend(groups, more)
         done = done.unionByName(pairs)
 
     named = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
