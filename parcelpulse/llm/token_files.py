@@ -39,7 +39,7 @@ _SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), si
 
 BLOCK_TOKENS = 1 << 16
 BATCH_TEXTS = 256
-CACHED_WORDS = 200_000  # twice: recent ones and those before
+CACHED_WORDS = 500_000  # twice: recent ones and those before
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
@@ -77,7 +77,9 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, maybe after a blank."""
-        shown = word.encode().decode("latin-1").translate(self.chars)
+        if not word.isascii():
+            word = word.encode().decode("latin-1")
+        shown = word.translate(self.chars)
         return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
@@ -88,20 +90,27 @@ class Encoder:
             if _WORD.fullmatch(part):
                 out.append(self._word(part))
             else:
-                ids = self.marks.get(part)
-                if ids is None:
-                    found = self.tokenizer.encode(part, add_special_tokens=False).ids
-                    if len(self.marks) >= CACHED_WORDS // 4:
-                        self.marks.clear()
-                    ids = self.marks[part] = array("I", found).tobytes()
-                out.append(ids)
+                out.append(self._other(part))
         return b"".join(out)
 
+    def _other(self, part: str) -> bytes:
+        ids = self.marks.get(part)
+        if ids is None:
+            found = self.tokenizer.encode(part, add_special_tokens=False).ids
+            if len(self.marks) >= CACHED_WORDS // 4:
+                self.marks.clear()
+            ids = self.marks[part] = array("I", found).tobytes()
+        return ids
+
     def _after_blank(self, word: str) -> bytes:
         """Ids of a blank and a word."""
         if not word or word != word.strip():
             raise _Unsure
-        return self._piece(" " + word)
+        body = word.rstrip(".,;:!?")
+        if not _WORD.fullmatch(body):
+            return self._piece(" " + word)
+        ids = self._word(" " + body)
+        return ids if body == word else ids + self._other(word[len(body) :])
 
     def _learn(self, word: str) -> bytes:
         ids = self.older.get(word)
