@@ -96,14 +96,25 @@ def flight(sizes: np.ndarray, probs: np.ndarray, rng: np.random.Generator) -> np
 
 
 def land(sizes: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """Round what is undecided, large units first, keeping the error in words least."""
-    out, error = probs.copy(), 0.0
-    for k in np.lexsort((np.arange(len(sizes)), -sizes)):
-        if EDGE < out[k] < 1 - EDGE:
-            up, down = error + sizes[k] * (1 - out[k]), error - sizes[k] * out[k]
-            out[k], error = (1.0, up) if abs(up) < abs(down) else (0.0, down)
-        else:
-            out[k] = round(out[k])
+    """Round what is undecided, large units first, keeping the error in words least.
+
+    Then turn single units, or two of them, as long as that lessens the error.
+    """
+    out, error = np.round(probs), 0.0
+    open_ = np.flatnonzero((probs > EDGE) & (probs < 1 - EDGE))
+    for k in open_[np.lexsort((open_, -sizes[open_]))]:
+        up, down = error + sizes[k] * (1 - probs[k]), error - sizes[k] * probs[k]
+        out[k], error = (1.0, up) if abs(up) < abs(down) else (0.0, down)
+    for _ in range(len(open_)):
+        turn = np.append(sizes[open_] * (1 - 2 * out[open_]), 0.0)  # the last turns nothing
+        after = np.abs(error + turn[:, None] + turn[None, :])
+        np.fill_diagonal(after, np.inf)
+        if not len(open_) or after.min() >= abs(error) - EDGE:
+            break
+        for k in np.unravel_index(np.argmin(after), after.shape):
+            if k < len(open_):
+                error += turn[k]
+                out[open_[k]] = 1 - out[open_[k]]
     return out
 
 
@@ -123,7 +134,7 @@ def _decide(group: pd.DataFrame) -> pd.DataFrame:
     last = int(first.blocks) == 1
     by_size = open_[np.lexsort((open_, sizes[open_]))]
     by_size = by_size[sizes[by_size] > 0]
-    pool = min(POOL, max(4, len(by_size) // 4)) if last else HELD
+    pool = min(POOL, max(POOL // 4, len(by_size) // 4)) if last else HELD
     aside = by_size[spread(len(by_size), pool)]
     fly = np.setdiff1d(open_, aside)
     probs[fly] = flight(sizes[fly], probs[fly], rng)

@@ -77,9 +77,10 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, maybe after a blank."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1")
-        shown = word.translate(self.chars)
+        if word.isascii():
+            shown = word.replace(" ", self.chars[32])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.chars)
         return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
