@@ -13,7 +13,8 @@ from parcelpulse.operators.catalogue import item_cloud_cover, item_scale
 from parcelpulse.schema import Grid
 
 COLLECTION = "l2a"
-START, END = "1996-01-01", "1999-12-31"
+# All orders, so all scenes, lie between these days.
+START, END = "1995-01-01", "2001-12-31"
 GRID = Grid(10, 1000)
 COARSE_GRID = Grid(20, 1000)
 
@@ -33,16 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores where the file has fewer splits than there are cores.
-
-    The small test files hold a single row group, which one task would read and process.
-    A table with more splits than cores passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, *keys)
-
-
 def _ring(vertices):
     return F.array(F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in vertices]))
 
@@ -77,7 +68,7 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scene item per order, with its nested documents and the columns from them."""
     ring = [(F.col("lon0") + dx, F.col("lat0") + dy) for dx, dy in FOOTPRINT]
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    base = spread(orders, "o_orderkey").selectExpr(
+    base = orders.selectExpr(
         "o_orderkey AS item_id",
         "CASE WHEN o_orderkey % 7 = 0 THEN 'l2a-old' ELSE 'l2a' END AS collection",
         "timestampadd(HOUR, cast(o_orderkey % 24 AS int),"
@@ -115,7 +106,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"
     )
     return (
-        spread(lines, "l_orderkey", "l_linenumber")
+        lines
         .selectExpr(
             "l_suppkey AS parcel_key",
             "l_orderkey AS item_id",

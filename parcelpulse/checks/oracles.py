@@ -9,7 +9,7 @@ from __future__ import annotations
 from parcelpulse.schema import INDICES, SPECTRAL_BANDS, bands_for
 
 ALL = list(INDICES)
-START, END = "1996-01-01", "1999-12-31"
+START, END = "1995-01-01", "2001-12-31"
 SHORT = ("1997-01-01", "1997-06-30")
 SPARSE = ("1997-01-01", "1997-01-31")
 

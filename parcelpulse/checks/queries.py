@@ -463,8 +463,8 @@ def project_utm(spark, sf):
     return projected.select(
         "parcel_key",
         F.col("epsg").cast("long").alias("epsg"),
-        F.posexplode(F.get("rings_utm", F.lit(0))).alias("seq", "v"),
-    ).select(
+        F.explode("rings_utm").alias("ring"),
+    ).select("parcel_key", "epsg", F.posexplode("ring").alias("seq", "v")).select(
         "parcel_key",
         "epsg",
         F.col("seq").cast("long").alias("seq"),

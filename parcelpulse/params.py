@@ -26,36 +26,38 @@ class Params:
     utc_day_match: bool = False
 
     def __post_init__(self):
-        problems = []
-        if self.collection is None:
-            problems.append("'collection' is missing")
-        elif not isinstance(self.collection, str):
-            problems.append(
-                f"'collection' must be str, got {type(self.collection).__name__}"
-            )
-        if not isinstance(self.indices, (list, tuple)):
-            problems.append(
-                f"'indices' must be a list, got {type(self.indices).__name__}"
-            )
-        elif not self.indices:
-            problems.append("'indices' cannot be empty")
-        else:
-            unknown = sorted({str(i) for i in self.indices if i not in INDICES})
-            if unknown:
-                problems.append(
-                    f"unknown 'indices': {', '.join(unknown)}; "
-                    f"known are {', '.join(INDICES)}"
-                )
-        for name in ("save_cube", "debug_cloud", "per_item_scale", "utc_day_match"):
-            value = getattr(self, name)
-            if not isinstance(value, bool):
-                problems.append(f"'{name}' must be bool, got {type(value).__name__}")
-        if not _is_number(self.batch_size_deg) or not self.batch_size_deg > 0:
-            problems.append("'batch_size_deg' must be a number > 0")
-        for name in ("max_cloud", "min_clear"):
-            if not _is_number(getattr(self, name)):
-                problems.append(f"'{name}' must be a number")
+        problems = [text.format(name=name, value=value) for name, value, text in self._faults()]
         if problems:
-            raise ValueError(
-                "Invalid arguments:\n" + "\n".join(f"  - {p}" for p in problems)
-            )
+            raise ValueError(problems_text(problems))
+
+    def _faults(self):
+        """(argument, value, complaint) of every rule that is broken."""
+        for name, holds, text in RULES:
+            value = getattr(self, name)
+            if not holds(value):
+                yield name, value, text
+        if isinstance(self.indices, (list, tuple)):
+            for index in sorted({str(i) for i in self.indices} - set(INDICES)):
+                yield "indices", index, "{value} is none of the {name}, which are " + ", ".join(INDICES)
+
+
+def problems_text(problems: list[str]) -> str:
+    return f"{len(problems)} problem(s) with the arguments: " + "; ".join(problems)
+
+
+def _between(low: float, high: float):
+    return lambda v: _is_number(v) and low <= v <= high
+
+
+_SWITCH = "{name} is a switch and takes True or False, not {value!r}"
+# What each argument must hold, and the complaint if it does not.
+RULES = (
+    ("collection", lambda v: isinstance(v, str), "{name} takes the collection's name, not {value!r}"),
+    ("indices", lambda v: isinstance(v, (list, tuple)), "{name} takes a list of names, not {value!r}"),
+    ("indices", lambda v: not isinstance(v, (list, tuple)) or len(v) > 0, "{name} names no index, is empty"),
+    ("batch_size_deg", lambda v: _is_number(v) and 0 < v < 360, "{name} takes degrees above 0, not {value!r}"),
+    ("max_cloud", _between(0, 100), "{name} takes a percentage, not {value!r}"),
+    ("min_clear", _between(0, 1), "{name} takes a share from 0 to 1, not {value!r}"),
+    *((name, lambda v: isinstance(v, bool), _SWITCH) for name in ("save_cube", "debug_cloud")),
+    *((name, lambda v: isinstance(v, bool), _SWITCH) for name in ("per_item_scale", "utc_day_match")),
+)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelpulse.operators import clarity, series
-from parcelpulse.params import Params
+from parcelpulse.params import Params, problems_text
 from parcelpulse.plans.rejected import cube_of_rejected
 from parcelpulse.plans.time_series import (
     finish_series,
@@ -47,6 +48,15 @@ def run_folders(
     The folders' dates are a column, so nothing loops over folders. When the masked cube
     is saved, the means are taken from the saved table and the pixels are read only once.
     """
+    lacking = [
+        f"'{name}' is switched on but has no path"
+        for name, path in (("save_cube", paths.cube), ("debug_cloud", paths.rejected))
+        if getattr(params, name) and path is None
+    ]
+    if classes is not None and class_grid is None:
+        lacking.append("'classes' come without their 'class_grid'")
+    if lacking:
+        raise ValueError(problems_text(lacking))
     parcels = read_parcels(spark, root, file_format)
     found = search(parcels, scenes, params, utm=utm)
     coarse = {"classes": classes, "class_grid": class_grid}
@@ -56,13 +66,14 @@ def run_folders(
     cube, days = masked_cube(pixels, found, usable, params, grid, **coarse)
     if params.save_cube:
         timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
-        write_cube(series.stamp_provenance(timed, found.parcels), paths.cube)
-        saved = read_cube(spark, paths.cube).join(
-            found.parcels.select("parcel_key", *series.PROVENANCE),
-            ["parcel_key", *series.PROVENANCE],
-            "left_semi",
+        stamped = series.stamp_provenance(timed, found.parcels)
+        write_cube(stamped, paths.cube)
+        saved = read_cube(spark, paths.cube, schema=stamped.schema)
+        mine = found.parcels.select(
+            *(F.col(c).alias(f"own_{c}") for c in ("parcel_key", *series.PROVENANCE))
         )
-        cube = saved.select(*cube.columns)
+        same = [saved[c].eqNullSafe(mine[f"own_{c}"]) for c in ("parcel_key", *series.PROVENANCE)]
+        cube = saved.join(mine, same, "left_semi").select(*cube.columns)
     if params.debug_cloud:
         write_cube(
             cube_of_rejected(pixels, found, usable, params, grid, **coarse),

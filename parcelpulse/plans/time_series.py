@@ -13,7 +13,7 @@ from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
 from parcelpulse.operators.spatial import DAY_KEYS
 from parcelpulse.params import Params
 from parcelpulse.schema import CLASS_BAND, Grid, bands_for
-from parcelpulse.session import hold, is_small
+from parcelpulse.session import hold
 
 ITEM_COLUMNS = ["item_id", "footprint_id", "solar_day", "utc_day", "item_seq"]
 FOUND_COLUMNS = [
@@ -44,11 +44,6 @@ class Search:
     days: DataFrame  # one row per parcel, footprint and day with items
     rings: str  # column that the pixel grid's cells are cut with
     extent: tuple  # minx, miny, maxx, maxy of that column over all parcels
-    items_small: bool  # the scene table may be broadcast
-
-    def beside_pixels(self, items: DataFrame) -> DataFrame:
-        """Mark the scene table, or a part of it, for broadcast when it is small."""
-        return F.broadcast(items) if self.items_small else items
 
 
 def find_items(scenes: DataFrame, params: Params, start=None, end=None):
@@ -93,7 +88,7 @@ def search(
     matches = spatial.match_footprints(parcels, footprints)
     days = hold(spatial.parcel_days(matches, items), "days")
     items = hold(catalogue.with_item_seq(needed_items(items, days)), "items")
-    return Search(parcels, items, days, rings, tuple(extent), is_small(items))
+    return Search(parcels, items, days, rings, tuple(extent))
 
 
 def prune_pixels(
@@ -121,7 +116,7 @@ def matched_pixels(
     """Pixels of the items, inside a parcel, on one of that parcel's days.
 
     All three are equi-joins on keys that no single parcel, scene or day dominates, except
-    the first, which is a broadcast while the scene table is small.
+    the first, which Catalyst broadcasts while the held scene table is below the threshold.
     """
     of_items = pixels.join(items, "item_id")
     return spatial.clip_pixels(of_items, cells).join(days, DAY_KEYS)
@@ -137,7 +132,7 @@ def class_mosaic(pixels: DataFrame, found: Search, grid: Grid) -> DataFrame:
     px = matched_pixels(
         sample_columns(prune_pixels(pixels, found, found.days, grid), [CLASS_BAND]),
         spatial.parcel_cells(found.parcels, grid, found.rings),
-        found.beside_pixels(found.items.select(*ITEM_COLUMNS)),
+        found.items.select(*ITEM_COLUMNS),
         found.days.select(*DAY_KEYS),
     )
     return mosaic.solar_day_mosaic(px, [CLASS_BAND])
@@ -187,13 +182,13 @@ def spectral_cube(
     px = matched_pixels(
         sample_columns(prune_pixels(pixels, found, days, grid), [*bands, *own]),
         spatial.parcel_cells(found.parcels, grid, found.rings),
-        found.beside_pixels(items.select(*scene_columns)),
+        items.select(*scene_columns),
         wanted,
     )
     if classes is not None:
         coarse = sample_columns(prune_pixels(classes, found, days, class_grid), [CLASS_BAND])
         coarse = coarse.join(
-            found.beside_pixels(items.select("item_id")), "item_id", "left_semi"
+            items.select("item_id"), "item_id", "left_semi"
         )
         px = spatial.resample_nearest(px, coarse, grid, class_grid, [CLASS_BAND])
     return mosaic.reflectance_mosaic(px, bands, [CLASS_BAND])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for. Catalyst and AQE broadcast a side only when its
 # measured size is below the thresholds, and split skewed partitions of the sort-merge
-# join they use otherwise. The one hint in the plans is checked by is_small.
+# join they use otherwise.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName("parcelpulse")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SETTINGS, **conf}.items():
@@ -72,16 +72,3 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Rows of a narrow held table that may be broadcast: some hundred bytes each in memory.
-BROADCAST_ROWS = 2_000_000
-
-
-def is_small(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """A held table is proven small enough to broadcast.
-
-    Counting it reads Parquet footers only. Meant for the small side of a join with the
-    pixels, where a wrong guess would shuffle the pixels for nothing.
-    """
-    return held.count() <= max_rows

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlsplit
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +10,18 @@ from parcelpulse.operators.spatial import drop_invalid_parcels
 from parcelpulse.schema import PARCEL_FILE, WGS84
 
 
-def _below(root: str, path: Column, depth: int) -> Column:
-    """Name of the path's part at a depth below the root folder.
+# Date folder and parcel file at the end of a path; a file may be a folder of part files.
+PLACE = r"/([0-9]+-[0-9]+-[0-9]+_[0-9]+-[0-9]+-[0-9]+)/([^/]+)(?:/[^/]+)?$"
+
+
+def _place(path: Column, part: int) -> Column:
+    """Name of the date folder (1) or file (2), taken from the end of the path.
 
-    File paths in the metadata are URL-encoded, with a plus sign left as it is.
+    So it is the same for any spelling of the root. File paths in the metadata are
+    URL-encoded, with a plus sign left as it is.
     """
-    base = urlsplit(root).path.rstrip("/") + "/"
     plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    tail = F.substr(plain, F.instr(plain, base) + len(base))
-    return F.get(F.split(tail, "/"), F.lit(depth))
+    return F.regexp_extract(plain, PLACE, part)
 
 
 def scan_date_folders(spark: SparkSession, root: str, file_format="parquet") -> DataFrame:
@@ -40,8 +41,8 @@ def scan_date_folders(spark: SparkSession, root: str, file_format="parquet") ->
     )
     named = raw.withColumns(
         {
-            "date_range": _below(root, F.col("file_path"), 0),
-            "source_file": _below(root, F.col("file_path"), 1),
+            "date_range": _place(F.col("file_path"), 1),
+            "source_file": _place(F.col("file_path"), 2),
         }
     )
     start, end = parse_date_range(F.col("date_range"))
@@ -70,7 +71,7 @@ def check_parcel_files(spark: SparkSession, raw: DataFrame, file_format="parquet
         columns = spark.read.format(file_format).load(row["file_path"]).columns
         if "ID_PARCEL" not in columns:
             raise ValueError(
-                f"{row['file_path']}: missing required column 'ID_PARCEL'. Got: {columns}"
+                f"{row['file_path']}: no parcel ids, the columns are {columns} without ID_PARCEL"
             )
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelpulse.session import hold
 
 logger = logging.getLogger(__name__)
 
+FOLDERS = ("date_range", "source_file", "parcel_id")
 CUBE_ORDER = ["date_range", "parcel_key", "time", "y", "x"]
 
 
@@ -32,14 +34,16 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_cube(cube: DataFrame, path: str, by_parcel: bool = False) -> None:
-    """Store a pixel cube, replacing the date ranges (or parcels) it holds.
-
-    By default there is one folder per date range with files sorted by parcel, date and
-    cell: a parcel is found by row group statistics, and the number of folders does not
-    grow with the parcels. ``by_parcel`` makes a folder per parcel below each date range.
-    Range partitioning on the full sort key splits a large parcel over several files.
+    """Store a pixel cube, replacing the parcel files (or parcels) it holds.
+
+    By default there is one folder per date range and parcel file, with data sorted by
+    parcel, date and cell: a parcel is found by row group statistics, and the number of
+    folders does not grow with the parcels. A run covers whole files, so it replaces what
+    it made before and leaves the cubes of other files. ``by_parcel`` makes a folder per
+    parcel below each date range. Range partitioning on the full sort key splits a large
+    parcel over several files.
     """
-    folders = ["date_range", "parcel_id"] if by_parcel else ["date_range"]
+    folders = ["date_range", "parcel_id" if by_parcel else "source_file"]
     order = folders[1:] + CUBE_ORDER
     (
         cube.repartitionByRange(*order)
@@ -51,11 +55,22 @@ def write_cube(cube: DataFrame, path: str, by_parcel: bool = False) -> None:
     )
 
 
-def read_cube(spark: SparkSession, path: str, required=("red", "nir")) -> DataFrame:
-    """All cubes below a folder. Folder values stay text; empty cubes give no rows."""
-    cube = spark.read.parquet(path)
+def read_cube(
+    spark: SparkSession,
+    path: str,
+    required=("red", "nir"),
+    schema: StructType | None = None,
+) -> DataFrame:
+    """All cubes below a folder. Folder values stay text, with leading zeros.
+
+    A cube without rows has no file to read a schema from; pass the one it was written with.
+    """
+    fields = schema or spark.read.parquet(path).schema
+    text = StructType(
+        [StructField(f.name, StringType()) if f.name in FOLDERS else f for f in fields]
+    )
+    cube = spark.read.schema(text).parquet(path)
     absent = [b for b in required if b not in cube.columns]
     if absent:
         raise ValueError(f"{path}: the cube lacks {', '.join(absent)}")
-    text = {c: cube[c].cast("string") for c in ("date_range", "parcel_id")}
-    return cube.withColumns(text)
+    return cube

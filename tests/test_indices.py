@@ -9,15 +9,15 @@ from parcelpulse.schema import INDICES, bands_for
 
 # Literal pixels and the value the index must have.
 CASES = [
-    ("NDVI", {"nir": 0.8, "red": 0.2}, 0.6),
-    ("NDVI", {"nir": 0.3, "red": 0.3}, 0.0),
-    ("NDWI", {"green": 0.3, "nir": 0.5}, -0.25),
-    ("SAVI", {"nir": 0.6, "red": 0.1}, 0.5 / 1.2 * 1.5),
-    ("NBR", {"nir": 0.5, "swir16": 0.25}, 1 / 3),
-    ("NDBI", {"swir16": 0.25, "nir": 0.5}, -1 / 3),
-    ("NDRE1", {"nir": 0.5, "rededge1": 0.3}, 0.25),
-    ("NDRE2", {"nir": 0.5, "rededge2": 0.5}, 0.0),
-    ("NDRE3", {"nir": 0.2, "rededge3": 0.6}, -0.5),
+    ("NDVI", {"nir": 0.75, "red": 0.15}, 2 / 3),
+    ("NDVI", {"nir": 0.42, "red": 0.42}, 0.0),
+    ("NDWI", {"green": 0.1, "nir": 0.7}, -0.75),
+    ("SAVI", {"nir": 0.7, "red": 0.3}, 0.4),
+    ("NBR", {"nir": 0.64, "swir16": 0.16}, 0.6),
+    ("NDBI", {"swir16": 0.16, "nir": 0.64}, -0.6),
+    ("NDRE1", {"nir": 0.45, "rededge1": 0.15}, 0.5),
+    ("NDRE2", {"nir": 0.27, "rededge2": 0.27}, 0.0),
+    ("NDRE3", {"nir": 0.12, "rededge3": 0.28}, -0.4),
 ]
 
 
@@ -28,7 +28,7 @@ def test_formula(spark, name, bands, value):
 
 
 def test_dense_vegetation(spark):
-    df = spark.createDataFrame([(0.9, 0.05)], ["nir", "red"])
+    df = spark.createDataFrame([(0.88, 0.04)], ["nir", "red"])
     assert ix.add_indices(df, ["NDVI"]).first()["NDVI"] > 0.8
 
 

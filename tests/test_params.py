@@ -32,6 +32,9 @@ def test_accepts_several_indices_and_sizes():
         ({"batch_size_deg": -0.5}, "batch_size_deg"),
         ({"batch_size_deg": True}, "batch_size_deg"),
         ({"batch_size_deg": float("nan")}, "batch_size_deg"),
+        ({"min_clear": 2}, "min_clear"),
+        ({"min_clear": float("nan")}, "min_clear"),
+        ({"max_cloud": -1}, "max_cloud"),
     ],
 )
 def test_rejects(changes, word):
@@ -47,5 +50,5 @@ def test_reports_everything_at_once():
 
 
 def test_reports_all_unknown_indices():
-    with pytest.raises(ValueError, match="EVI, GCI"):
+    with pytest.raises(ValueError, match="EVI is none of.*GCI is none of"):
         make(indices=["GCI", "EVI", "NDVI"])

@@ -144,7 +144,6 @@ def test_one_parcel_holds_most_pixels(spark, monkeypatch):
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    monkeypatch.setattr(ts, "is_small", lambda df: False)
     try:
         out = parcel_time_series(
             parcel_table(spark, rings), scene_table(spark, items), pixel_table(spark, pixels),
@@ -157,7 +156,6 @@ def test_one_parcel_holds_most_pixels(spark, monkeypatch):
 
 
 def test_result_does_not_depend_on_broadcasts(spark, monkeypatch):
-    monkeypatch.setattr(ts, "is_small", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = QUERIES["parcel_time_series"](spark, SF_DIR)
@@ -250,3 +248,29 @@ def test_folders_may_differ_in_dates(spark):
     )
     got = {r["parcel_key"]: (str(r["a"]), str(r["b"]), r["n"]) for r in days.collect()}
     assert got == {1: ("2024-05-01", "2024-06-30", 61), 2: ("2024-06-10", "2024-06-12", 3)}
+
+
+def test_run_keeps_parcels_without_id(spark):
+    """The series has the same rows with and without a saved cube, null ids or not."""
+    from parcelpulse import run_folders
+    from parcelpulse.checks import fixtures as fx
+    from parcelpulse.params import Params
+    from parcelpulse.plans.run import RunPaths
+    from parcelpulse.session import new_folder
+    from parcelpulse.sources.results import read_series
+
+    root = new_folder(spark, "in")
+    rows = fx.parcels(spark, SF_DIR).select(
+        F.expr("CASE WHEN parcel_key % 2 = 0 THEN parcel_id END").alias("ID_PARCEL"),
+        F.lit(4326).alias("epsg"),
+        "rings",
+    )
+    rows.write.parquet(f"{root}/{fx.START}_{fx.END}/a.parquet")
+    counts = []
+    for save in (False, True):
+        paths = RunPaths(series=new_folder(spark, "mean"), cube=new_folder(spark, "cube"))
+        params = Params(indices=["NDVI"], collection=fx.COLLECTION, save_cube=save)
+        pixels = fx.pixels(spark, SF_DIR).drop("parcel_key")
+        assert run_folders(spark, root, fx.scenes(spark, SF_DIR), pixels, paths, params, fx.GRID)
+        counts.append(read_series(spark, paths.series).count())
+    assert counts[0] == counts[1] > 0

@@ -34,4 +34,4 @@ def test_query(spark, con, name):
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 84
+    assert entry_points.entry(spark).count() == 126

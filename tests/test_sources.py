@@ -58,7 +58,7 @@ def test_missing_id_column_names_file_and_columns(spark):
     spark.createDataFrame([("p", [RING])], "name string, rings array<array<struct<x:double,y:double>>>").write.parquet(
         f"{root}/2024-01-01_2024-02-01/bad.parquet"
     )
-    with pytest.raises(ValueError, match="bad.parquet.*ID_PARCEL.*name"):
+    with pytest.raises(ValueError, match="bad.parquet.*name.*ID_PARCEL"):
         parcels.read_parcels(spark, root)
 
 
@@ -134,25 +134,46 @@ def test_empty_series_writes_nothing(spark, caplog):
     assert results.read_series(spark, path).count() == 1
 
 
-def cube(spark, parcel, day, value):
+def cube(spark, parcel, day, value, file="a.parquet"):
     return spark.createDataFrame(
-        [(day, parcel, f"id{parcel}", 1, 0, 0, value, value)],
-        "date_range string, parcel_key long, parcel_id string, time int, y long, x long,"
-        " red double, nir double",
+        [(day, parcel, f"{parcel:04d}", file, 1, 0, 0, value, value)],
+        "date_range string, parcel_key long, parcel_id string, source_file string, time int,"
+        " y long, x long, red double, nir double",
     )
 
 
-@pytest.mark.parametrize("by_parcel, left", [(False, {3}), (True, {1, 2, 3})])
+@pytest.mark.parametrize("by_parcel, left", [(False, {3, 4}), (True, {1, 2, 3, 4})])
 def test_cube_overwrites_what_it_holds(spark, by_parcel, left):
     path = new_folder(spark, "cube")
-    results.write_cube(
-        cube(spark, 1, "r1", 0.1).union(cube(spark, 2, "r1", 0.1)).union(cube(spark, 3, "r2", 0.1)),
-        path,
-        by_parcel,
-    )
+    first = cube(spark, 1, "r1", 0.1).union(cube(spark, 2, "r1", 0.1)).union(cube(spark, 3, "r2", 0.1))
+    results.write_cube(first.union(cube(spark, 4, "r1", 0.1, "b.parquet")), path, by_parcel)
     results.write_cube(cube(spark, 9, "r1", 0.9).union(cube(spark, 2, "r1", 0.8)), path, by_parcel)
-    rows = {r["parcel_key"]: r["red"] for r in results.read_cube(spark, path).collect()}
-    assert set(rows) == left | {2, 9} and rows[2] == 0.8
+    rows = {r["parcel_key"]: r for r in results.read_cube(spark, path).collect()}
+    assert set(rows) == left | {2, 9} and rows[2]["red"] == 0.8
+    assert {r["parcel_id"] for r in rows.values()} == {f"{k:04d}" for k in rows}
+
+
+def test_empty_cube_is_read_with_its_schema(spark):
+    path = new_folder(spark, "cube")
+    empty = cube(spark, 1, "r1", 0.1).where("false")
+    results.write_cube(empty, path)
+    assert results.read_cube(spark, path, schema=empty.schema).count() == 0
+
+
+@pytest.mark.parametrize(
+    "path, place",
+    [
+        ("s3a://bucket/2024-01-01_2024-02-01/a.parquet", ("2024-01-01_2024-02-01", "a.parquet")),
+        ("file:/x/proj/y/proj/2024-01-01_2024-02-01/a%20b.parquet", ("2024-01-01_2024-02-01", "a b.parquet")),
+        ("file:/2020-01-01_2020-02-01/in/2024-01-01_2024-02-01/a/part-0.parquet", ("2024-01-01_2024-02-01", "a")),
+        ("file:/in/other/a.parquet", ("", "")),
+    ],
+)
+def test_place_does_not_depend_on_the_root(spark, path, place):
+    row = spark.createDataFrame([(path,)], "p string").select(
+        parcels._place(F.col("p"), 1).alias("folder"), parcels._place(F.col("p"), 2).alias("file")
+    )
+    assert tuple(row.first()) == place
 
 
 def test_cube_without_red_is_an_error(spark):
