@@ -39,7 +39,7 @@ _SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), si
 
 BLOCK_TOKENS = 1 << 16
 BATCH_TEXTS = 256
-CACHED_WORDS = 500_000  # twice: recent ones and those before
+CACHED_WORDS = 300_000  # twice: recent ones and those before
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
@@ -329,7 +329,7 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return blocks.join(bases, "part")
+    return blocks.join(F.broadcast(bases), "part")  # a row per part that was written
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
