@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from parcelpulse.session import hold
 
-# ASCII white space: what separates words.
-SPACE = rb"\x20\x09-\x0D"
 BATCH_ROWS = 512  # rows that a Python step holds as objects
+# ASCII white space is what separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -160,15 +159,6 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def drop(*held: DataFrame) -> None:
-    """Remove tables that ``stash`` made and no later step reads."""
-    for df in held:
-        spark = df.sparkSession
-        for file in df.inputFiles()[:1]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def process_store() -> dict:
     """A dictionary that lives as long as the Python worker, over tasks."""
     return sys.modules.setdefault("_worker_store", types.ModuleType("_worker_store")).__dict__
