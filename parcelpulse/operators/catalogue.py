@@ -54,8 +54,12 @@ def boxes_overlap(a: str, b: str) -> Column:
 
 
 def filter_bbox(scenes: DataFrame, minx, miny, maxx, maxy) -> DataFrame:
-    """Footprint bounds overlap one fixed box; touching counts."""
-    box = geometry.bounds("rings")
+    """Footprint bounds overlap one fixed box; touching counts.
+
+    Scenes that carry their bounds as columns are skipped in the scan.
+    """
+    own = all(c in scenes.columns for c in geometry.BOUNDS)
+    box = {c: F.col(c) for c in geometry.BOUNDS} if own else geometry.bounds("rings")
     return scenes.where(
         (box["minx"] <= maxx)
         & (box["maxx"] >= minx)
@@ -70,13 +74,17 @@ def search(
     max_cloud: float = MAX_CLOUD_COVER,
     start=None,
     end=None,
+    box: tuple | None = None,
 ) -> DataFrame:
-    """The catalogue search: collection, cloud, validity and, when given, fixed dates.
+    """The catalogue search: collection, cloud, validity and, when given, dates and a box.
 
-    Parcels with dates of their own are matched to scenes by date in the spatial join.
+    Parcels with dates of their own are matched to scenes by date in the spatial join. The
+    box is minx, miny, maxx, maxy in degrees.
     """
     if start is not None and end is not None:
         scenes = filter_date_range(scenes, start, end)
+    if box is not None and None not in box:
+        scenes = filter_bbox(scenes, *box)
     scenes = filter_collection(filter_valid_items(scenes), collection)
     return filter_cloud_cover(scenes, max_cloud)
 

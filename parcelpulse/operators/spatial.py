@@ -12,9 +12,10 @@ from parcelpulse.schema import Grid
 
 # Side of the coarse join cell in degrees: about one scene footprint.
 JOIN_CELL_DEG = 1.0
-# Tasks that share one coarse cell's parcels. The footprint side, which is repeated this
-# often, holds distinct footprints only and stays small.
-CELL_SPREAD = 8
+# Rows of one coarse cell that a task takes; a fuller cell is dealt over more tasks.
+ROWS_PER_TASK = 4_096
+# Cells on a side of the blocks that pixels are chosen by before they are shuffled.
+BLOCK_CELLS = 256
 
 BATCH = ["source_file", "date_range", "batch_id"]
 # Identifies a row of parcel_days; all but the parcel are columns of an item, too.
@@ -82,6 +83,22 @@ def _first_shared_cell(size: float) -> Column:
     ) & (F.col("p.cy") == F.floor(F.greatest(F.col("p.miny"), F.col("s.miny")) / size))
 
 
+def _spread(many: DataFrame, other: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on coarse cells, with the slot of the cell that they meet in.
+
+    A cell has as many slots as its counted rows of ``many`` need; the other side's rows go
+    to each of them.
+    """
+    cell = ["cx", "cy"]
+    slots = many.groupBy(*cell).agg(F.ceil(F.count("*") / ROWS_PER_TASK).alias("slots"))
+    dealt = many.join(slots, cell).withColumn(
+        "slot", F.pmod(F.xxhash64(key), F.col("slots"))
+    )
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)
+    repeated = other.join(slots, cell).withColumn("slot", F.explode(numbers))
+    return dealt.drop("slots"), repeated.drop("slots")
+
+
 def scenes_in_boxes(scenes: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, item_id) for every scene whose bounds overlap the box; touching counts."""
     left = _on_join_cells(boxes.select(*keys, *BOUNDS), JOIN_CELL_DEG)
@@ -89,9 +106,10 @@ def scenes_in_boxes(scenes: DataFrame, boxes: DataFrame, keys: list[str]) -> Dat
         with_bounds(scenes.where(F.col("rings").isNotNull())).select("item_id", *BOUNDS),
         JOIN_CELL_DEG,
     )
+    right, left = _spread(right, left, "item_id")
     return (
         left.alias("p")
-        .join(right.alias("s"), ["cx", "cy"])
+        .join(right.alias("s"), ["cx", "cy", "slot"])
         .where(boxes_overlap("p", "s") & _first_shared_cell(JOIN_CELL_DEG))
         .select(*keys, "item_id")
     )
@@ -110,9 +128,8 @@ def match_footprints(parcels: DataFrame, footprints: DataFrame) -> DataFrame:
     """(parcel_key, start, end, footprint_id) for footprints that intersect the parcel.
 
     Both sides go to coarse cells, so the join is an equi-join; parcels of a busy cell are
-    spread over CELL_SPREAD tasks.
+    spread over as many tasks as their number asks for.
     """
-    slots = F.sequence(F.lit(0), F.lit(CELL_SPREAD - 1))
     shape = {
         "edges": F.expr(geometry.edges("rings")),
         "starts": F.expr(geometry.ring_starts("rings")),
@@ -120,8 +137,7 @@ def match_footprints(parcels: DataFrame, footprints: DataFrame) -> DataFrame:
     left = _on_join_cells(
         with_bounds(parcels)
         .withColumns(shape)
-        .withColumn("slot", F.pmod(F.hash("parcel_key"), F.lit(CELL_SPREAD)))
-        .select("parcel_key", "start", "end", "edges", "starts", "slot", *BOUNDS),
+        .select("parcel_key", "start", "end", "edges", "starts", *BOUNDS),
         JOIN_CELL_DEG,
     )
     right = _on_join_cells(
@@ -129,7 +145,8 @@ def match_footprints(parcels: DataFrame, footprints: DataFrame) -> DataFrame:
         .withColumns(shape)
         .select("footprint_id", "edges", "starts", *BOUNDS),
         JOIN_CELL_DEG,
-    ).withColumn("slot", F.explode(slots))
+    )
+    left, right = _spread(left, right, "parcel_key")
     touch = geometry.intersects("p.edges", "p.starts", "s.edges", "s.starts")
     return (
         left.alias("p")
@@ -258,6 +275,36 @@ def cell_keys(pixels: DataFrame, cells: DataFrame) -> list[str]:
     ]
 
 
+def _block(cell: Column) -> Column:
+    return F.floor(cell / BLOCK_CELLS)
+
+
+def parcel_blocks(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """Distinct ([epsg,] block_y, block_x) that the parcels' bounds reach, a cell wider."""
+    keys = ["epsg"] if rings == "rings_utm" else []
+
+    def span(lo: str, hi: str) -> Column:
+        low, high = (F.floor(F.col(c) / grid.resolution) for c in (lo, hi))
+        return F.explode(F.sequence(_block(low - 1), _block(high + 1)))
+
+    columns = with_bounds(parcels, rings).withColumn("block_x", span("minx", "maxx"))
+    return (
+        columns.select(*keys, "miny", "maxy", "block_x")
+        .withColumn("block_y", span("miny", "maxy"))
+        .select(*keys, "block_y", "block_x")
+        .distinct()
+    )
+
+
+def in_blocks(pixels: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pixels in one of the blocks. A held block table is broadcast while it is small."""
+    placed = pixels.withColumns(
+        {"block_y": _block(F.col("y")), "block_x": _block(F.col("x"))}
+    )
+    keys = [c for c in blocks.columns if c in placed.columns]
+    return placed.join(blocks, keys, "left_semi").select(*pixels.columns)
+
+
 def clip_pixels(pixels: DataFrame, cells: DataFrame) -> DataFrame:
     """Pixels whose centre lies in a parcel, with that parcel's key."""
     return pixels.join(cells, cell_keys(pixels, cells))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,11 +44,19 @@ class Search:
     days: DataFrame  # one row per parcel, footprint and day with items
     rings: str  # column that the pixel grid's cells are cut with
     extent: tuple  # minx, miny, maxx, maxy of that column over all parcels
+    held_blocks: dict[Grid, DataFrame] = field(default_factory=dict)
 
+    def blocks(self, grid: Grid) -> DataFrame:
+        """The blocks of the grid that parcels reach; both passes read the same table."""
+        if grid not in self.held_blocks:
+            reached = spatial.parcel_blocks(self.parcels, grid, self.rings)
+            self.held_blocks[grid] = hold(reached, "blocks")
+        return self.held_blocks[grid]
 
-def find_items(scenes: DataFrame, params: Params, start=None, end=None):
+
+def find_items(scenes: DataFrame, params: Params, start=None, end=None, box=None):
     """(items, footprints) of the catalogue search."""
-    found = catalogue.search(scenes, params.collection, params.max_cloud, start, end)
+    found = catalogue.search(scenes, params.collection, params.max_cloud, start, end, box)
     held = hold(catalogue.with_days(found).select(*FOUND_COLUMNS), "found")
     footprints = spatial.distinct_footprints(held)
     return held.join(footprints, "rings").drop("rings"), footprints
@@ -83,8 +91,9 @@ def search(
     if utm:
         parcels = spatial.in_batch_utm(parcels, params.batch_size_deg)
     parcels = hold(parcels, "parcels")
-    start, end, *extent = total_extent(parcels, rings)
-    items, footprints = find_items(scenes, params, start, end)
+    start, end, *box = total_extent(parcels, "rings")
+    extent = total_extent(parcels, rings)[2:] if utm else box
+    items, footprints = find_items(scenes, params, start, end, tuple(box))
     matches = spatial.match_footprints(parcels, footprints)
     days = hold(spatial.parcel_days(matches, items), "days")
     items = hold(catalogue.with_item_seq(needed_items(items, days)), "items")
@@ -94,10 +103,11 @@ def search(
 def prune_pixels(
     pixels: DataFrame, found: Search, days: DataFrame, grid: Grid
 ) -> DataFrame:
-    """Restrict the pixel scan to the parcels' extent and to the given days.
+    """Restrict the pixels to the parcels' extent and blocks, and to the given days.
 
     The extent is one row, the days are at most the calendar days of the run. On a table
-    stored by day and sorted by cell they skip folders and row groups.
+    stored by day and sorted by cell they skip folders and row groups. Pixels of blocks
+    without a parcel fall out before the first shuffle.
     """
     if None not in found.extent:
         left, low, right, high = (math.floor(v / grid.resolution) for v in found.extent)
@@ -107,7 +117,7 @@ def prune_pixels(
     if "acq_day" in pixels.columns:
         dates = [row["utc_day"] for row in days.select("utc_day").distinct().collect()]
         pixels = pixels.where(F.col("acq_day").isin(dates))
-    return pixels
+    return spatial.in_blocks(pixels, found.blocks(grid))
 
 
 def matched_pixels(
