@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_queries import ORACLES, QUERIES, SF_DIR
 
 from parcelpulse import parcel_time_series
-from parcelpulse.operators import mosaic
+from parcelpulse.operators import mosaic, spatial
 from parcelpulse.params import Params
 from parcelpulse.plans import time_series as ts
 from parcelpulse.schema import RINGS, Grid
@@ -229,6 +229,55 @@ def test_search_reaches_the_scan(spark):
         assert word in pushed
 
 
+def test_box_of_the_parcels_reaches_the_scan(spark):
+    path = new_folder(spark, "scenes")
+    spatial.with_bounds(scene_table(spark, make_items())).write.parquet(path)
+    found = ts.catalogue.search(read_scenes(spark, path), "l2a", box=(0.0, 40.0, 1.0, 41.0))
+    assert found.count() == len(make_items())
+    away = ts.catalogue.search(read_scenes(spark, path), "l2a", box=(40.0, 40.0, 41.0, 41.0))
+    assert away.count() == 0
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = executed(found.select("item_id"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):]
+    for word in ("LessThanOrEqual(minx,1.0)", "GreaterThanOrEqual(maxx,0.0)",
+                 "LessThanOrEqual(miny,41.0)", "GreaterThanOrEqual(maxy,40.0)"):
+        assert word in pushed
+
+
+def test_pixels_between_far_parcels_are_not_shuffled(spark):
+    """Pixels of blocks without a parcel fall out before the first exchange."""
+    rings = {
+        k: [(lon, 40.05), (lon + 0.9, 40.05), (lon + 0.45, 40.95)]
+        for k, lon in ((1, 0.05), (2, 20.05))
+    }
+    items, grid = make_items(), Grid(10, 1000)
+    path = new_folder(spark, "px")
+    rows = [(i, 4040, x, 1, 1, 4) for i in items for x in (50, 1000, 2050)]
+    pixel_table(spark, rows).write.parquet(path)
+    params = Params(indices=["NDVI"], collection="l2a")
+    found = ts.search(parcel_table(spark, rings), scene_table(spark, items), params)
+    near = ts.prune_pixels(spark.read.parquet(path), found, found.days, grid)
+    assert {r["x"] for r in near.select("x").collect()} == {50, 2050}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        cells = spatial.parcel_cells(found.parcels, grid)
+        lines = executed(spatial.clip_pixels(near, cells)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(n for n, line in enumerate(lines) if path in line)
+    semi = max(n for n in range(scan) if "LeftSemi" in lines[n])
+    assert not any("Exchange" in line for line in lines[semi:scan])
+
+
+@pytest.mark.parametrize("name", ["filter_bbox", "join_parcel_scene"])
+def test_busy_cells_are_dealt_without_loss(spark, monkeypatch, name):
+    monkeypatch.setattr(spatial, "ROWS_PER_TASK", 20)
+    assert differences(QUERIES[name](spark, SF_DIR), ORACLES[name], duck(SF_DIR)) is None
+
+
 def test_folders_may_differ_in_dates(spark):
     """Each parcel row only meets scenes of its own dates; both bounds are inclusive."""
     items = {
