@@ -47,7 +47,9 @@ BLOCKS = (
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_FINE = re.compile(rf"(?<=[{_LATIN}])(?=[.,;:!?\n])|(?<=\n)(?=[{_LATIN}])")
+# The tokenizer parts the last of several white-space characters before a letter from the others,
+# so only a line break that stands alone is a place to cut.
+_FINE = re.compile(rf"(?<=[{_LATIN}])(?=[.,;:!?\n])|(?<=\S\n)(?=[{_LATIN}])")
 _WORD = re.compile(rf" ?[{_LATIN}]+")
 
 

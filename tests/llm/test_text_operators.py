@@ -1,6 +1,7 @@
 """Operators on single texts beside brute force: PII, secrets, tokens, toxicity, leaks, languages."""
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -252,3 +253,15 @@ def test_cut_places_do_not_change_tokens(seen):
     for text in ("a b", " a b", "a  b", "a b ", "a\n b", "a \nb", "don't won't", "x.\ny", "é,è;", "日 本", "\x1c a \x85 b"):
         wanted = tokenizer.encode(text * seen, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text * seen), "<u4").tolist() == wanted
+
+
+@pytest.mark.parametrize("before", ["", "word", "word.", "a b", "1"])
+def test_white_space_before_letters(before):
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    tokenizer = Tokenizer.from_file(PATH)
+    for size in range(1, 5):
+        for space in map("".join, itertools.product(" \n\t\r\xa0\x1c", repeat=size)):
+            for after in ("next", "é. x", "1 next", ""):
+                text = before + space + after
+                wanted = tokenizer.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted, text
