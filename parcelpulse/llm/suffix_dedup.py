@@ -10,11 +10,15 @@ form a run; equal strings have equal anchors at equal places, so only runs with
 tokens (the anchor's) can hold equal strings.
 
 1. Each run becomes a row: leading token, content hash, place. A sample's quantiles of the
-   leading tokens are the splitters that send runs to buckets; a bucket is sorted. Of equal runs
-   the first keeps its bytes, whatever the number of the others.
+   leading tokens are the splitters that send runs to buckets; a bucket is sorted. A token that
+   fills several buckets is dealt over them by content. Of equal runs the first keeps its bytes,
+   whatever the number of the others.
 2. Runs with the same leading token but different contents are read again. All the strings in
    them are suffixes that are sorted locally by multikey quicksort on tokens of eight bytes; the
    first of equal ones is kept. Neighbours in a bucket are compared across batches.
+   A token with more than ``TOKEN_RUNS`` such runs is no group for one task: its strings are
+   dealt by a 128-bit hash of all their bytes, of which the first of each is kept before and
+   after the shuffle.
 3. Strings that were first anywhere are gathered per document; all others are removed.
 
 Rows with equal id and text count as one document and get one result. Rows with equal id and
@@ -38,9 +42,13 @@ GRAM = 20  # bytes of an anchor
 SAMPLE_ROWS = 2_000  # documents whose anchors give the splitters
 BUCKETS_PER_PARTITION = 8
 CHUNK = 1 << 20  # starts handled at once
+TOKEN_RUNS = 1_000  # unlike runs of one leading token that are compared in one piece
+PIECE = 1 << 16  # rows sent on at once
+TOKEN_BITS = 52  # leading bits of a token that a double holds, as quantiles are doubles
 LAST_ID = 2**63 - 1
 
 RUNS = "bucket int, token bigint, content bigint, id bigint, tie bigint, place bigint"
+STRINGS = "token bigint, more bigint, id bigint, tie bigint, place bigint, bytes binary"
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -93,6 +101,14 @@ def runs_of(flat: np.ndarray, ends: np.ndarray, length: int, base: int):
     return starts[first], starts[last], anchors[first], grams[anchors[first]]
 
 
+def buckets_of(tokens: np.ndarray, contents: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """A token between splitters has a bucket; one that is several splitters has as many."""
+    lead = tokens >> (64 - TOKEN_BITS)
+    bucket = np.searchsorted(splitters, lead)
+    several = np.searchsorted(splitters, lead, side="right") - bucket
+    return (bucket + contents % np.maximum(several, 1)).astype(np.int32)
+
+
 def _runs(length: int, splitters: np.ndarray):
     def work(batch: pa.RecordBatch):
         texts = batch.column("text")
@@ -130,7 +146,7 @@ def _runs(length: int, splitters: np.ndarray):
                 pick = order[~same]  # pre-aggregated: of equal runs the first
                 yield pa.record_batch(
                     {
-                        "bucket": np.searchsorted(splitters, token[pick]).astype(np.int32),
+                        "bucket": buckets_of(token[pick], content[pick], splitters),
                         "token": token[pick],
                         "content": content[pick],
                         "id": ids[doc[pick]],
@@ -151,40 +167,51 @@ def _sample_tokens(length: int):
 
 
 def splitters(docs: DataFrame, length: int, buckets: int) -> np.ndarray:
-    """Quantiles of the leading tokens in a bounded sample; they only balance the buckets."""
+    """Quantiles of the leading tokens in a bounded sample; they only balance the buckets.
+
+    A token that fills several buckets is there several times.
+    """
     total = docs.count()
     if not total:
         return np.zeros(0, np.int64)
     sample = docs.sample(min(1.0, SAMPLE_ROWS / total), seed=7)
-    tokens = map_arrow(sample, _sample_tokens(length), "token bigint")
-    cuts = tokens.approxQuantile("token", [k / buckets for k in range(1, buckets)], 0.5 / buckets)
-    return np.unique(np.array(cuts, np.float64).astype(np.int64))
+    tokens = map_arrow(sample, _sample_tokens(length), "token bigint").select(
+        F.shiftright("token", 64 - TOKEN_BITS).alias("lead")
+    )
+    cuts = tokens.approxQuantile("lead", [k / buckets for k in range(1, buckets)], 0.5 / buckets)
+    return np.sort(np.array(cuts, np.float64).astype(np.int64))
 
 
-def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _firsts(splitters: np.ndarray):
     """Of sorted runs the first of each content, and whether its token has other contents.
 
-    The last first is held back until the next batch shows what follows it.
+    The last first is held back until the next batch shows what follows it. Other contents of a
+    token that has several buckets may be in another task, so it always counts as shared.
     """
-    held = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
+    dealt = splitters[1:][splitters[1:] == splitters[:-1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows]).combine_chunks()
+            token, content = rows["token"].to_numpy(), rows["content"].to_numpy()
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (content[1:] != content[:-1])
+            at = np.flatnonzero(new)
+            shared = np.isin(token[at] >> (64 - TOKEN_BITS), dealt)
+            equal = token[at][1:] == token[at][:-1]
+            shared[1:] |= equal
+            shared[:-1] |= equal
+            if held is not None and held_shared:
+                shared[0] = True
+            yield from _marked(rows.take(pa.array(at[:-1])), shared[:-1]).to_batches()
+            held, held_shared = rows.slice(int(at[-1]), 1), bool(shared[-1])
         if held is not None:
-            rows = pa.concat_tables([held, rows]).combine_chunks()
-        token, content = rows["token"].to_numpy(), rows["content"].to_numpy()
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (content[1:] != content[:-1])
-        at = np.flatnonzero(new)
-        shared = np.zeros(len(at), bool)
-        equal = token[at][1:] == token[at][:-1]
-        shared[1:] |= equal
-        shared[:-1] |= equal
-        if held is not None and held_shared:
-            shared[0] = True
-        yield from _marked(rows.take(pa.array(at[:-1])), shared[:-1]).to_batches()
-        held, held_shared = rows.slice(int(at[-1]), 1), bool(shared[-1])
-    if held is not None:
-        yield from _marked(held, np.array([held_shared])).to_batches()
+            yield from _marked(held, np.array([held_shared])).to_batches()
+
+    return run
 
 
 def _marked(rows: pa.Table, shared: np.ndarray) -> pa.Table:
@@ -283,46 +310,91 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def _compare(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # rows of the last token: more of them may follow
+        last = None  # hash of the last string
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            token = rows["token"].to_numpy()
-            edge = int(np.searchsorted(token, token[-1]))
-            if edge:
-                yield from first_strings(rows.slice(0, edge), length).to_batches()
-            held = rows.slice(edge)
+            n_runs = batch.column("more").null_count
+            if n_runs:
+                rows = pa.Table.from_batches([batch.slice(0, n_runs)])
+                if held is not None:
+                    rows = pa.concat_tables([held, rows])
+                token = rows["token"].to_numpy()
+                edge = int(np.searchsorted(token, token[-1]))
+                if edge:
+                    yield from first_strings(rows.slice(0, edge), length).to_batches()
+                held = rows.slice(edge)
+            if n_runs < batch.num_rows:
+                strings = batch.slice(n_runs)
+                key = np.column_stack([strings.column(c).to_numpy() for c in ("token", "more")])
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]).any(axis=1)
+                new[0] = last is None or (key[0] != last).any()
+                last = key[-1]
+                yield strings.filter(pa.array(new)).select(["id", "tie", "place"])
         if held is not None:
             yield from first_strings(held, length).to_batches()
 
     return run
 
 
+def _run_rows(rows: list[tuple]) -> pa.RecordBatch:
+    token, ids, ties, place, data = zip(*rows, strict=True)
+    columns = [token, [None] * len(rows), ids, ties, place]
+    arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(data, pa.binary())]
+    return pa.record_batch(arrays, ["token", "more", "id", "tie", "place", "bytes"])
+
+
+def _string_rows(firsts: dict[bytes, tuple[int, int, int]]) -> pa.RecordBatch:
+    token, more = np.frombuffer(b"".join(firsts), ">i8").astype(np.int64).reshape(-1, 2).T
+    ids, ties, place = zip(*firsts.values(), strict=True)
+    arrays = [pa.array(c, pa.int64()) for c in (token.copy(), more.copy(), ids, ties, place)]
+    arrays.append(pa.nulls(len(firsts), pa.binary()))
+    return pa.record_batch(arrays, ["token", "more", "id", "tie", "place", "bytes"])
+
+
 def _contents(length: int):
     def work(batch: pa.RecordBatch):
-        token, data, ids, ties, place = [], [], [], [], []
+        rows, firsts = [], {}
         for k in range(batch.num_rows):
             text = (batch.column("text")[k].as_py() or "").encode("utf-8", "surrogatepass")
+            id_, tie = batch.column("id")[k].as_py(), batch.column("tie")[k].as_py()
             for run in batch.column("runs")[k].as_py():
                 start, extra = run["place"] >> 14, run["place"] & 127
-                token.append(run["token"])
-                place.append(run["place"])
-                data.append(text[start : start + extra + length])
-            ids += [batch.column("id")[k].as_py()] * (len(token) - len(ids))
-            ties += [batch.column("tie")[k].as_py()] * (len(token) - len(ties))
-        yield pa.record_batch(
-            {
-                "token": pa.array(token, pa.int64()),
-                "id": pa.array(ids, pa.int64()),
-                "tie": pa.array(ties, pa.int64()),
-                "place": pa.array(place, pa.int64()),
-                "bytes": pa.array(data, pa.binary()),
-            }
-        )
+                if not run["busy"]:
+                    rows.append((run["token"], id_, tie, run["place"], text[start : start + extra + length]))
+                    if len(rows) >= PIECE:
+                        yield _run_rows(rows)
+                        rows = []
+                    continue
+                for at in range(start, start + extra + 1):
+                    key = xxhash.xxh3_128_digest(text[at : at + length])
+                    found = (id_, tie, at << 14)
+                    if firsts.setdefault(key, found) > found:
+                        firsts[key] = found
+                if len(firsts) >= PIECE:
+                    yield _string_rows(firsts)
+                    firsts = {}
+        if rows:
+            yield _run_rows(rows)
+        if firsts:
+            yield _string_rows(firsts)
 
     return work
 
 
+def unlike_strings(shared: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """Bytes of the runs of shared tokens; of tokens with too many runs, hashes of the strings.
+
+    A string has its hash in ``token`` and ``more``; a run has its token and no ``more``.
+    """
+    busy = stash(
+        shared.groupBy("token").count().where(F.col("count") > TOKEN_RUNS).select("token", F.lit(True).alias("busy")),
+        "busy",
+    )
+    run = F.struct("token", "place", F.coalesce("busy", F.lit(False)).alias("busy"))
+    wanted = shared.join(busy, "token", "left").groupBy("id", "tie").agg(F.collect_list(run).alias("runs"))
+    return map_arrow(wanted.join(texts.select("id", "tie", "text"), ["id", "tie"]), _contents(length), STRINGS)
+
+
 def removed_bytes(n: int, places: np.ndarray, length: int) -> np.ndarray:
     """Which of ``n`` bytes go, given the ranges of starts whose strings stay."""
     if n < length:
@@ -381,26 +453,19 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         .sortWithinPartitions("token", "content", "id", "tie", "place")
     )
     firsts = stash(
-        runs.mapInArrow(_firsts, "token bigint, id bigint, tie bigint, place bigint, shared boolean"), "firsts"
+        runs.mapInArrow(_firsts(cuts), "token bigint, id bigint, tie bigint, place bigint, shared boolean"), "firsts"
     )
     del runs
     release(spark)
 
-    wanted = (
-        firsts.where("shared").groupBy("id", "tie").agg(F.collect_list(F.struct("token", "place")).alias("runs"))
-    )
-    contents = map_arrow(
-        wanted.join(texts.select("id", "tie", "text"), ["id", "tie"]),
-        _contents(length),
-        "token bigint, id bigint, tie bigint, place bigint, bytes binary",
-    )
+    contents = unlike_strings(firsts.where("shared"), texts, length)
     unlike = stash(
         contents.repartition(partitions, "token")
-        .sortWithinPartitions("token")
+        .sortWithinPartitions(F.col("more").isNotNull(), "token", "more", "id", "tie", "place")
         .mapInArrow(_compare(length), "id bigint, tie bigint, place bigint"),
         "firsts",
     )
-    del wanted, contents
+    del contents
     release(spark)
 
     stay = (

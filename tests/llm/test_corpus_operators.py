@@ -112,6 +112,37 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch, rows_of):
     assert in_order(rows_of(suffix_dedup.remove_repeats(made), *COLUMNS)) == repeats(rows)
 
 
+def amid_noise(phrases, n):
+    random = np.random.default_rng(11)
+    return [(k, random.bytes(75).hex() + phrases[k % len(phrases)] + random.bytes(75).hex()) for k in range(n)]
+
+
+def test_phrase_in_many_documents(spark, monkeypatch, rows_of):
+    monkeypatch.setattr(suffix_dedup, "TOKEN_RUNS", 5)
+    line = "".join(map(chr, range(35, 125)))
+    rows = amid_noise([line, line + line[:40], line[:30]], 120) + [(200, line * 3), (201, line * 2), (None, line * 2)]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert in_order(rows_of(suffix_dedup.remove_repeats(made), *COLUMNS)) == repeats(rows)
+
+
+def test_a_common_phrase_is_no_group_of_one_task(spark):
+    """Unlike runs under one token, as many as there are documents."""
+    rows = amid_noise(["".join(map(chr, range(35, 95)))], 3 * suffix_dedup.TOKEN_RUNS // 2)
+    texts = spark.createDataFrame([(k, 0, t) for k, t in rows], "id long, tie long, text string")
+    shared = texts.selectExpr("7L as token", "id", "tie", "(131L << 14) | 60 as place")
+    strings = suffix_dedup.unlike_strings(shared, texts, 100)
+    counts = strings.groupBy("token").count().toPandas()["count"]
+    assert counts.max() <= suffix_dedup.TOKEN_RUNS
+    assert counts.sum() == 61 * len(rows)
+
+
+def test_a_token_of_several_splitters_has_several_buckets():
+    splitters = np.array([-5, 3, 3, 3, 9])
+    tokens = np.array([-6, 3, 3, 3, 3, 4, 9, 10]) << 12
+    buckets = suffix_dedup.buckets_of(tokens, np.array([7, 0, 1, -1, 3, 5, 5, 5]), splitters)
+    assert buckets.tolist() == [0, 1, 2, 3, 1, 4, 4, 5]
+
+
 def test_multikey_order():
     tokens = np.random.default_rng(3).integers(0, 3, (500, 4)).astype(np.uint64)
     order, run = suffix_dedup.multikey_order(tokens)
