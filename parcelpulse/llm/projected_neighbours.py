@@ -7,8 +7,9 @@ vectors with exact inner products. For a point at distance d the squared project
 over d^2 is chi-square with eight degrees of freedom; a query stops when points beyond the next
 leaf would be among its nearest with probability ``MISS`` at most.
 
-Queries meet every shard, in blocks. Equal vectors are searched once: only as many of them as
-can be in an answer, those of smallest vec_id, enter a shard, which changes no answer.
+Queries meet every shard, in blocks. Of equal vectors only those enter a shard that can be in an
+answer: the ``k`` + 1 smallest vec_id, as one may be the query's own, and ``k`` rows of each. This
+changes no answer.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, rows
 without vec_id neither. Vectors of another length than the query's are no candidates. Rows with the
@@ -111,13 +112,15 @@ def search(
     for query_id, query, point, norm in zip(query_ids, queries, points, norms, strict=True):
         near = tree.distances(point)
         leaves = np.argsort(near, kind="stable")
+        slack = 1e-9 * np.sqrt(norm * top)
         best_rows, best = np.zeros(0, np.int64), np.zeros(0)
         at, step = 0, STEP
         while at < len(leaves):
             if len(best) >= k:
                 # The lifted query has no last component: distance^2 = norm + top - 2 * product.
                 kth = np.partition(best, len(best) - k)[len(best) - k]
-                if near[leaves[at]] >= ratio * (norm + top - 2 * kth):
+                # Equal vectors may be in several leaves at distance 0; none of these is passed over.
+                if near[leaves[at]] > ratio * (norm + top - 2 * kth + slack):
                     break
             spans = [(starts[leaf], ends[leaf]) for leaf in leaves[at : at + step]]
             best = np.concatenate([best, *(vectors[a:b] @ query for a, b in spans)])
@@ -125,7 +128,8 @@ def search(
             other = ids[best_rows] != query_id
             best, best_rows = best[other], best_rows[other]
             if len(best) > 2 * k:
-                keep = np.argpartition(-best, 2 * k)[: 2 * k]
+                # All that may tie with the k-th stay; products of equal vectors differ by rounding.
+                keep = best >= np.partition(best, len(best) - k)[len(best) - k] - slack
                 best, best_rows = best[keep], best_rows[keep]
             at, step = at + step, 2 * step
         # Sums in one order, whatever the leaf a vector is in: equal vectors score alike.
@@ -148,10 +152,13 @@ def nearest(
     counted = vectors.join(F.broadcast(sizes), "dims")  # a row per length of vectors
     shards = F.ceil(F.col("n") / SHARD_ROWS).cast("int")
     blocks = F.ceil(F.col("n") / every / BLOCK_QUERIES).cast("int")
-    # Of equal vectors an answer holds k at most, and the query's own is left out.
+    # Of equal vectors an answer holds k at most, and all rows of the query's id are left out.
+    copies = Window.partitionBy("embedding", "vec_id").orderBy("dims")
     equal = Window.partitionBy("embedding").orderBy("vec_id")
     candidates = (
-        counted.withColumn("place", F.row_number().over(equal))
+        counted.withColumn("copy", F.row_number().over(copies))
+        .where(F.col("copy") <= k)
+        .withColumn("place", F.dense_rank().over(equal))
         .where(F.col("place") <= k + 1)
         .withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))

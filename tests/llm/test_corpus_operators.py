@@ -186,6 +186,25 @@ def test_neighbours_of_odd_vectors(spark):
     assert projected_neighbours.nearest(made.where("false")).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rows = [(0, [2.0, 0.0])] * 25 + [(k, [2.0, 0.0]) for k in (1, 2, 4, 5)] + [(3, [2.0, 0.0])] * 30
+    rows += [(k, [3.0, 0.1]) for k in (41, 42)] + [(60 + k, [1.0, 0.01 * k]) for k in range(1, 19)]
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    found = projected_neighbours.nearest(made).where("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [41, 42, 1, 2] + [3] * 16
+    made = made.where("vec_id <> 3")
+    found = projected_neighbours.nearest(made).where("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in found][:6] == [41, 42, 1, 2, 4, 5]
+
+
+def test_ties_go_to_the_smaller_id():
+    """More equal products than a search keeps otherwise, in one leaf and over leaves."""
+    ids = np.random.default_rng(2).permutation(1_000)
+    vectors = np.tile([0.3, 0.7, 0.1], (1_000, 1))
+    found = projected_neighbours.search(ids, vectors, np.array([5]), vectors[:1], 0.59, 20, 0.05)
+    assert found["vec_id"].tolist() == [k for k in range(21) if k != 5]
+
+
 def water(sizes, weights=(5.0, 2.0, 1.0)):
     names = sorted((s for s in sizes if s is not None), key=str.encode) + [None] * (None in sizes)
     weight = {s: weights[k % 3] for k, s in enumerate(names)}
