@@ -4,14 +4,16 @@ Only DataFrame and SQL functions run. Positions are code points, ends exclusive.
 
 1. Base spans of four kinds are found in every text. A regex splits a text into the parts
    between its matches, and lengths of parts and matches give the places.
-2. Tokens with a digit or an at sign outside base spans are candidates. The words around
-   base spans (seeds) and candidates make lexical patterns: word before, two words before,
-   words on both sides.
+2. Tokens with a digit or an at sign outside base spans are candidates, and so are groups of
+   numbers parted by single blanks. The words around base spans (seeds) and candidates make
+   lexical patterns: word before, two words before, words on both sides.
 3. Patterns and instances form a graph with counted edges. In turns, a pattern's confidence for
    a kind is the smoothed share of its instances' scores, and a candidate's score is the
    noisy-or of its patterns. Seeds keep a score of one.
-4. Candidates in the contexts of confident, well supported patterns whose shape a seed of that
-   kind has become spans of that kind.
+4. Candidates in the contexts of confident, well supported patterns become spans of that kind
+   if their shape is likely for it: the share of the kind's seeds that have the same form and
+   about as many digits, whatever the separators and prefixes. A span inside a longer one that
+   is added falls out.
 
 A null text is empty and has no span. Rows are documents: repeated and null ids stay apart.
 """
@@ -35,6 +37,13 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# Numbers that may hold brackets, dots, slashes and hyphens; a plus is at the front only.
+GROUP = (
+    r"(?<![^\x20\x09-\x0D])[+(]?[0-9][0-9().+/-]*+"
+    r"(?:\x20[(]?[0-9][0-9().+/-]*+(?![^\x20\x09-\x0D,;:!?]))++"
+)
+NEAR_DIGITS = 2  # seeds with so many digits more or less count for a shape
+LEAST_SHAPE = 0.05
 CONTEXT = 60  # code points on either side of an instance that hold its context
 
 LUHN = """aggregate(
@@ -93,8 +102,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def with_places(docs: DataFrame) -> DataFrame:
     """Adds ``places``: seeds (with kind) and candidates (kind null) with the text around."""
     seeds = "concat(" + ", ".join(f"transform({k}, s -> struct('{k}' AS kind, {FIELDS}))" for k in KINDS) + ")"
-    candidates = F.when(F.col("text").rlike("[0-9@]"), spans(F.col("text"), CANDIDATE)).otherwise(
-        F.expr(NO_SPANS)
+    candidates = F.concat(
+        F.when(F.col("text").rlike("[0-9@]"), spans(F.col("text"), CANDIDATE)).otherwise(F.expr(NO_SPANS)),
+        F.when(F.col("text").rlike(r"[0-9).+/-]\x20[(]?[0-9]"), spans(F.col("text"), GROUP)).otherwise(
+            F.expr(NO_SPANS)
+        ),
     )
     return (
         docs.withColumn("seeds", F.expr(seeds))
@@ -136,7 +148,8 @@ def patterned(places: DataFrame) -> DataFrame:
         "start",
         "end",
         "value",
-        shape(F.col("value")).alias("shape"),
+        form(F.col("value")).alias("form"),
+        digits(F.col("value")).alias("digits"),
         F.array(
             F.concat(F.lit("1 "), before),
             F.concat_ws(" ", F.lit("2"), earlier, before),
@@ -145,10 +158,37 @@ def patterned(places: DataFrame) -> DataFrame:
     )
 
 
-def shape(value: Column) -> Column:
-    """Runs of letters as ``a`` and of digits as ``9``; punctuation at the ends is dropped."""
-    core = F.regexp_replace(value, r"^[^\p{L}0-9+@]+|[^\p{L}0-9]+$", "")
-    return F.regexp_replace(F.regexp_replace(core, r"\p{L}+", "a"), "[0-9]+", "9")
+def form(value: Column) -> Column:
+    """Address, four numbers with dots, other digits, or other; punctuation at the ends is dropped."""
+    core = F.regexp_replace(value, r"^[^\p{L}0-9@]+|[^\p{L}0-9]+$", "")
+    return (
+        F.when(core.rlike(r"^[^@]+@[^@]+$"), "address")
+        .when(core.rlike(r"^[0-9]+(?:[.][0-9]+){3}$"), "dots")
+        .when(~core.rlike(r"[\p{L}@]"), "digits")
+        .otherwise("other")
+    )
+
+
+def digits(value: Column) -> Column:
+    """Number of digits where they alone make the form, else 0."""
+    return F.when(form(value) == "digits", F.length(F.regexp_replace(value, "[^0-9]", ""))).otherwise(0)
+
+
+def likely_shapes(places: DataFrame) -> DataFrame:
+    """``kind``, ``form``, ``digits`` that enough of the kind's seeds have, or nearly have."""
+    seen = places.where("kind is not null").groupBy("kind", "form", "digits").agg(F.count("*").alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("kind"))
+    near = F.when(
+        F.col("form") == "digits",
+        F.sequence(F.col("digits") - NEAR_DIGITS, F.col("digits") + NEAR_DIGITS),
+    ).otherwise(F.array("digits"))
+    return (
+        seen.select("kind", "form", share.alias("share"), F.explode(near).alias("digits"))
+        .groupBy("kind", "form", "digits")
+        .agg(F.sum("share").alias("score"))
+        .where((F.col("score") >= LEAST_SHAPE) & (F.col("form") != "other"))
+        .select("kind", "form", "digits")
+    )
 
 
 def bootstrap(
@@ -216,14 +256,20 @@ def personal_data(docs: DataFrame) -> DataFrame:
     )
     held = stash(with_places(base_spans(rows)).drop("text"), "places")
     places = patterned(held.select("row", F.explode("places").alias("p")).select("row", "p.*"))
-    shapes = places.where("kind is not null").select("kind", "shape").distinct()
     added = (
         places.where("kind is null")
         .drop("kind")
         .join(bootstrap(places), "value")
-        .join(shapes, ["kind", "shape"], "left_semi")
+        .join(likely_shapes(places), ["kind", "form", "digits"], "left_semi")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+        .withColumn(
+            "added",
+            F.expr(
+                "filter(added, a -> NOT exists(added, b -> b.start <= a.start AND a.end <= b.end"
+                " AND b.end - b.start > a.end - a.start))"
+            ),
+        )
     )
     order = "CASE s.kind " + " ".join(f"WHEN '{k}' THEN {n}" for n, k in enumerate(KINDS)) + " END"
     base = "concat(" + ", ".join(

@@ -87,6 +87,33 @@ def test_contexts_discover_identifiers(spark):
     assert found[51]["n_found"] == 0
 
 
+def test_contexts_discover_other_shapes(spark):
+    """Phones without a plus, some in groups, and addresses without a dot or in other letters."""
+    rows = [(k, f"Please phone +49 30 12345{k:02} after lunch, mail user{k}@example.org as well") for k in range(40)]
+    cases = {
+        "please phone 030-1234567 after lunch": "phone:13:24",
+        "please phone 555 123 4567 after lunch": "phone:13:25",
+        "please phone (030) 123-4567 after lunch": "phone:13:27",
+        "please phone 4711 after lunch": "",
+        "please phone 2000 people after lunch": "",
+        "lunch, mail user@localhost as well": "email:12:26",
+        "lunch, mail jürgen@exämple.org as well": "email:12:30",
+    }
+    rows += [(1000 + k, text) for k, text in enumerate(cases)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii_bootstrap.personal_data(made).collect()}
+    assert {text: found[1000 + k]["spans"] for k, text in enumerate(cases)} == cases
+
+
+def test_contexts_discover_cards_in_groups(spark):
+    ends = [n for n in range(1000, 3000) if personal(f"4111 1111 1111 {n}")[2]][:60]
+    rows = [(k, f"please charge card 4111 1111 1111 {n} today") for k, n in enumerate(ends)]
+    rows += [(1000, f"please charge card 4111 1111 1111 {ends[0] + 1} today")]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii_bootstrap.personal_data(made).collect()}
+    assert found[1000]["n_card"] == 0 and found[1000]["spans"] == "card:19:38"
+
+
 ASSIGN = re.compile(
     r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
