@@ -13,13 +13,16 @@ A retrieved item is verified on full words: of its shingles of five words the do
 ``LEAST_OVERLAP``, and half of those in each of question and answer (the item's first and second
 half). Items of fewer than five words match nothing.
 
-The index is made by aggregations and comes in blocks of at most ``BLOCK_ITEMS`` segments, each
-of which is broadcast and meets all documents; no other bound is set on items. A null or empty text
+The index is made by aggregations and comes in blocks of about ``BLOCK_ITEMS`` segments, each
+of which is broadcast and meets all documents; no other bound is set on items. With several blocks
+the documents are held once, and a block's findings are held before the next block is built, so
+that one block is in memory at a time. A null or empty text
 holds nothing. Rows are documents: ids may repeat or be null; test items of equal id are named once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelpulse.llm.common import map_arrow, stash, whole_text, word_list
+from parcelpulse.llm.common import map_arrow, release, stash, whole_text, word_list
 
 SEGMENT = 64  # words
 K1, B = 1.2, 0.75
@@ -243,19 +246,19 @@ def contained(index: Index, words: list[bytes]) -> dict[int, float]:
 
 
 def _leaks(index: Index):
-    """Adds one index block's findings to each row."""
+    """The rows that hold items of one index block."""
 
     def work(batch: pa.RecordBatch):
-        ids, best = [], []
-        columns = (batch.column(c).to_pylist() for c in ("text", "item_ids", "overlap"))
-        for text, before, top in zip(*columns, strict=True):
+        rows, ids, best = [], [], []
+        for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found = contained(index, word_list(text))
-            ids.append(sorted({*before, *found}, key=lambda i: (i is None, i or 0)))
-            best.append(max([top, *found.values()]))
+            if found:
+                rows.append(row)
+                ids.append(list(found))
+                best.append(max(found.values()))
         yield pa.record_batch(
             {
-                "doc_id": batch.column("doc_id"),
-                "text": batch.column("text"),
+                "row": pa.array(rows, pa.int64()),
                 "item_ids": pa.array(ids, pa.list_(pa.int64())),
                 "overlap": pa.array(best, pa.float64()),
             }
@@ -264,32 +267,77 @@ def _leaks(index: Index):
     return work
 
 
-def indexes(items: DataFrame):
-    """The index blocks, one at a time."""
+def _leaks_of_one(index: Index):
+    """Each row with the findings of the only index block."""
+
+    def work(batch: pa.RecordBatch):
+        found = [contained(index, word_list(t)) for t in batch.column("text").to_pylist()]
+        ids = [sorted(f, key=lambda i: (i is None, i or 0)) for f in found]
+        yield pa.record_batch(
+            {
+                "doc_id": batch.column("doc_id"),
+                "item_ids": pa.array(ids, pa.list_(pa.int64())),
+                "overlap": pa.array([max([0.0, *f.values()]) for f in found], pa.float64()),
+            }
+        )
+
+    return work
+
+
+def indexes(items: DataFrame) -> tuple[int, Iterator[Index]]:
+    """The number of index blocks, and the blocks, each built when it is asked for."""
     parts = stash(segments(items), "segments")
     weights = stash(postings(parts), "postings")
     blocks = -(-parts.count() // BLOCK_ITEMS)
-    for block in range(blocks):
+
+    def build(block: int) -> Index:
         mine = F.pmod(F.xxhash64("segment"), F.lit(blocks)) == block
-        yield build_index(
+        return build_index(
             [tuple(r) for r in weights.where(mine).select("segment", "term", "weight").collect()],
             [tuple(r) for r in parts.where(mine).select("segment", "item", "item_id", "words").collect()],
         )
 
+    return blocks, map(build, range(blocks))
+
+
+def findings(rows: DataFrame, blocks: Iterator[Index]) -> DataFrame:
+    """``row``, ``item_ids``, ``overlap``: what each block finds in ``row`` and ``text``."""
+    schema = "row bigint, item_ids array<bigint>, overlap double"
+    found = []
+    for index in blocks:
+        found.append(stash(map_arrow(rows, _leaks(index), schema), "leaks"))
+        del index  # before the next is built
+        release(rows.sparkSession)
+    return reduce(DataFrame.unionByName, found)
+
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id``, ``item_ids`` (ascending), ``overlap`` (the greatest), ``contaminated``.
 
     One row per row of ``docs``.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        whole_text().alias("text"),
-        F.expr("cast(array() AS array<bigint>) AS item_ids"),
-        F.lit(0.0).alias("overlap"),
-    )
-    schema = "doc_id bigint, text string, item_ids array<bigint>, overlap double"
-    out = reduce(lambda left, index: map_arrow(left, _leaks(index), schema), indexes(items), rows)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    nothing = F.expr("cast(array() AS array<bigint>)")
+    n, blocks = indexes(items)
+    if n == 0:
+        out = rows.select("doc_id", nothing.alias("item_ids"), F.lit(0.0).alias("overlap"))
+    elif n == 1:
+        out = map_arrow(rows, _leaks_of_one(next(blocks)), "doc_id bigint, item_ids array<bigint>, overlap double")
+    else:
+        held = stash(rows.withColumn("row", F.monotonically_increasing_id()), "documents")
+        found = (
+            findings(held.select("row", "text"), blocks)
+            .groupBy("row")
+            .agg(
+                F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+                F.max("overlap").alias("overlap"),
+            )
+        )
+        out = held.select("doc_id", "row").join(found, "row", "left").select(
+            "doc_id",
+            F.coalesce("item_ids", nothing).alias("item_ids"),
+            F.coalesce("overlap", F.lit(0.0)).alias("overlap"),
+        )
     return out.select("doc_id", "item_ids", "overlap", (F.size("item_ids") > 0).alias("contaminated"))
 
 
@@ -303,4 +351,13 @@ def remove_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return work
 
-    return reduce(lambda left, index: map_arrow(left, clean(index), docs.schema), indexes(items), docs)
+    n, blocks = indexes(items)
+    if n == 0:
+        return docs
+    if n == 1:
+        return map_arrow(docs, clean(next(blocks)), docs.schema)
+    held = stash(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "documents"
+    )
+    found = findings(held.select("row", F.col("doc.text").alias("text")), blocks)
+    return held.join(found, "row", "left_anti").select("doc.*")

@@ -1,8 +1,10 @@
 """Operators on single texts beside brute force: PII, secrets, tokens, toxicity, leaks, languages."""
 
+import gc
 import hashlib
 import itertools
 import re
+import weakref
 import zlib
 
 import numpy as np
@@ -255,6 +257,25 @@ def test_leaks_over_several_index_blocks(spark, docs, monkeypatch):
     assert sorted(map(str, decontaminate.leaks(docs, items).collect())) == whole
 
 
+def test_one_index_block_lives_at_a_time(spark, docs, odd, monkeypatch):
+    items = table(spark, "/root/testdata/sf0.001", "benchmark")
+    whole = sorted(map(str, decontaminate.remove_leaks(docs, items).collect()))
+    made, alive, build = [], [], decontaminate.build_index
+
+    def watched(*args):
+        gc.collect()
+        alive.append(sum(m() is not None for m in made))
+        index = build(*args)
+        made.append(weakref.ref(index))
+        return index
+
+    monkeypatch.setattr(decontaminate, "build_index", watched)
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
+    assert sorted(map(str, decontaminate.remove_leaks(docs, items).collect())) == whole
+    assert len(alive) > 2 and max(alive) == 0
+    assert decontaminate.leaks(odd, items).count() == odd.count()
+
+
 def test_page_languages(spark, docs, empty):
     pages = table(spark, "/root/testdata/sf0.001", "pages")
     result = language_fusion.page_languages(pages, docs).join(pages, "page_id").collect()
