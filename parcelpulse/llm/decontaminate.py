@@ -11,7 +11,8 @@ then it runs block-max WAND, which skips blocks that cannot reach it.
 
 A retrieved item is verified on full words: of its shingles of five words the document holds
 ``LEAST_OVERLAP``, and half of those in each of question and answer (the item's first and second
-half). Items of fewer than five words match nothing.
+half). The table tells no question from the answer, and the first share implies the second, so it is
+whole overlap that decides. Items of fewer than five words match nothing.
 
 The index is made by aggregations and comes in blocks of about ``BLOCK_ITEMS`` segments, each
 of which is broadcast and meets all documents; no other bound is set on items. With several blocks
