@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from parcelpulse.session import hold
 
 BATCH_ROWS = 512  # rows that a Python step holds as objects
+HOT_KEYS = 1_000  # keys of a lookup that are broadcast
 # ASCII white space is what separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,6 +34,20 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return hold(df, name)
 
 
+def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "left") -> DataFrame:
+    """Join ``right``, unique by ``keys``, to a ``left`` in which some keys may be very frequent.
+
+    ``weight`` is a column of ``right``: about how many rows of ``left`` have the key. The
+    ``HOT_KEYS`` heaviest keys are broadcast, so their rows are not shuffled; the join by
+    shuffle that serves all others has no key with more than 1 / ``HOT_KEYS`` of the rows.
+    """
+    heavy = right.orderBy(F.desc(weight), *keys).limit(HOT_KEYS)
+    marked = left.join(F.broadcast(heavy.select(*keys, F.lit(True).alias("_heavy"))), keys, "left")
+    here = marked.where("_heavy").drop("_heavy").join(F.broadcast(heavy.drop(weight)), keys)
+    rest = marked.where("_heavy is null").drop("_heavy").join(right.drop(weight), keys, how)
+    return here.unionByName(rest)
+
+
 def map_arrow(
     df: DataFrame,
     work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch | pa.Table]],

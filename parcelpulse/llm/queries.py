@@ -6,16 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelpulse.llm import (
+    conversation_trie,
     decontaminate,
     language_fusion,
     minhash_dedup,
     mixture_cube,
+    periodic_runs,
     pii_bootstrap,
     projected_neighbours,
     secret_automaton,
     suffix_dedup,
     token_files,
     toxicity_grammar,
+    url_models,
 )
 from parcelpulse.llm.common import table
 
@@ -66,6 +69,18 @@ def op10_mixture_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_cube.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_models.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -79,5 +94,8 @@ QUERIES = {
         op8_minhash_dedup,
         op9_secret_automaton,
         op10_mixture_cube,
+        op11_conversation_trie,
+        op12_url_models,
+        op13_periodic_runs,
     )
 }
