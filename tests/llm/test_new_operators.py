@@ -9,11 +9,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from compare import differences, duck
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from parcelpulse.llm import conversation_trie, periodic_runs, url_models
 from parcelpulse.llm.common import table
+from parcelpulse.llm.oracles import ORACLES
+from parcelpulse.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -379,3 +382,11 @@ def test_collapse_keeps_columns_and_other_texts(spark):
     assert out == {1: ("x end", "s"), 2: ("no  run\there", "s"), 3: (None, None), 4: ("", "s")}
     listed = periodic_runs.periodic_runs(df).collect()
     assert [tuple(r) for r in listed] == [(1, 0, 30, 1, "x")]
+
+
+# Registered queries beside their SQL
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, name):
+    assert differences(QUERIES[name](spark, SF_DIR), ORACLES[name], duck(SF_DIR)) is None
