@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelpulse.functions import utm
 from parcelpulse.operators.catalogue import item_cloud_cover, item_scale
 from parcelpulse.schema import Grid
 
@@ -17,6 +18,7 @@ COLLECTION = "l2a"
 START, END = "1995-01-01", "2001-12-31"
 GRID = Grid(10, 1000)
 COARSE_GRID = Grid(20, 1000)
+UTM_GRID = Grid(1000)
 
 # Ring of a parcel in milli-degrees from its origin, and of a scene
 # footprint in degrees from its corner.
@@ -24,9 +26,9 @@ PARCEL_RING = ((1, 2), (49, 11), (41, 48), (21, 19), (12, 41))
 FOOTPRINT = ((0.0, 0.0), (5.5, 0.3), (5.2, 5.5), (-0.3, 5.2))
 # Date folders that the parcels are spread over by key.
 RANGES = (
-    ("1996-01-01", "1997-06-30"),
-    ("1997-07-01", "1998-12-31"),
-    ("1996-01-01", "1999-12-31"),
+    ("1995-01-01", "1997-06-30"),
+    ("1997-07-01", "2001-12-31"),
+    ("1995-01-01", "2001-12-31"),
 )
 
 
@@ -134,6 +136,67 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cloudy_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pixels, with every third parcel under clouds whenever it would be clear."""
+    return pixels(spark, sf_dir).withColumn(
+        "scl", F.expr("CASE WHEN parcel_key % 3 = 1 AND scl IN (4, 5) THEN 8 ELSE scl END")
+    )
+
+
+def far_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parcels, every fifth of them forty degrees east, where no scene lies."""
+    away = F.expr("CASE WHEN parcel_key % 5 = 2 THEN 40e0 ELSE 0e0 END")
+
+    def moved(ring):
+        return F.transform(ring, lambda v: F.struct((v["x"] + away).alias("x"), v["y"].alias("y")))
+
+    return parcels(spark, sf_dir).withColumn("rings", F.transform("rings", moved))
+
+
+def damaged_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The far parcels, some of them with rows that no run can use."""
+    spoiled = {
+        "rings": "CASE parcel_key % 11 WHEN 1 THEN NULL"
+        " WHEN 3 THEN transform(rings, r -> slice(r, 1, 2))"
+        " WHEN 4 THEN transform(rings, r -> transform(r, v ->"
+        " named_struct('x', v.x, 'y', v.y * double('nan'))))"
+        " WHEN 5 THEN transform(rings, r -> transform(r, v -> named_struct('x', v.x, 'y', v.y + 60)))"
+        " WHEN 6 THEN transform(rings, r -> transform(r, v -> named_struct('x', v.x, 'y', 45e0)))"
+        " ELSE rings END",
+        "start": "CASE parcel_key % 11 WHEN 8 THEN NULL WHEN 9 THEN date'2002-01-01' ELSE start END",
+    }
+    dated = far_parcels(spark, sf_dir).withColumns(
+        {"start": F.lit(START).cast("date"), "end": F.lit(END).cast("date")}
+    )
+    return dated.withColumns({name: F.expr(text) for name, text in spoiled.items()})
+
+
+def utm_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scenes with the zone their pixels are stored in: one or the other that they touch."""
+    zone = (
+        "CASE solar_lon WHEN -6 THEN 32630 WHEN -1 THEN 32630 + item_id % 2"
+        " WHEN 4 THEN 32631 + item_id % 2 END"
+    )
+    return scenes(spark, sf_dir).withColumn("epsg", F.expr(zone).cast("int"))
+
+
+def utm_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples on a grid of a kilometre in the zone of their scene, without a parcel."""
+    zones = utm_scenes(spark, sf_dir).where("epsg IS NOT NULL").select("item_id", "epsg")
+    res = UTM_GRID.resolution
+    placed = (
+        pixels(spark, sf_dir)
+        .drop("parcel_key")
+        .join(zones, "item_id")
+        .withColumns({"lon": F.expr(GRID.centre("x")), "lat": F.expr(GRID.centre("y"))})
+    )
+    return (
+        utm.add_projected(placed, "lon", "lat", "epsg", "easting", "northing")
+        .withColumns({"y": F.floor(F.col("northing") / res), "x": F.floor(F.col("easting") / res)})
+        .drop("lon", "lat", "easting", "northing")
+    )
+
+
 def coarse_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A class table on the grid of twice the cell size: per item and parcel, the class of
     the first sample (by cell and px_seq) that falls in the coarse cell."""

@@ -10,17 +10,15 @@ from parcelpulse.schema import INDICES, SPECTRAL_BANDS, bands_for
 
 ALL = list(INDICES)
 START, END = "1995-01-01", "2001-12-31"
-SHORT = ("1997-01-01", "1997-06-30")
-SPARSE = ("1997-01-01", "1997-01-31")
 
 # Raw tables to parcels, vertices, edges, scenes, footprint edges and pixels.
 TABLES = """
 fx_parcel AS (
   SELECT s_suppkey AS parcel_key, CAST(s_suppkey AS VARCHAR) AS parcel_id,
          CASE WHEN s_suppkey % 2 = 0 THEN 'a.parquet' ELSE 'b.parquet' END AS source_file,
-         CASE s_suppkey % 3 WHEN 0 THEN '1996-01-01_1997-06-30'
-              WHEN 1 THEN '1997-07-01_1998-12-31'
-              ELSE '1996-01-01_1999-12-31' END AS date_range,
+         CASE s_suppkey % 3 WHEN 0 THEN '1995-01-01_1997-06-30'
+              WHEN 1 THEN '1997-07-01_2001-12-31'
+              ELSE '1995-01-01_2001-12-31' END AS date_range,
          ((s_suppkey * 37) % 1400) * 10 - 5000 AS ox,
          ((s_suppkey * 53) % 900) * 10 + 42000 AS oy
   FROM supplier),
@@ -171,6 +169,14 @@ pairs AS (
 """
 
 
+# The pixels with every third parcel under clouds.
+CLOUDY = """
+cloudy AS (
+  SELECT * REPLACE (CASE WHEN parcel_key % 3 = 1 AND scl IN (4, 5) THEN 8 ELSE scl END AS scl)
+  FROM fx_pixel)
+"""
+
+
 def first_valid(band: str, order="ROW(dt, item_id, px_seq)") -> str:
     return f"coalesce(arg_min({band}, {order}) FILTER (WHERE {band} <> 0), 0)"
 
@@ -220,8 +226,12 @@ inside_coarse AS (
 """
 
 
+CLOUDY_CLEAR = f"cloudy q JOIN pairs USING (parcel_key, item_id) {INSIDE_BY_KEY}"
+
+
 def spectral_pass(
-    bands, *, rejected=False, per_item=False, shared=False, coarse=False
+    bands, *, rejected=False, per_item=False, shared=False, coarse=False, warped=False,
+    pixel="fx_pixel",
 ) -> str:
     """Days kept, their scale and time, and the scaled mosaic on them."""
     keep = (
@@ -239,14 +249,16 @@ def spectral_pass(
         def value(b):
             return f"{first_valid(b)} * any_value(first_scale) + any_value(first_shift)"
 
-    pixel = "fx_pixel"
     if coarse:
         raw = ", ".join(f"f.{b}" for b in bands)
         pixel = f"""(SELECT f.parcel_key, f.item_id, f.y, f.x, f.px_seq, {raw}, k.scl
            FROM fx_pixel f LEFT JOIN coarse_class k
              ON k.parcel_key = f.parcel_key AND k.item_id = f.item_id
             AND k.y = floor(f.y / 2) AND k.x = floor(f.x / 2))"""
-    if shared:
+    if warped:
+        source = """upixel q JOIN gather g USING (epsg, sy, sx)
+          JOIN kept USING (parcel_key, item_id)"""
+    elif shared:
         source = f"""(SELECT * EXCLUDE (parcel_key) FROM {pixel}) q
           JOIN inside USING (y, x) JOIN kept USING (parcel_key, item_id)"""
     else:
@@ -315,7 +327,12 @@ def series_statement(indices=ALL, search=None, final=None, clear=None, extra=(),
 
 
 def rejected_statement(final):
-    ctes = [found(*SHORT), clear_pass(), spectral_pass(["red", "nir"], rejected=True)]
+    ctes = [
+        found(),
+        CLOUDY,
+        clear_pass(CLOUDY_CLEAR),
+        spectral_pass(["red", "nir"], rejected=True, pixel="cloudy"),
+    ]
     stamped = """,
 rejected AS (
   SELECT * FROM cube JOIN day_time USING (parcel_key, solar_day)
@@ -361,6 +378,93 @@ SELECT parcel_key, epsg, CAST(seq AS BIGINT) AS seq,
 FROM gauss"""
 
 
+def to_utm(source: str, zone: str) -> str:
+    """The rows of a table with lon and lat, with east and north in the zone."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    k = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    ecc = 2 * n**0.5 / (1 + n)
+    a = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    east = " + ".join(f"{c!r}::DOUBLE * cos({2 * j} * u) * sinh({2 * j} * v)" for j, c in enumerate(a, 1))
+    north = " + ".join(f"{c!r}::DOUBLE * sin({2 * j} * u) * cosh({2 * j} * v)" for j, c in enumerate(a, 1))
+    return f"""(SELECT * EXCLUDE (s, d, t, u, v), 500000e0 + {k!r}::DOUBLE * (v + {east}) AS east,
+         {k!r}::DOUBLE * (u + {north}) AS north
+  FROM (SELECT *, atan2(t, cos(d)) AS u, atanh(sin(d) / sqrt(1 + t * t)) AS v
+        FROM (SELECT *, sinh(atanh(s) - {ecc!r}::DOUBLE * atanh({ecc!r}::DOUBLE * s)) AS t
+              FROM (SELECT *, sin(radians(lat)) AS s, radians(lon - ({zone} % 100 * 6 - 183)) AS d
+                    FROM {source}))))"""
+
+
+def from_utm(source: str, zone: str) -> str:
+    """The rows of a table with e and n in the zone, with lon and lat; north of the equator."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    k = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    b = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    d = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    up = " - ".join(["u", *(f"{c!r}::DOUBLE * sin({2 * j} * u) * cosh({2 * j} * v)" for j, c in enumerate(b, 1))])
+    on = " - ".join(["v", *(f"{c!r}::DOUBLE * cos({2 * j} * u) * sinh({2 * j} * v)" for j, c in enumerate(b, 1))])
+    lat = " + ".join(["chi", *(f"{c!r}::DOUBLE * sin({2 * j} * chi)" for j, c in enumerate(d, 1))])
+    return f"""(SELECT * EXCLUDE (u, v, p, q, chi), degrees({lat}) AS lat,
+         {zone} % 100 * 6 - 183 + degrees(atan2(sinh(q), cos(p))) AS lon
+  FROM (SELECT *, asin(sin(p) / cosh(q)) AS chi
+        FROM (SELECT *, {up} AS p, {on} AS q
+              FROM (SELECT *, n / {k!r}::DOUBLE AS u, (e - 500000e0) / {k!r}::DOUBLE AS v
+                    FROM {source}))))"""
+
+
+PIXEL_PLACES = """(SELECT * EXCLUDE (parcel_key, y, x), (x * 10 + 5) / 1000e0 AS lon,
+                 (y * 10 + 5) / 1000e0 AS lat FROM fx_pixel JOIN item_zone USING (item_id))"""
+VERTEX_PLACES = """(SELECT v.parcel_key, v.seq, v.lon, v.lat, z.epsg AS own
+                  FROM fx_vertex v JOIN fx_batch USING (parcel_key)
+                  JOIN batch_zone z USING (source_file, date_range, batch_id))"""
+CELL_PLACES = f"(SELECT * FROM {from_utm('uinside', 'own')} JOIN parcel_zone USING (parcel_key))"
+
+# Samples by zone, the cells of each parcel in its batch's zone, and where each of these is stored.
+WARPED = f"""
+item_zone AS (
+  SELECT item_id, CASE lon0 WHEN -6 THEN 32630 WHEN -1 THEN 32630 + item_id % 2
+                  ELSE 32631 + item_id % 2 END AS epsg FROM valid_scene),
+upixel AS (
+  SELECT *, CAST(floor(north / 1000) AS BIGINT) AS sy, CAST(floor(east / 1000) AS BIGINT) AS sx
+  FROM {to_utm(PIXEL_PLACES, "epsg")}),
+uvertex AS (SELECT * FROM {to_utm(VERTEX_PLACES, "own")}),
+uedge AS (
+  SELECT a.parcel_key, a.own, a.east AS x1, a.north AS y1, b.east AS x2, b.north AS y2
+  FROM uvertex a JOIN uvertex b ON a.parcel_key = b.parcel_key AND b.seq = (a.seq + 1) % 5),
+urow AS (
+  SELECT parcel_key, own, low, high, unnest(range(bottom, top + 1)) AS y
+  FROM (SELECT parcel_key, own, CAST(floor(min(x1) / 1000) AS BIGINT) AS low,
+               CAST(floor(max(x1) / 1000) AS BIGINT) AS high,
+               CAST(floor(min(y1) / 1000) AS BIGINT) AS bottom,
+               CAST(floor(max(y1) / 1000) AS BIGINT) AS top
+        FROM uedge GROUP BY parcel_key, own)),
+ucell AS (
+  SELECT parcel_key, own, y, x, x * 1000e0 + 500 AS e, y * 1000e0 + 500 AS n
+  FROM (SELECT parcel_key, own, y, unnest(range(low, high + 1)) AS x FROM urow)),
+uinside AS (
+  SELECT c.parcel_key, c.own, c.y, c.x, c.e, c.n
+  FROM ucell c JOIN uedge e
+    ON e.parcel_key = c.parcel_key AND (e.y1 > c.n) <> (e.y2 > c.n)
+   AND c.e < (e.x2 - e.x1) * (c.n - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY ALL HAVING count(*) % 2 = 1),
+parcel_zone AS (
+  SELECT DISTINCT parcel_key, epsg FROM pairs JOIN item_zone USING (item_id)),
+gather AS (
+  SELECT parcel_key, epsg, y, x,
+         CASE WHEN epsg = own THEN y ELSE CAST(floor(north / 1000) AS BIGINT) END AS sy,
+         CASE WHEN epsg = own THEN x ELSE CAST(floor(east / 1000) AS BIGINT) END AS sx
+  FROM {to_utm(CELL_PLACES, "epsg")})
+"""
+WARPED_CLEAR = """upixel q JOIN gather g USING (epsg, sy, sx)
+  JOIN pairs USING (parcel_key, item_id)"""
+
+# The first fault of a damaged parcel.
+FAULT = """CASE parcel_key % 11 WHEN 1 THEN 'no polygon'
+  WHEN 3 THEN 'a ring of fewer than three vertices' WHEN 4 THEN 'a vertex without a position'
+  WHEN 5 THEN 'a vertex outside longitude and latitude' WHEN 6 THEN 'a polygon without area'
+  WHEN 8 THEN 'no dates' WHEN 9 THEN 'dates that end before they start' END"""
+
 BANDS = ", ".join(SPECTRAL_BANDS)
 SCALED = ", ".join(f"round({b} * scale + shift, 9) + 0e0 AS {b}" for b in SPECTRAL_BANDS)
 MASKED = ", ".join(
@@ -427,6 +531,27 @@ FROM rejected JOIN (SELECT parcel_key, count(DISTINCT dt) AS n_dates
     "time_series_coarse_class": series_statement(
         ["NDVI"], extra=(COARSE, COARSE_CLEAR), clear=COARSE_CLEAR_FROM, coarse=True
     ),
+    "time_series_zone_border": series_statement(
+        ["NDVI"], extra=(WARPED,), clear=WARPED_CLEAR, warped=True
+    ),
+    "run_failures": series_statement(
+        ["NDVI"],
+        extra=(CLOUDY,),
+        clear=CLOUDY_CLEAR,
+        pixel="cloudy",
+        final=f""",
+reasons AS (
+  SELECT p.*, coalesce({FAULT},
+    CASE WHEN parcel_key % 5 = 2 OR parcel_key NOT IN (SELECT parcel_key FROM pairs)
+         THEN 'no scene covers the parcel'
+         WHEN parcel_key NOT IN (SELECT parcel_key FROM usable) THEN 'no day is clear enough'
+         WHEN parcel_key NOT IN (SELECT parcel_key FROM stamped) THEN 'no index has a value' END) AS reason
+  FROM fx_parcel p)
+SELECT r.parcel_key, r.reason, CASE WHEN reason IS NULL THEN n END AS n_points,
+       {", ".join(f"CASE WHEN reason IS NOT NULL THEN {c} END AS {c}" for c in FROM_WHERE.split(", "))}
+FROM reasons r LEFT JOIN (SELECT parcel_key, count(*) AS n FROM stamped GROUP BY parcel_key) USING (parcel_key)""",
+    ),
+    "scan_parcels_any_id": statement([], f"SELECT {FROM_WHERE} FROM fx_parcel"),
     "scan_date_folders": statement(
         [],
         f"""SELECT parcel_id, source_file, folder AS date_range,
@@ -595,12 +720,12 @@ FROM fx_pixel q JOIN inside c ON c.y = q.y AND c.x = q.x""",
     "semi_join_usable_days": kept_items("solar_day", "solar_day"),
     "semi_join_utc_days": kept_items("utc_day", "utc_day"),
     "anti_join_no_scene": statement(
-        [found(*SPARSE, cloud=5)],
+        [found()],
         f"""SELECT parcel_key, {FROM_WHERE} FROM fx_parcel
-WHERE parcel_key NOT IN (SELECT parcel_key FROM pairs)""",
+WHERE parcel_key % 5 = 2 OR parcel_key NOT IN (SELECT parcel_key FROM pairs)""",
     ),
     "anti_join_rejected": statement(
-        [found(*SHORT), clear_pass()],
+        [found(), CLOUDY, clear_pass(CLOUDY_CLEAR)],
         f"""SELECT parcel_key, {FROM_WHERE} FROM fx_parcel
 WHERE parcel_key IN (SELECT parcel_key FROM pairs)
   AND parcel_key NOT IN (SELECT parcel_key FROM usable)""",

@@ -18,7 +18,7 @@ from parcelpulse.plans import rejected as rejected_plan
 from parcelpulse.plans import run as run_plan
 from parcelpulse.plans import time_series as ts
 from parcelpulse.schema import INDICES, SPECTRAL_BANDS, bands_for
-from parcelpulse.session import new_folder
+from parcelpulse.session import hold, new_folder
 from parcelpulse.sources import parcels as parcel_source
 from parcelpulse.sources import pixels as pixel_source
 from parcelpulse.sources import results
@@ -27,11 +27,6 @@ from parcelpulse.sources import scenes as scene_source
 ALL = list(INDICES)
 SAMPLE = ["parcel_key", "item_id", "y", "x", "px_seq"]
 PARAMS = Params(indices=ALL, collection=fx.COLLECTION)
-# A narrow window, in which some parcels have scenes but no clear day.
-SHORT = ("1997-01-01", "1997-06-30")
-# A narrower one with few scenes, in which some parcels have none.
-SPARSE = ("1997-01-01", "1997-01-31")
-SPARSE_CLOUD = 5
 BATCH_DEG = 2.0
 
 
@@ -61,12 +56,12 @@ def full_search(spark, sf, start=fx.START, end=fx.END, params=PARAMS) -> ts.Sear
     return ts.search(fx.parcels(spark, sf), fx.scenes(spark, sf), params, start, end)
 
 
-def matched_footprints(spark, sf, start=fx.START, end=fx.END, cloud=80):
+def matched_footprints(spark, sf, parcels=None):
     """(matches, items with footprint_id) of the parcel-scene join."""
-    params = Params(indices=ALL, collection=fx.COLLECTION, max_cloud=cloud)
-    parcels = ts.with_range(fx.parcels(spark, sf), start, end)
-    items, footprints = ts.find_items(fx.scenes(spark, sf), params, start, end)
-    return spatial.match_footprints(parcels, footprints), items
+    parcels = fx.parcels(spark, sf) if parcels is None else parcels
+    ranged = ts.with_range(parcels, fx.START, fx.END)
+    items, footprints = ts.find_items(fx.scenes(spark, sf), PARAMS, fx.START, fx.END)
+    return spatial.match_footprints(ranged, footprints), items
 
 
 def clipped(spark, sf, bands, items) -> DataFrame:
@@ -164,6 +159,20 @@ def scan_parcels(spark, sf):
     )
 
 
+def scan_parcels_any_id(spark, sf):
+    """Files of one run whose ids are long, int and text."""
+    root = new_folder(spark, "input")
+    parcels = fx.parcels(spark, sf)
+    for k, (start, end) in enumerate(fx.RANGES):
+        rows = parcels.where(F.col("parcel_key") % 3 == k)
+        for source, id_type in (("a.parquet", ("long", "int", "string")[k]), ("b.parquet", "string")):
+            rows.where(F.col("source_file") == source).select(
+                F.col("parcel_id").cast(id_type).alias("ID_PARCEL"), "rings"
+            ).write.parquet(f"{root}/{start}_{end}/{source}")
+    read = parcel_source.read_parcels(spark, root)
+    return read.select("parcel_id", "source_file", "date_range")
+
+
 def scan_scenes(spark, sf):
     """Items go out as STAC JSON lines and come back as the flat scene table."""
     path = new_folder(spark, "catalogue")
@@ -210,7 +219,7 @@ def scan_pixels(spark, sf):
     days = fx.scenes(spark, sf).select("item_id", F.to_date("datetime").alias("acq_day"))
     pixel_source.write_pixels(fx.pixels(spark, sf).join(days, "item_id"), path)
     read = pixel_source.read_pixels(spark, path, bands_for(["NBR"]))
-    return read.withColumn("acq_day", day("acq_day"))
+    return read.withColumn("acq_day", day("acq_day")).drop("tile", "block_key")
 
 
 def write_time_series(spark, sf):
@@ -258,21 +267,22 @@ def write_pixel_cube(spark, sf):
     )
 
 
-def short_rejects(spark, sf) -> DataFrame:
+def cloudy_rejects(spark, sf) -> DataFrame:
+    """The rejected parcels' cube where every third parcel is under clouds."""
     return rejected_plan.rejected_cube(
         fx.parcels(spark, sf),
         fx.scenes(spark, sf),
-        fx.pixels(spark, sf),
+        fx.cloudy_pixels(spark, sf),
         collection=fx.COLLECTION,
         grid=fx.GRID,
-        start=SHORT[0],
-        end=SHORT[1],
+        start=fx.START,
+        end=fx.END,
     )
 
 
 def write_rejected_cube(spark, sf):
     path = new_folder(spark, "rejected")
-    results.write_cube(short_rejects(spark, sf), path, by_parcel=True)
+    results.write_cube(cloudy_rejects(spark, sf), path, by_parcel=True)
     return rounded(results.read_cube(spark, path), ["red", "nir"]).select(
         stamp("time").alias("time"),
         "parcel_key",
@@ -287,7 +297,7 @@ def write_rejected_cube(spark, sf):
 
 def scan_cube(spark, sf):
     path = new_folder(spark, "cube")
-    results.write_cube(short_rejects(spark, sf), path)
+    results.write_cube(cloudy_rejects(spark, sf), path)
     read = results.read_cube(spark, path)
     return read.groupBy("date_range", "parcel_id").agg(
         F.count_distinct("time").alias("n_dates"), F.count("*").alias("n_cells")
@@ -548,16 +558,18 @@ def semi_join_utc_days(spark, sf):
 
 
 def anti_join_no_scene(spark, sf):
-    matches, items = matched_footprints(spark, sf, *SPARSE, cloud=SPARSE_CLOUD)
+    parcels = fx.far_parcels(spark, sf)
+    matches, items = matched_footprints(spark, sf, parcels)
     days = spatial.parcel_days(matches, items)
-    return clarity.without_scene(fx.parcels(spark, sf), days).select(
+    return clarity.without_scene(parcels, days).select(
         "parcel_key", *series.PROVENANCE
     )
 
 
 def anti_join_rejected(spark, sf):
-    found = full_search(spark, sf, *SHORT)
-    out = clarity.rejected(found.parcels, found.days, usable(spark, sf, found))
+    found = full_search(spark, sf)
+    days_ok = ts.usable_parcel_days(fx.cloudy_pixels(spark, sf), found, PARAMS, fx.GRID)
+    out = clarity.rejected(found.parcels, found.days, days_ok)
     return out.select("parcel_key", *series.PROVENANCE)
 
 
@@ -645,13 +657,13 @@ def run_counters(spark, sf):
     )
     batched = spatial.with_batch(parcels, BATCH_DEG)
     boxes = spatial.batch_bounds(spatial.drop_invalid_parcels(batched))
-    found = spatial.scenes_in_boxes(
+    items = spatial.count_in_boxes(
         catalogue.search(fx.scenes(spark, sf), fx.COLLECTION, start=fx.START, end=fx.END),
         boxes,
         spatial.BATCH,
     )
     points = flagship(spark, sf, ["NDVI"], parcels=parcels)
-    return series.run_counters(batched, found, points)
+    return series.run_counters(batched, items, points)
 
 
 # --- set operations ----------------------------------------------------------------
@@ -733,8 +745,49 @@ def run_folders(spark, sf):
     return show_series(results.read_series(spark, f"{out}/mean"), ["NDVI", "NDBI"])
 
 
+def time_series_zone_border(spark, sf):
+    """Pixels stored in several zones, each scene's in one, on the grids of their batches' zones."""
+    df = ts.parcel_time_series(
+        fx.parcels(spark, sf),
+        fx.utm_scenes(spark, sf),
+        fx.utm_pixels(spark, sf),
+        ["NDVI"],
+        collection=fx.COLLECTION,
+        grid=fx.UTM_GRID,
+        start=fx.START,
+        end=fx.END,
+        utm=True,
+        batch_size_deg=BATCH_DEG,
+    )
+    return show_series(df, ["NDVI"])
+
+
+def run_failures(spark, sf):
+    """Every parcel of a run with damaged, far and cloudy ones: its points, or why it has none."""
+    out = new_folder(spark, "output")
+    parcels = hold(fx.damaged_parcels(spark, sf), "input")
+    paths = run_plan.RunPaths(f"{out}/mean", failed=f"{out}/failed")
+    run_plan.run_parcels(
+        parcels,
+        fx.scenes(spark, sf),
+        fx.cloudy_pixels(spark, sf),
+        paths,
+        Params(indices=["NDVI"], collection=fx.COLLECTION),
+        fx.GRID,
+    )
+    failed = spark.read.parquet(paths.failed)
+    points = results.read_series(spark, paths.series).groupBy("parcel_key").agg(
+        F.count("*").alias("n_points")
+    )
+    return (
+        parcels.select("parcel_key")
+        .join(failed.select("parcel_key", *series.PROVENANCE, "reason"), "parcel_key", "left")
+        .join(points, "parcel_key", "left")
+    )
+
+
 def rejected_ndvi(spark, sf):
-    shown = rejected_plan.rejected_ndvi(short_rejects(spark, sf))
+    shown = rejected_plan.rejected_ndvi(cloudy_rejects(spark, sf))
     return rounded(shown, ["NDVI"]).withColumn("scl", F.col("scl").cast("long"))
 
 
@@ -743,12 +796,15 @@ QUERIES = {
     for f in (
         parcel_time_series,
         run_folders,
+        run_failures,
         rejected_ndvi,
         time_series_per_item_scale,
         time_series_shared_grid,
         time_series_coarse_class,
+        time_series_zone_border,
         scan_date_folders,
         scan_parcels,
+        scan_parcels_any_id,
         scan_scenes,
         scan_pixels,
         write_time_series,

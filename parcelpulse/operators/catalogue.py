@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.functions import dates, geometry
+from parcelpulse.operators import layout
 from parcelpulse.schema import DEFAULT_OFFSET, DEFAULT_SCALE, MAX_CLOUD_COVER
 
 
@@ -53,19 +54,32 @@ def boxes_overlap(a: str, b: str) -> Column:
     )
 
 
+def with_box(scenes: DataFrame) -> DataFrame:
+    """Add the footprint's bounds, unless the table stores them."""
+    stored = all(c in scenes.columns for c in geometry.BOUNDS)
+    return scenes if stored else scenes.withColumns(geometry.bounds("rings"))
+
+
+def with_cell(scenes: DataFrame) -> DataFrame:
+    """Add the footprint's bounds and the one cell it is filed in, unless the table stores them."""
+    boxed = with_box(scenes)
+    if "cell" in boxed.columns:
+        return boxed
+    return layout.add_cell(boxed)
+
+
 def filter_bbox(scenes: DataFrame, minx, miny, maxx, maxy) -> DataFrame:
     """Footprint bounds overlap one fixed box; touching counts.
 
     Scenes that carry their bounds as columns are skipped in the scan.
     """
-    own = all(c in scenes.columns for c in geometry.BOUNDS)
-    box = {c: F.col(c) for c in geometry.BOUNDS} if own else geometry.bounds("rings")
-    return scenes.where(
-        (box["minx"] <= maxx)
-        & (box["maxx"] >= minx)
-        & (box["miny"] <= maxy)
-        & (box["maxy"] >= miny)
-    )
+    boxed = with_box(scenes)
+    return boxed.where(
+        (F.col("minx") <= maxx)
+        & (F.col("maxx") >= minx)
+        & (F.col("miny") <= maxy)
+        & (F.col("maxy") >= miny)
+    ).select(*scenes.columns)
 
 
 def search(
@@ -74,17 +88,13 @@ def search(
     max_cloud: float = MAX_CLOUD_COVER,
     start=None,
     end=None,
-    box: tuple | None = None,
 ) -> DataFrame:
-    """The catalogue search: collection, cloud, validity and, when given, dates and a box.
+    """The catalogue search: collection, cloud, validity and, when given, dates.
 
-    Parcels with dates of their own are matched to scenes by date in the spatial join. The
-    box is minx, miny, maxx, maxy in degrees.
+    Parcels with dates of their own are matched to scenes by date in the spatial join.
     """
     if start is not None and end is not None:
         scenes = filter_date_range(scenes, start, end)
-    if box is not None and None not in box:
-        scenes = filter_bbox(scenes, *box)
     scenes = filter_collection(filter_valid_items(scenes), collection)
     return filter_cloud_cover(scenes, max_cloud)
 

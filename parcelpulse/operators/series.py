@@ -65,11 +65,11 @@ def project_series(series: DataFrame, index: str = "NDVI") -> DataFrame:
     return series.select(parcel, "time", index).orderBy(parcel, "time")
 
 
-def run_counters(batched: DataFrame, found: DataFrame, series: DataFrame) -> DataFrame:
+def run_counters(batched: DataFrame, items: DataFrame, series: DataFrame) -> DataFrame:
     """Per batch: items found, parcels, parcels without a polygon, parcels done, points.
 
-    ``batched`` has parcel_key, rings and the batch columns, ``found`` the batch columns
-    and item_id, ``series`` parcel_key. Parcels without a polygon are dropped from a run and
+    ``batched`` has parcel_key, rings and the batch columns, ``items`` the batch columns and
+    n_items (see ``spatial.count_in_boxes``), ``series`` parcel_key. Parcels without a polygon are dropped from a run and
     have no batch_id; they are counted per file and date range.
     """
     points = series.groupBy("parcel_key").agg(F.count("*").alias("points"))
@@ -85,5 +85,4 @@ def run_counters(batched: DataFrame, found: DataFrame, series: DataFrame) -> Dat
             F.coalesce(F.sum("points"), F.lit(0)).cast("long").alias("n_points"),
         )
     )
-    items = found.groupBy(*BATCH).agg(F.count("item_id").alias("n_items"))
     return parcels.join(items, BATCH, "left").fillna(0, ["n_items"])

@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from parcelpulse.functions import geometry, utm
 from parcelpulse.functions.geometry import BOUNDS
-from parcelpulse.operators.catalogue import boxes_overlap
+from parcelpulse.operators import layout
+from parcelpulse.operators.catalogue import boxes_overlap, with_cell
 from parcelpulse.schema import Grid
+from parcelpulse.session import hold
 
-# Side of the coarse join cell in degrees: about one scene footprint.
-JOIN_CELL_DEG = 1.0
-# Rows of one coarse cell that a task takes; a fuller cell is dealt over more tasks.
+# Rows of one square that a task takes; a fuller square is dealt over more tasks.
 ROWS_PER_TASK = 4_096
-# Cells on a side of the blocks that pixels are chosen by before they are shuffled.
-BLOCK_CELLS = 256
 
 BATCH = ["source_file", "date_range", "batch_id"]
 # Identifies a row of parcel_days; all but the parcel are columns of an item, too.
@@ -27,6 +25,9 @@ def drop_invalid_parcels(parcels: DataFrame) -> DataFrame:
 
 
 def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """Add minx, miny, maxx, maxy; a table that has those of its rings keeps them."""
+    if rings == "rings" and set(BOUNDS) <= set(df.columns):
+        return df
     return df.withColumns(geometry.bounds(rings))
 
 
@@ -67,52 +68,77 @@ def in_batch_utm(parcels: DataFrame, size_deg: float) -> DataFrame:
 # --- parcels and scenes ------------------------------------------------------------
 
 
-def _on_join_cells(df: DataFrame, size: float) -> DataFrame:
-    """One row per coarse cell that the bounds cover: adds cx, cy."""
+def _first_shared_square() -> Column:
+    """True in exactly one of the squares that two overlapping boxes share."""
 
-    def span(lo, hi):
-        return F.explode(F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size)))
+    def first(axis: str) -> Column:
+        corner = F.greatest(F.col(f"p.min{axis}"), F.col(f"s.min{axis}"))
+        return F.col(f"p.c{axis}") == F.floor(corner / F.col("p.side"))
 
-    return df.withColumn("cx", span("minx", "maxx")).withColumn("cy", span("miny", "maxy"))
+    return first("x") & first("y")
 
 
-def _first_shared_cell(size: float) -> Column:
-    """True in exactly one of the cells that two overlapping boxes share."""
+def scenes_in_boxes(scenes: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, item_id) for every scene whose bounds overlap the box; touching counts.
+
+    A scene is filed in one cell, so scenes are neither repeated nor counted. The boxes'
+    cells are held: while they are few, Catalyst broadcasts them and no scene is shuffled.
+    """
+    near = hold(layout.cells_near(boxes.select(*keys, *BOUNDS)), "boxes")
+    filed = with_cell(scenes.where(F.col("rings").isNotNull())).select("item_id", "cell", *BOUNDS)
     return (
-        F.col("p.cx") == F.floor(F.greatest(F.col("p.minx"), F.col("s.minx")) / size)
-    ) & (F.col("p.cy") == F.floor(F.greatest(F.col("p.miny"), F.col("s.miny")) / size))
+        near.alias("p")
+        .join(filed.alias("s"), "cell")
+        .where(F.col("inner") | boxes_overlap("p", "s"))
+        .select(*keys, "item_id")
+    )
 
 
-def _spread(many: DataFrame, other: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join on coarse cells, with the slot of the cell that they meet in.
+def count_in_boxes(scenes: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_items): how many scenes overlap the box, without listing them.
 
-    A cell has as many slots as its counted rows of ``many`` need; the other side's rows go
-    to each of them.
+    A cell whose scenes all overlap adds its sum; elsewhere scenes of equal bounds, such as
+    those of one tile and orbit, are judged once and add their number.
     """
-    cell = ["cx", "cy"]
-    slots = many.groupBy(*cell).agg(F.ceil(F.count("*") / ROWS_PER_TASK).alias("slots"))
-    dealt = many.join(slots, cell).withColumn(
-        "slot", F.pmod(F.xxhash64(key), F.col("slots"))
+    near = hold(layout.cells_near(boxes.select(*keys, *BOUNDS)), "boxes")
+    alike = hold(
+        with_cell(scenes.where(F.col("rings").isNotNull()))
+        .groupBy("cell", *BOUNDS)
+        .agg(F.count("*").alias("n")),
+        "scene-counts",
     )
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)
-    repeated = other.join(slots, cell).withColumn("slot", F.explode(numbers))
-    return dealt.drop("slots"), repeated.drop("slots")
+    sums = alike.groupBy("cell").agg(F.sum("n").alias("n"))
+    whole = near.where("inner").join(sums, "cell").select(*keys, "n")
+    partly = (
+        near.where("NOT inner")
+        .alias("p")
+        .join(alike.alias("s"), "cell")
+        .where(boxes_overlap("p", "s"))
+        .select(*keys, "n")
+    )
+    return whole.unionByName(partly).groupBy(*keys).agg(F.sum("n").alias("n_items"))
 
 
-def scenes_in_boxes(scenes: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, item_id) for every scene whose bounds overlap the box; touching counts."""
-    left = _on_join_cells(boxes.select(*keys, *BOUNDS), JOIN_CELL_DEG)
-    right = _on_join_cells(
-        with_bounds(scenes.where(F.col("rings").isNotNull())).select("item_id", *BOUNDS),
-        JOIN_CELL_DEG,
-    )
-    right, left = _spread(right, left, "item_id")
-    return (
-        left.alias("p")
-        .join(right.alias("s"), ["cx", "cy", "slot"])
-        .where(boxes_overlap("p", "s") & _first_shared_cell(JOIN_CELL_DEG))
-        .select(*keys, "item_id")
+def scenes_near(scenes: DataFrame, parcels: DataFrame) -> DataFrame:
+    """Scenes that may overlap a parcel, by the cells they are filed in.
+
+    The cells near the parcels are held: a semi-join, by broadcast while they are few, keeps
+    the scenes. A scene table that stores its ``cell`` is also read by ranges of it only.
+    """
+    side = layout.LEVELS[0]
+
+    def snapped(column: str, up: int) -> Column:
+        return ((F.floor(F.col(column) / side) + up) * side).alias(column)
+
+    # Parcels in the same squares ask for the same cells.
+    boxes = with_bounds(parcels).select(
+        *(snapped(c, 0) for c in BOUNDS[:2]), *(snapped(c, 1) for c in BOUNDS[2:])
     )
+    cells = hold(layout.cells_near(boxes.distinct()).select("cell").distinct(), "cells")
+    if "cell" in scenes.columns:
+        ranges = layout.key_ranges(cells, "cell", 2 * layout.AXIS_BITS + 4)
+        scenes = scenes.where(layout.in_ranges(F.col("cell"), ranges))
+    return with_cell(scenes).join(cells, "cell", "left_semi").select(*scenes.columns)
 
 
 def distinct_footprints(scenes: DataFrame) -> DataFrame:
@@ -124,34 +150,68 @@ def distinct_footprints(scenes: DataFrame) -> DataFrame:
     return scenes.groupBy("rings").agg(F.min("item_id").alias("footprint_id"))
 
 
+SQUARE = ["level", "cx", "cy"]
+
+
+def _footprints(footprints: DataFrame) -> DataFrame:
+    return with_bounds(footprints.where(geometry.is_polygon("rings"))).withColumn(
+        "own_level", layout.level_of(*map(F.col, BOUNDS))
+    )
+
+
+def _levels(own: DataFrame) -> Column:
+    """The levels that occur, eleven at most, a row for each."""
+    levels = sorted(r["own_level"] for r in own.select("own_level").distinct().collect())
+    return F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))
+
+
+def _slots(parcels: DataFrame, levels: Column) -> DataFrame:
+    """Squares with parcels, and how many slots their counted number needs."""
+    placed = layout.on_squares(with_bounds(parcels).select(*BOUNDS), levels)
+    return placed.groupBy(*SQUARE).agg(F.ceil(F.count("*") / ROWS_PER_TASK).alias("slots"))
+
+
+def _in_slots(own: DataFrame, slots: DataFrame) -> DataFrame:
+    placed = layout.on_squares(own, F.col("own_level"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)
+    return placed.join(slots, SQUARE).withColumn("slot", F.explode(numbers)).drop("slots")
+
+
+def footprints_in_slots(parcels: DataFrame, footprints: DataFrame) -> DataFrame:
+    """A row per footprint, square of its own size, and slot of the parcels there."""
+    own = _footprints(footprints)
+    return _in_slots(own, _slots(parcels, _levels(own)))
+
+
 def match_footprints(parcels: DataFrame, footprints: DataFrame) -> DataFrame:
     """(parcel_key, start, end, footprint_id) for footprints that intersect the parcel.
 
-    Both sides go to coarse cells, so the join is an equi-join; parcels of a busy cell are
-    spread over as many tasks as their number asks for.
+    An equi-join on squares. A footprint lies on squares of its own size, four at most however
+    large it is; a parcel on those of each size that occurs. A square has as many slots as its
+    counted parcels need: they are dealt over them, and its footprints go to each.
     """
     shape = {
         "edges": F.expr(geometry.edges("rings")),
         "starts": F.expr(geometry.ring_starts("rings")),
     }
-    left = _on_join_cells(
+    own = _footprints(footprints)
+    levels = _levels(own)
+    slots = hold(_slots(parcels, levels), "squares")
+    left = layout.on_squares(
         with_bounds(parcels)
         .withColumns(shape)
         .select("parcel_key", "start", "end", "edges", "starts", *BOUNDS),
-        JOIN_CELL_DEG,
+        levels,
     )
-    right = _on_join_cells(
-        with_bounds(footprints.where(geometry.is_polygon("rings")))
-        .withColumns(shape)
-        .select("footprint_id", "edges", "starts", *BOUNDS),
-        JOIN_CELL_DEG,
+    left = left.join(slots, SQUARE).withColumn("slot", F.pmod(F.xxhash64("parcel_key"), "slots"))
+    right = _in_slots(
+        own.withColumns(shape).select("footprint_id", "edges", "starts", "own_level", *BOUNDS), slots
     )
-    left, right = _spread(left, right, "parcel_key")
     touch = geometry.intersects("p.edges", "p.starts", "s.edges", "s.starts")
     return (
         left.alias("p")
-        .join(right.alias("s"), ["cx", "cy", "slot"])
-        .where(boxes_overlap("p", "s") & _first_shared_cell(JOIN_CELL_DEG))
+        .join(right.alias("s"), [*SQUARE, "slot"])
+        .where(boxes_overlap("p", "s") & _first_shared_square())
         .where(touch)
         .select("parcel_key", "start", "end", "footprint_id")
     )
@@ -211,8 +271,10 @@ def _rows_to_cells(rows: DataFrame, keys: list[str], carried: list[str]) -> Data
     return spread.withColumn("x", F.explode(F.sequence("x_first", "x_last")))
 
 
-def parcel_cells(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
-    """(parcel_key[, epsg], y, x) of the cells whose centre lies in the polygon.
+def parcel_cells(
+    parcels: DataFrame, grid: Grid, rings: str = "rings", carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """(parcel_key[, epsg], y, x, carried) of the cells whose centre lies in the polygon.
 
     Scan conversion: the edges that cross a row of cells are found once per row, so a
     cell only counts crossings to its right. The clip is then an equi-join, and the polygon
@@ -225,6 +287,7 @@ def parcel_cells(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFr
         .withColumn("edges", F.expr(geometry.edges(rings)))
         .select(
             *keys,
+            *carried,
             "edges",
             F.explode(
                 F.sequence(F.floor(F.col("miny") / res) - 1, F.floor(F.col("maxy") / res) + 1)
@@ -239,9 +302,63 @@ def parcel_cells(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFr
             }
         )
     )
-    cells = _rows_to_cells(rows, keys, ["crossings"])
+    cells = _rows_to_cells(rows, keys, ["crossings", *carried])
     return cells.where(geometry.right_of("crossings", grid.centre("x"))).select(
-        *keys, "y", "x"
+        *keys, "y", "x", *carried
+    )
+
+
+def warped_cells(parcels: DataFrame, grid: Grid) -> DataFrame:
+    """(parcel_key, epsg, src_y, src_x, y, x): where each cell of a parcel is stored.
+
+    The parcel's grid lies in its own zone (``epsg`` and ``rings_utm``). In every zone that its
+    scenes may be stored in (``zones``), a cell takes the stored cell that its centre falls in:
+    back to longitude and latitude, and on to that zone. In its own zone it is the same cell.
+    """
+    res = grid.resolution
+    cells = parcel_cells(parcels, grid, "rings_utm", ("zones",)).withColumn(
+        "zone", F.explode("zones")
+    )
+    away = cells.where("zone <> epsg")
+    placed = utm.add_unprojected(away, grid.centre("x"), grid.centre("y"), "epsg", "lon", "lat")
+    moved = utm.add_projected(placed, "lon", "lat", "zone", "easting", "northing")
+    names = ("parcel_key", F.col("zone").alias("epsg"))
+    same = cells.where("zone = epsg")
+    stored = [F.floor(F.col(c) / res) for c in ("northing", "easting")]
+    # A generated row: join conditions on it are not pushed, written out in full, before the steps.
+    moved = moved.select(*names, "y", "x", F.inline(F.array(F.struct(*stored))).alias("src_y", "src_x"))
+    return same.select(*names, "y", "x", F.col("y").alias("src_y"), F.col("x").alias("src_x")).unionByName(moved)
+
+
+def footprint_zones(items: DataFrame, footprints: DataFrame) -> DataFrame:
+    """(footprint_id, zone): the zones in which scenes of a footprint are stored.
+
+    Items say so by their ``epsg``. Of those that do not, every zone near the footprint counts.
+    """
+    near = with_bounds(footprints.where(geometry.is_polygon("rings"))).select(
+        "footprint_id", F.explode(utm.zones_near(*map(F.col, BOUNDS))).alias("zone")
+    )
+    if "epsg" not in items.columns:
+        return near
+    known = items.where("epsg IS NOT NULL").select("footprint_id", F.col("epsg").cast("int").alias("zone"))
+    silent = items.where("epsg IS NULL").select("footprint_id").distinct()
+    return known.unionByName(near.join(silent, "footprint_id", "left_semi")).distinct()
+
+
+def with_zones(parcels: DataFrame, matches: DataFrame, zones: DataFrame) -> DataFrame:
+    """Add ``zones``: the parcel's own one and those that its footprints are stored in."""
+    stored = (
+        matches.select("parcel_key", "footprint_id")
+        .distinct()
+        .join(zones, "footprint_id")
+        .groupBy("parcel_key")
+        .agg(F.collect_set("zone").alias("found"))
+    )
+    own = F.array("epsg")
+    return (
+        parcels.join(stored, "parcel_key", "left")
+        .withColumn("zones", F.array_union(own, F.coalesce("found", own)))
+        .drop("found")
     )
 
 
@@ -275,39 +392,62 @@ def cell_keys(pixels: DataFrame, cells: DataFrame) -> list[str]:
     ]
 
 
-def _block(cell: Column) -> Column:
-    return F.floor(cell / BLOCK_CELLS)
+def grid_boxes(parcels: DataFrame, rings: str = "rings") -> DataFrame:
+    """([epsg,] minx, miny, maxx, maxy): a row per parcel, or per parcel and zone.
+
+    The bounds are those of the ring in each zone, wider by a thousandth of their size:
+    straight edges of one zone are slightly curved in another.
+    """
+    if rings != "rings_utm":
+        return with_bounds(parcels, rings).select(*BOUNDS)
+    projected = parcels.select("rings", F.explode("zones").alias("epsg")).select(
+        "epsg", utm.project_rings("rings", "epsg").alias("rings_utm")
+    )
+    wide = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) / 1000
+    return with_bounds(projected, "rings_utm").select(
+        "epsg",
+        *((F.col(c) - wide).alias(c) for c in BOUNDS[:2]),
+        *((F.col(c) + wide).alias(c) for c in BOUNDS[2:]),
+    )
+
+
+def total_extent(parcels: DataFrame, rings: str = "rings") -> tuple:
+    """minx, miny, maxx, maxy over all parcels and zones: one row."""
+    box = grid_boxes(parcels, rings)
+    return tuple(box.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first())
 
 
 def parcel_blocks(parcels: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
-    """Distinct ([epsg,] block_y, block_x) that the parcels' bounds reach, a cell wider."""
-    keys = ["epsg"] if rings == "rings_utm" else []
+    """Distinct ([epsg,] block_y, block_x, block_key) that the parcels reach, a cell wider."""
+    box = grid_boxes(parcels, rings)
+    zone = [c for c in ("epsg",) if c in box.columns]
 
-    def span(lo: str, hi: str) -> Column:
-        low, high = (F.floor(F.col(c) / grid.resolution) for c in (lo, hi))
-        return F.explode(F.sequence(_block(low - 1), _block(high + 1)))
+    def span(low: str, high: str) -> Column:
+        first, last = (F.floor(F.col(c) / grid.resolution) for c in (low, high))
+        return F.explode(F.sequence(layout.block(first - 1), layout.block(last + 1)))
 
-    columns = with_bounds(parcels, rings).withColumn("block_x", span("minx", "maxx"))
-    return (
-        columns.select(*keys, "miny", "maxy", "block_x")
-        .withColumn("block_y", span("miny", "maxy"))
-        .select(*keys, "block_y", "block_x")
-        .distinct()
-    )
+    placed = box.withColumn("block_x", span("minx", "maxx")).withColumn("block_y", span("miny", "maxy"))
+    return layout.add_block_key(placed.select(*zone, "block_y", "block_x").distinct())
 
 
 def in_blocks(pixels: DataFrame, blocks: DataFrame) -> DataFrame:
     """Pixels in one of the blocks. A held block table is broadcast while it is small."""
-    placed = pixels.withColumns(
-        {"block_y": _block(F.col("y")), "block_x": _block(F.col("x"))}
-    )
-    keys = [c for c in blocks.columns if c in placed.columns]
-    return placed.join(blocks, keys, "left_semi").select(*pixels.columns)
+    placed = layout.add_block(pixels)
+    keys = [c for c in ("epsg", "block_y", "block_x") if c in blocks.columns]
+    return placed.join(blocks.select(*keys), keys, "left_semi").select(*pixels.columns)
 
 
 def clip_pixels(pixels: DataFrame, cells: DataFrame) -> DataFrame:
-    """Pixels whose centre lies in a parcel, with that parcel's key."""
-    return pixels.join(cells, cell_keys(pixels, cells))
+    """Pixels whose centre lies in a parcel, with that parcel's key.
+
+    Of warped cells, y and x are then those of the parcel's grid, src_y and src_x the stored
+    ones; a stored cell may serve several.
+    """
+    if "src_y" not in cells.columns:
+        return pixels.join(cells, cell_keys(pixels, cells))
+    stored = pixels.withColumnsRenamed({"y": "src_y", "x": "src_x"})
+    keys = [c for c in ("parcel_key", "epsg", "src_y", "src_x") if c in stored.columns]
+    return stored.join(cells, keys)
 
 
 def window_pixels(
@@ -342,7 +482,8 @@ def resample_nearest(
     ]
 
     def coarse_cell(axis):
-        return F.floor(F.expr(fine_grid.centre(axis)) / coarse_grid.resolution)
+        stored = f"src_{axis}" if f"src_{axis}" in fine.columns else axis
+        return F.floor(F.expr(fine_grid.centre(stored)) / coarse_grid.resolution)
 
     placed = fine.withColumns({"y_c": coarse_cell("y"), "x_c": coarse_cell("x")})
     source = coarse.select(

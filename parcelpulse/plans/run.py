@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpulse.operators import clarity, series
+from parcelpulse.operators import clarity, faults, series
 from parcelpulse.params import Params, problems_text
 from parcelpulse.plans.rejected import cube_of_rejected
 from parcelpulse.plans.time_series import (
@@ -22,11 +23,27 @@ from parcelpulse.sources.parcels import read_parcels
 from parcelpulse.sources.results import read_cube, write_cube, write_series
 
 
+logger = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class RunPaths:
     series: str
     cube: str | None = None
     rejected: str | None = None
+    failed: str | None = None  # parcels without a result, and why
+
+
+@dataclass(frozen=True)
+class RunCounts:
+    """What a run did. It is true when there were results."""
+
+    points: int
+    parcels_done: int
+    failed: dict[str, int] = field(default_factory=dict)  # parcels by reason
+
+    def __bool__(self) -> bool:
+        return self.points > 0
 
 
 def run_folders(
@@ -42,11 +59,35 @@ def run_folders(
     class_grid: Grid | None = None,
     utm: bool = False,
     file_format: str = "parquet",
-) -> bool:
-    """Process all folders in one plan and write the results; True when there were any.
+) -> RunCounts:
+    """Process all folders in one plan, write the results, and tell how many there were.
 
-    The folders' dates are a column, so nothing loops over folders. When the masked cube
-    is saved, the means are taken from the saved table and the pixels are read only once.
+    The folders' dates are a column, so nothing loops over folders.
+    """
+    parcels = read_parcels(spark, root, file_format, keep_faulty=True)
+    return run_parcels(
+        parcels, scenes, pixels, paths, params, grid, classes=classes, class_grid=class_grid, utm=utm
+    )
+
+
+def run_parcels(
+    parcels: DataFrame,
+    scenes: DataFrame,
+    pixels: DataFrame,
+    paths: RunPaths,
+    params: Params,
+    grid: Grid,
+    *,
+    classes: DataFrame | None = None,
+    class_grid: Grid | None = None,
+    utm: bool = False,
+) -> RunCounts:
+    """The same for a parcel table with dates of its own.
+
+    A parcel with a faulty row, or without a scene, a clear day or a value, has no series and
+    leaves the others alone; it is counted by reason, and listed in ``paths.failed``. When the
+    masked cube is saved, the means are taken from the saved table and the pixels are read only
+    once.
     """
     lacking = [
         f"'{name}' is switched on but has no path"
@@ -57,18 +98,16 @@ def run_folders(
         lacking.append("'classes' come without their 'class_grid'")
     if lacking:
         raise ValueError(problems_text(lacking))
-    parcels = read_parcels(spark, root, file_format)
     found = search(parcels, scenes, params, utm=utm)
     coarse = {"classes": classes, "class_grid": class_grid}
     usable = usable_parcel_days(pixels, found, params, grid, **coarse)
-    if params.debug_cloud:
-        usable = hold(usable, "usable")
+    usable = hold(usable, "usable")
     cube, days = masked_cube(pixels, found, usable, params, grid, **coarse)
     if params.save_cube:
         timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
         stamped = series.stamp_provenance(timed, found.parcels)
         write_cube(stamped, paths.cube)
-        saved = read_cube(spark, paths.cube, schema=stamped.schema)
+        saved = read_cube(parcels.sparkSession, paths.cube, schema=stamped.schema)
         mine = found.parcels.select(
             *(F.col(c).alias(f"own_{c}") for c in ("parcel_key", *series.PROVENANCE))
         )
@@ -79,4 +118,14 @@ def run_folders(
             cube_of_rejected(pixels, found, usable, params, grid, **coarse),
             paths.rejected,
         )
-    return write_series(finish_series(cube, days, found.parcels, params), paths.series)
+    means = hold(finish_series(cube, days, found.parcels, params), "series")
+    write_series(means, paths.series, held=True)
+    lacking = faults.without_result(found.parcels, found.days, usable, means)
+    failed = hold(found.faulty.unionByName(lacking), "failed")
+    if paths.failed is not None:
+        failed.write.mode("overwrite").parquet(paths.failed)
+    by_reason = {r["reason"]: r["count"] for r in failed.groupBy("reason").count().collect()}
+    for reason, n in sorted(by_reason.items()):
+        logger.warning("%d parcel(s) without a result: %s", n, reason)
+    done = means.agg(F.count("*"), F.count_distinct("parcel_key")).first()
+    return RunCounts(done[0], done[1], by_reason)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.indices import add_indices, computable, mask_clear
-from parcelpulse.operators import catalogue, clarity, mosaic, series, spatial
+from parcelpulse.operators import catalogue, clarity, faults, layout, mosaic, series, spatial
 from parcelpulse.operators.spatial import DAY_KEYS
 from parcelpulse.params import Params
 from parcelpulse.schema import CLASS_BAND, Grid, bands_for
@@ -19,7 +19,9 @@ ITEM_COLUMNS = ["item_id", "footprint_id", "solar_day", "utc_day", "item_seq"]
 FOUND_COLUMNS = [
     "item_id", "datetime", "utc_day", "solar_day", "scale", "offset", "rings"
 ]
-IDENTITY = ["item_id", "parcel_key", "epsg", "y", "x", "px_seq", "acq_day"]
+IDENTITY = [
+    "item_id", "parcel_key", "epsg", "y", "x", "px_seq", "acq_day", "tile", "block_key"
+]
 
 
 def with_range(parcels: DataFrame, start=None, end=None) -> DataFrame:
@@ -35,29 +37,55 @@ def with_range(parcels: DataFrame, start=None, end=None) -> DataFrame:
 class Search:
     """What the catalogue and the geometry say, before any pixel is read.
 
-    The three tables are held: several steps read them, and they are small beside the
-    pixels. Holding the parcels also fixes their row keys.
+    The tables are held: several steps read them, and they are small beside the pixels.
+    Holding the parcels also fixes their row keys.
     """
 
     parcels: DataFrame
     items: DataFrame  # one row per scene that some parcel needs
     days: DataFrame  # one row per parcel, footprint and day with items
     rings: str  # column that the pixel grid's cells are cut with
-    extent: tuple  # minx, miny, maxx, maxy of that column over all parcels
-    held_blocks: dict[Grid, DataFrame] = field(default_factory=dict)
+    faulty: DataFrame  # parcels that take no part, and why
+    held: dict = field(default_factory=dict)
+
+    @property
+    def utm(self) -> bool:
+        return self.rings == "rings_utm"
 
     def blocks(self, grid: Grid) -> DataFrame:
         """The blocks of the grid that parcels reach; both passes read the same table."""
-        if grid not in self.held_blocks:
+        if grid not in self.held:
             reached = spatial.parcel_blocks(self.parcels, grid, self.rings)
-            self.held_blocks[grid] = hold(reached, "blocks")
-        return self.held_blocks[grid]
-
-
-def find_items(scenes: DataFrame, params: Params, start=None, end=None, box=None):
-    """(items, footprints) of the catalogue search."""
-    found = catalogue.search(scenes, params.collection, params.max_cloud, start, end, box)
-    held = hold(catalogue.with_days(found).select(*FOUND_COLUMNS), "found")
+            self.held[grid] = hold(reached, "blocks")
+        return self.held[grid]
+
+    def ranges(self, grid: Grid) -> list[tuple[int, int]]:
+        """Ranges of keys that hold those blocks."""
+        if (grid, "ranges") not in self.held:
+            bits = 2 * layout.AXIS_BITS + 16
+            self.held[grid, "ranges"] = layout.key_ranges(self.blocks(grid), "block_key", bits)
+        return self.held[grid, "ranges"]
+
+    def extent(self) -> tuple:
+        """minx, miny, maxx, maxy of the parcels, over all zones: one row."""
+        if "extent" not in self.held:
+            self.held["extent"] = spatial.total_extent(self.parcels, self.rings)
+        return self.held["extent"]
+
+    def cells(self, grid: Grid) -> DataFrame:
+        """The cells of each parcel; with zones, also where they are stored."""
+        if self.utm:
+            return spatial.warped_cells(self.parcels, grid)
+        return spatial.parcel_cells(self.parcels, grid, self.rings)
+
+
+def find_items(scenes: DataFrame, params: Params, start=None, end=None, parcels=None):
+    """(items, footprints) of the catalogue search, near the parcels if they are given."""
+    found = catalogue.search(scenes, params.collection, params.max_cloud, start, end)
+    if parcels is not None:
+        found = spatial.scenes_near(found, parcels)
+    zone = [c for c in ("epsg",) if c in scenes.columns]
+    held = hold(catalogue.with_days(found).select(*FOUND_COLUMNS, *zone), "found")
     footprints = spatial.distinct_footprints(held)
     return held.join(footprints, "rings").drop("rings"), footprints
 
@@ -71,53 +99,59 @@ def needed_items(items: DataFrame, days: DataFrame) -> DataFrame:
     return items.join(days.select(*keys).distinct(), keys, "left_semi")
 
 
-def total_extent(parcels: DataFrame, rings: str) -> tuple:
-    """First and last date, and minx, miny, maxx, maxy, over all parcels: one row."""
-    return tuple(
-        spatial.with_bounds(parcels, rings)
-        .agg(
-            F.min("start"), F.max("end"),
-            F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"),
-        )
-        .first()
-    )
+def run_dates(parcels: DataFrame) -> tuple:
+    """First and last date over all parcels: one row."""
+    return tuple(parcels.agg(F.min("start"), F.max("end")).first())
 
 
 def search(
     parcels: DataFrame, scenes: DataFrame, params: Params, start=None, end=None, utm=False
 ) -> Search:
-    parcels = with_range(spatial.drop_invalid_parcels(parcels), start, end)
-    rings = "rings_utm" if utm else "rings"
+    rows = hold(with_range(parcels, start, end), "parcel-rows")
+    parcels = spatial.with_bounds(faults.sound(rows))
     if utm:
         parcels = spatial.in_batch_utm(parcels, params.batch_size_deg)
     parcels = hold(parcels, "parcels")
-    start, end, *box = total_extent(parcels, "rings")
-    extent = total_extent(parcels, rings)[2:] if utm else box
-    items, footprints = find_items(scenes, params, start, end, tuple(box))
+    items, footprints = find_items(scenes, params, *run_dates(parcels), parcels)
     matches = spatial.match_footprints(parcels, footprints)
+    if utm:
+        matches = hold(matches, "matches")
+        zones = spatial.footprint_zones(items, footprints)
+        parcels = hold(spatial.with_zones(parcels, matches, zones), "zoned-parcels")
     days = hold(spatial.parcel_days(matches, items), "days")
     items = hold(catalogue.with_item_seq(needed_items(items, days)), "items")
-    return Search(parcels, items, days, rings, tuple(extent))
+    rings = "rings_utm" if utm else "rings"
+    return Search(parcels, items, days, rings, faults.faulty(rows))
 
 
 def prune_pixels(
     pixels: DataFrame, found: Search, days: DataFrame, grid: Grid
 ) -> DataFrame:
-    """Restrict the pixels to the parcels' extent and blocks, and to the given days.
+    """Restrict the pixels to the parcels' blocks and to the given days.
 
-    The extent is one row, the days are at most the calendar days of the run. On a table
-    stored by day and sorted by cell they skip folders and row groups. Pixels of blocks
-    without a parcel fall out before the first shuffle.
+    A table that stores its block key is read by ranges of it: they skip tiles, files and row
+    groups between the parcels. Of other tables the parcels' extent is read. The days are at
+    most the calendar days of the run. Pixels of blocks without a parcel fall out before
+    the first shuffle.
     """
-    if None not in found.extent:
-        left, low, right, high = (math.floor(v / grid.resolution) for v in found.extent)
+    if found.utm and "epsg" not in pixels.columns:
+        raise ValueError("with utm the pixels name the zone they are stored in, as epsg")
+    if "block_key" in pixels.columns and found.utm == ("epsg" in pixels.columns):
+        ranges = found.ranges(grid)
+        if "tile" in pixels.columns:
+            bits = 2 * layout.TILE_BITS
+            tiles = [(low >> bits, high >> bits) for low, high in ranges]
+            pixels = pixels.where(layout.in_ranges(F.col("tile"), tiles))
+        pixels = pixels.where(layout.in_ranges(F.col("block_key"), ranges))
+    elif None not in found.extent():
+        left, low, right, high = (math.floor(v / grid.resolution) for v in found.extent())
         pixels = pixels.where(
             F.col("x").between(left - 1, right + 1) & F.col("y").between(low - 1, high + 1)
         )
     if "acq_day" in pixels.columns:
         dates = [row["utc_day"] for row in days.select("utc_day").distinct().collect()]
         pixels = pixels.where(F.col("acq_day").isin(dates))
-    return spatial.in_blocks(pixels, found.blocks(grid))
+    return spatial.in_blocks(pixels, found.blocks(grid)).drop("tile", "block_key")
 
 
 def matched_pixels(
@@ -141,7 +175,7 @@ def class_mosaic(pixels: DataFrame, found: Search, grid: Grid) -> DataFrame:
     """Class band per parcel, solar day and cell inside the polygon."""
     px = matched_pixels(
         sample_columns(prune_pixels(pixels, found, found.days, grid), [CLASS_BAND]),
-        spatial.parcel_cells(found.parcels, grid, found.rings),
+        found.cells(grid),
         found.items.select(*ITEM_COLUMNS),
         found.days.select(*DAY_KEYS),
     )
@@ -191,7 +225,7 @@ def spectral_cube(
     own = [CLASS_BAND] if classes is None else []
     px = matched_pixels(
         sample_columns(prune_pixels(pixels, found, days, grid), [*bands, *own]),
-        spatial.parcel_cells(found.parcels, grid, found.rings),
+        found.cells(grid),
         items.select(*scene_columns),
         wanted,
     )
@@ -266,7 +300,8 @@ def parcel_time_series(
     Runs the search and the clear-sky pass, and returns the spectral pass as a lazy plan.
     Without start and end the parcels' own date columns apply. ``classes`` is an optional
     class table on a coarser grid. With ``utm`` the grid is in metres in the UTM zone of
-    the parcel's batch, and pixels carry ``epsg``. Further options are those of Params.
+    the parcel's batch; pixels carry the ``epsg`` they are stored in, and those of other zones
+    are brought to that grid by nearest cell. Further options are those of Params.
     """
     params = Params(indices=indices, collection=collection, **options)
     found = search(parcels, scenes, params, start, end, utm)

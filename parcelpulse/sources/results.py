@@ -15,17 +15,17 @@ FOLDERS = ("date_range", "source_file", "parcel_id")
 CUBE_ORDER = ["date_range", "parcel_key", "time", "y", "x"]
 
 
-def write_series(series: DataFrame, path: str) -> bool:
+def write_series(series: DataFrame, path: str, held: bool = False) -> bool:
     """Overwrite the result table; an empty result writes nothing and returns False.
 
-    The result is held in the shared folder first, so looking whether it is empty does
-    not compute the run a second time.
+    The result is held in the shared folder first (unless it is a held table already), so
+    looking whether it is empty does not compute the run a second time.
     """
-    held = hold(series, "series")
-    if held.isEmpty():
+    table = series if held else hold(series, "series")
+    if table.isEmpty():
         logger.warning("no parcel gave a result; nothing written to %s", path)
         return False
-    held.write.mode("overwrite").parquet(path)
+    table.write.mode("overwrite").parquet(path)
     return True
 
 
@@ -46,7 +46,8 @@ def write_cube(cube: DataFrame, path: str, by_parcel: bool = False) -> None:
     folders = ["date_range", "parcel_id" if by_parcel else "source_file"]
     order = folders[1:] + CUBE_ORDER
     (
-        cube.repartitionByRange(*order)
+        hold(cube, "cube")  # the ranges are sampled first, which would compute the cube twice
+        .repartitionByRange(*order)
         .sortWithinPartitions("date_range", *[c for c in order if c != "date_range"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -96,9 +96,8 @@ def test_invalid_parcels_are_dropped(spark):
 
 
 def test_known_utm_point(spark):
-    e, n = utm.project("lon", "lat", "epsg")
     df = spark.createDataFrame([(2.2945, 48.8583, 32631)], "lon double, lat double, epsg int")
-    row = df.select(e.alias("e"), n.alias("n")).first()
+    row = utm.add_projected(df, "lon", "lat", "epsg", "e", "n").first()
     assert row["e"] == pytest.approx(448251.898, abs=2e-3)
     assert row["n"] == pytest.approx(5411943.794, abs=2e-3)
 

@@ -4,7 +4,7 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
-from parcelpulse.schema import PARCEL_FILE
+from parcelpulse.schema import PARCEL_FILE, RINGS
 from parcelpulse.session import new_folder
 from parcelpulse.sources import parcels, pixels, results, scenes
 
@@ -46,6 +46,48 @@ def test_odd_names_below_the_root(spark):
     assert names["r"].startswith("part-") and len(rows) == 3
 
 
+@pytest.mark.parametrize("order", [("long", "int", "string", "decimal(10,0)"), ("string", "long", "string", "short")])
+def test_ids_of_any_type(spark, order):
+    """Files of one run whose ids, and codes, have different types."""
+    root = new_folder(spark, "in")
+    for k, id_type in enumerate(order):
+        rows = spark.createDataFrame([(100 + k, 4326, [RING])], "ID_PARCEL long, epsg long, rings " + RINGS.simpleString())
+        code = "string" if k == 1 else "long"
+        rows.select(F.col("ID_PARCEL").cast(id_type), F.col("epsg").cast(code), "rings").write.parquet(
+            f"{root}/2024-01-01_2024-02-01/f{k} [x].parquet"
+        )
+    read = parcels.read_parcels(spark, root)
+    assert dict(read.dtypes)["parcel_id"] == "string"
+    assert sorted((r["parcel_id"], r["source_file"], r["epsg"]) for r in read.collect()) == [
+        (str(100 + k), f"f{k} [x].parquet", 4326) for k in range(4)
+    ]
+
+
+def test_a_damaged_file_is_an_error(spark, tmp_path):
+    folder = tmp_path / "2024-01-01_2024-02-01"
+    folder.mkdir()
+    (folder / "a.parquet").write_bytes(b"no parquet at all")
+    with pytest.raises(Exception, match="a.parquet"):
+        parcels.read_parcels(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize(
+    "text, utc",
+    [
+        ("2024-05-01T10:56:21.024Z", "2024-05-01 10:56:21.024"),
+        ("2024-05-01T01:30:00+02:00", "2024-04-30 23:30:00"),
+        ("2024-05-01T23:30:00-0130", "2024-05-02 01:00:00"),
+        ("2024-05-01T10:00:00", "2024-05-01 10:00:00"),
+        ("2024-05-01", "2024-05-01 00:00:00"),
+        ("no time", None),
+        (None, None),
+    ],
+)
+def test_times_are_turned_to_utc(spark, text, utc):
+    row = spark.createDataFrame([(text,)], "t string").select(scenes.in_utc(F.col("t")).cast("string")).first()
+    assert row[0] == utc
+
+
 def test_parcels_as_json(spark):
     root = new_folder(spark, "in")
     put(spark, f"{root}/2024-01-01_2024-02-01/a.json", [("p", None, [RING])], "json")
@@ -117,7 +159,7 @@ def test_pixels_missing_band(spark):
     ).withColumn("acq_day", F.to_date("acq_day"))
     pixels.write_pixels(table, path)
     assert pixels.read_pixels(spark, path, ["red"]).columns == [
-        "item_id", "y", "x", "acq_day", "red", "scl",
+        "item_id", "y", "x", "acq_day", "tile", "block_key", "red", "scl",
     ]
     with pytest.raises(ValueError, match="nir"):
         pixels.read_pixels(spark, path, ["red", "nir"])
