@@ -36,6 +36,7 @@ from parcelpulse.llm.common import (
     map_arrow,
     mix64,
     pieces,
+    release,
     shingle_set,
     stash,
     text_bytes,
@@ -45,16 +46,14 @@ from parcelpulse.llm.graph import components, extend
 HASHES, BANDS, ROWS, BATCH = 256, 32, 4, 32
 SHARE = (3, 4)  # intersection / union at least
 MISS = 1e-6
-PIECE_BYTES = 1_000_000
+PIECE_BYTES = 400_000
 CHUNK = 4_096  # members of a bucket that meet at once
+CHUNK_HASHES = 2_000_000  # shingles of their sets, about
 
 _SEEDS = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR, _MULTIPLY = _SEEDS[:HASHES], _SEEDS[HASHES:] | np.uint64(1)
 
-SETS = (
-    "doc_id bigint, text string, row bigint, n_shingles bigint, print binary, signature binary, "
-    "bands array<bigint>"
-)
+SETS = "doc_id bigint, text string, row bigint, n_shingles bigint, print binary, signature binary"
 
 
 @lru_cache(maxsize=64)
@@ -108,8 +107,6 @@ def _sets(batch: pa.RecordBatch):
             for k in range(HASHES):
                 minima[some, k] = np.minimum.reduceat((values ^ _XOR[k]) * _MULTIPLY[k], starts)
         signature = (minima >> np.uint64(40)).astype("<u2")
-        keys = np.ascontiguousarray(signature[:, : BANDS * ROWS]).view("<u8")
-        keys = mix64(keys ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(32)) * _MULTIPLY[0])
         empty = counts == 0
         content = "whole" if "whole" in part.schema.names else "text"
         yield pa.table(
@@ -120,13 +117,27 @@ def _sets(batch: pa.RecordBatch):
                 "n_shingles": sizes,
                 "print": pa.array([None if e else p.tobytes() for e, p in zip(empty, prints)], pa.binary()),
                 "signature": pa.array([s.tobytes() for s in signature], pa.binary()),
-                "bands": pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
             }
         )
 
 
+def _bands(batch: pa.RecordBatch):
+    """A row per band of each signature."""
+    signature = _signatures(batch.column("signature"))
+    keys = np.ascontiguousarray(signature[:, : BANDS * ROWS]).view("<u8")
+    keys = mix64(keys ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(32)) * _MULTIPLY[0])
+    yield pa.record_batch(
+        {
+            "band": np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows),
+            "key": keys.ravel().view(np.int64),
+            "node": np.repeat(batch.column("row").to_numpy(), BANDS),
+            "n_shingles": np.repeat(batch.column("n_shingles").to_numpy(), BANDS),
+        }
+    )
+
+
 def shingle_sets(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per document with its set's size, print, minima and band keys.
+    """One row per document with its set's size, print and minima.
 
     With ``whole`` all columns of ``docs`` stand in a struct, in place of the text.
     """
@@ -234,25 +245,30 @@ def components_of(sets: DataFrame, miss: float = MISS) -> DataFrame:
         .agg(F.min("row").alias("node"), F.min("doc_id").alias("least")),
         "classes",
     )
-    firsts = sets.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    firsts = sets.select("row", "n_shingles", "signature").join(
+        classes.select(F.col("node").alias("row")), "row", "left_semi"
+    )
 
-    bands = firsts.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"))
+    bands = map_arrow(firsts, _bands, "band int, key bigint, node bigint, n_shingles bigint")
     shared = bands.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
     members = stash(bands.join(shared.where("n > 1").drop("n"), "key"), "members")
     star = stash(
         members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(),
         "pairs",
     )
+    release(star.sparkSession)
     groups = stash(components(stash(verify(star, sets, miss), "links")), "groups")
 
     done = star
     for every in (False, True):
+        release(star.sparkSession)
         pairs = stash(_across(members, groups, sets, miss, every).join(done, ["a", "b"], "left_anti"), "pairs")
         more = stash(confirm(pairs, sets), "links")
         if not more.isEmpty():
             groups = extend(groups, more)
         done = done.unionByName(pairs)
 
+    release(star.sparkSession)
     named = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return named.join(least, "component").select("print", "component", "component_id")
@@ -264,32 +280,34 @@ def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, miss: float,
     For each component in a bucket that with most equal minima, which joins most of what
     belongs together; or ``every`` one whose sets of hashes confirm it, as far as it joins
     components in the bucket that earlier ones did not. A pair is made in the first bucket that it shares. A
-    large bucket is cut in chunks by hash, and chunks meet two by two, each in its own group.
+    large bucket is cut in chunks by hash, so that a chunk has about ``CHUNK`` members and
+    ``CHUNK_HASHES`` shingles, and chunks meet two by two, each in its own group.
     """
     named = members.join(groups, "node", "left").select(
-        "key", "band", "node", F.coalesce("component", "node").alias("part")
+        "key", "band", "node", "n_shingles", F.coalesce("component", "node").alias("part")
     )
     mixed = named.groupBy("key").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")
+        F.min("part").alias("low"),
+        F.max("part").alias("high"),
+        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n_shingles") / CHUNK_HASHES)).alias("chunks"),
     )
-    chunks = F.ceil(F.col("n") / CHUNK)
     rows = (
-        named.join(mixed.where("low < high").select("key", "n"), "key")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
+        named.join(mixed.where("low < high").select("key", "chunks"), "key")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .withColumn("first", F.least("chunk", "other"))
         .withColumn("second", F.greatest("chunk", "other"))
-        .drop("n", "other")
+        .drop("chunks", "other")
     )
-    signed = rows.join(sets.select(F.col("row").alias("node"), "n_shingles", "signature"), "node")
+    signed = rows.join(sets.select(F.col("row").alias("node"), "signature"), "node")
     if not every:
         return _meeting(signed, miss, "best")
     # Sets of hashes only go where some pair passes the test.
     alive = stash(_meeting(signed, miss, "groups"), "groups")
     rows = rows.join(alive, ["key", "first", "second"], "left_semi")
     nodes = rows.select(F.col("node").alias("row")).distinct()
-    whole = sets.select("row", "text", "n_shingles", "signature").join(nodes, "row")
-    schema = "node bigint, n_shingles bigint, signature binary, hashes binary"
+    whole = sets.select("row", "text", "signature").join(nodes, "row")
+    schema = "node bigint, signature binary, hashes binary"
     return _meeting(rows.join(stash(map_arrow(whole, _hashes, schema), "hashes"), "node"), miss, "links")
 
 
@@ -325,32 +343,27 @@ def _hashes(batch: pa.RecordBatch):
     flat, offsets = text_bytes(batch.column("text"))
     values, at = hash_shingles(*hash_words(flat, offsets))
     sets = [np.unique(values[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-    kept = {c: batch.column(c) for c in ("n_shingles", "signature")}
-    yield pa.record_batch({"node": batch.column("row")} | kept | {"hashes": pa.array(sets, pa.binary())})
+    yield pa.record_batch(
+        {"node": batch.column("row"), "signature": batch.column("signature"), "hashes": pa.array(sets, pa.binary())}
+    )
 
 
-def _linked(sets: list[np.ndarray], found: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Pairs that are similar enough by hashes, without those between joined components."""
-    root = {p: p for p in np.unique(part).tolist()}
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    x, y = (a, b) if len(a) <= len(b) else (b, a)
+    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[place] == x).sum())
+    return SHARE[1] * both >= SHARE[0] * (len(x) + len(y) - both)
 
-    def find(p: int) -> int:
-        while root[p] != p:
-            root[p] = root[root[p]]
-            p = root[p]
-        return p
 
-    keep = []
-    for k, (i, j) in enumerate(found[:, :2].tolist()):
-        a, b = find(int(part[i])), find(int(part[j]))
-        if a == b:
-            continue
-        x, y = sorted((sets[i], sets[j]), key=len)
-        place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        both = int((y[place] == x).sum())
-        if SHARE[1] * both >= SHARE[0] * (len(x) + len(y) - both):
-            root[a] = b
-            keep.append(k)
-    return found[keep]
+class _Parts:
+    """Components of a group's members; joined ones take the name of one of them."""
+
+    def __init__(self, part: np.ndarray):
+        self.now = part.copy()
+
+    def join(self, i: int, j: int) -> None:
+        self.now[self.now == self.now[j]] = self.now[i]
 
 
 def _group_edges(rows: pa.Table) -> np.ndarray:
@@ -363,16 +376,27 @@ def _group_edges(rows: pa.Table) -> np.ndarray:
 
 
 def cross_pairs(rows: pa.Table, miss: float, mode: str) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in one group that pass the test, or the group if there are."""
+    """Pairs of different components in one group that pass the test, or the group if there are.
+
+    Members are compared in blocks. Of a block's pairs only those are kept that the mode needs, and
+    pairs of components that earlier ones have joined are not made: at most one pair per
+    member of the group is held.
+    """
     node, part, size, chunk = (rows[c].to_numpy() for c in ("node", "part", "n_shingles", "chunk"))
     signatures = _signatures(rows["signature"])
+    hashes = rows["hashes"].combine_chunks() if mode == "links" else None
     band = rows["band"][0].as_py()
     apart = rows["first"][0].as_py() != rows["second"][0].as_py()
-    found = []
+    parts = _Parts(part)
+    found = np.zeros((0, 3), np.int64)
+
+    def hash_set(k: int) -> np.ndarray:
+        return np.frombuffer(hashes[k].as_buffer(), np.uint64)
+
     for at in range(0, len(node), 64):
         x = np.arange(at, min(at + 64, len(node)))[:, None]
         y = np.arange(at, len(node))[None, :]
-        fit = (part[x] != part[y]) & (x < y)
+        fit = (parts.now[x] != parts.now[y]) & (x < y)
         fit &= (SHARE[1] * size[x] >= SHARE[0] * size[y]) & (SHARE[1] * size[y] >= SHARE[0] * size[x])
         if apart:
             fit &= chunk[x] != chunk[y]
@@ -385,20 +409,26 @@ def cross_pairs(rows: pa.Table, miss: float, mode: str) -> Iterator[pa.RecordBat
             there = (same[i] == same[j]).all(axis=1)
             i, j = i[~there], j[~there]
         alive, matches = survivors(signatures, i, j, miss)
-        found.append(np.column_stack([i[alive], j[alive], matches]))
-    found = np.concatenate(found)
-    if mode == "groups":
-        if len(found):
+        if not len(alive):
+            continue
+        if mode == "groups":
             yield from rows.select(["key", "first", "second"]).slice(0, 1).to_batches()
-        return
-    if mode == "best" and len(found):
-        found = found[np.argsort(-found[:, 2], kind="stable")]
-        _, of_x = np.unique(part[found[:, 0]], return_index=True)
-        _, of_y = np.unique(part[found[:, 1]], return_index=True)
-        found = found[np.union1d(of_x, of_y)]
-    if mode == "links" and len(found):
-        sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"].to_pylist()]
-        found = _linked(sets, found[np.argsort(-found[:, 2], kind="stable")], part)
+            return
+        new = np.column_stack([i[alive], j[alive], matches])
+        new = new[np.argsort(-new[:, 2], kind="stable")]
+        if mode == "links":  # the likeliest first: they join most
+            kept = []
+            for a, b, _ in new.tolist():
+                if parts.now[a] != parts.now[b] and _similar(hash_set(a), hash_set(b)):
+                    parts.join(a, b)
+                    kept.append((a, b, 0))
+            found = np.concatenate([found, np.array(kept, np.int64).reshape(-1, 3)])
+        else:  # for each component the pair with most equal minima
+            found = np.concatenate([found, new])
+            found = found[np.argsort(-found[:, 2], kind="stable")]
+            _, of_x = np.unique(part[found[:, 0]], return_index=True)
+            _, of_y = np.unique(part[found[:, 1]], return_index=True)
+            found = found[np.union1d(of_x, of_y)]
     if len(found):
         a, b = node[found[:, 0]], node[found[:, 1]]
         yield pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
