@@ -1,23 +1,28 @@
 """Secrets: all rules compiled into one minimal deterministic automaton.
 
-The regexes of the rules become one automaton by subset construction over byte classes, then
-it is minimised by partition refinement. Its transition rows take a text's bytes once, for
-all rules together; a row that has seen a whole secret keeps itself. Only texts that end there
-are looked at again: the same construction, anchored and per rule, gives the places of
-leftmost, longest, non-overlapping matches.
-
-A null text is empty and has no span. Rows are documents; ids may repeat or be null. Places are
-code points, ends exclusive.
+A small parser turns the rules' regexes into one nondeterministic automaton; subset construction
+over byte classes and minimisation by partition refinement make it deterministic. Two such
+tables come from all rules together:
+
+- The searching one takes every text's bytes once. A row that has seen a whole secret keeps itself,
+  so most texts, which hold none, cost one lookup per byte.
+- The placing one reads from the start of a match. Its states carry the set of rules that end there
+  and the set that can still end. Texts that the first one accepts are read by it from left to right, for
+  all rules in one pass: at a byte where some rule may begin, it goes on while a wanted rule
+  can still end, notes each rule's last end, and a rule that has matched is not wanted again before its end.
+
+So places are leftmost, longest and non-overlapping per rule. A null text is empty and has no span.
+Rows are documents; ids may repeat or be null. Places are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
 import operator
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache, reduce
-from re import _constants as sre
-from re import _parser as sre_parser
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +58,10 @@ BASE = ("assign", "access", "hex")
 
 
 class _Nfa:
-    """Thompson construction over the standard library's parse of a regex."""
+    """Thompson construction, straight from the text of a regex.
+
+    Rules use characters, ``\\x..``, classes, groups, ``|``, ``?``, ``*``, ``+`` and ``{n}``.
+    """
 
     def __init__(self) -> None:
         self.jumps: list[list[int]] = []
@@ -64,42 +72,36 @@ class _Nfa:
         self.reads.append([])
         return len(self.jumps) - 1
 
-    def build(self, items, at: int) -> int:
-        for kind, value in items:
-            if kind is sre.LITERAL:
-                at = self.read(frozenset([value]), at)
-            elif kind is sre.IN:
-                at = self.read(_members(value), at)
-            elif kind is sre.SUBPATTERN:
-                at = self.build(value[3], at)
-            elif kind is sre.BRANCH:
-                out = self.state()
-                for option in value[1]:
-                    self.jumps[self.build(option, at)].append(out)
-                at = out
-            elif kind is sre.MAX_REPEAT:
-                at = self.repeat(*value, at)
-            else:
-                raise ValueError(f"rules cannot use {kind}")
-        return at
-
-    def read(self, symbols: frozenset, at: int) -> int:
+    def add(self, pattern: str, at: int) -> int:
+        """The state in which the whole pattern has been read from ``at`` on."""
+        tree, rest = _either(pattern)
+        if rest:
+            raise ValueError(f"the rule {pattern!r} has a bracket too many")
+        return self.build(tree, at)
+
+    def build(self, tree: tuple, at: int) -> int:
+        kind, *parts = tree
+        if kind == "read":
+            out = self.state()
+            self.reads[at].append((parts[0], out))
+            return out
+        if kind == "row":
+            for part in parts[0]:
+                at = self.build(part, at)
+            return at
         out = self.state()
-        self.reads[at].append((symbols, out))
-        return out
-
-    def repeat(self, least, most, items, at: int) -> int:
+        if kind == "either":
+            for part in parts[0]:
+                self.jumps[self.build(part, at)].append(out)
+            return out
+        part, least, most = parts
         for _ in range(least):
-            at = self.build(items, at)
-        if most is sre.MAXREPEAT:
-            loop = self.state()
-            self.jumps[at].append(loop)
-            self.jumps[self.build(items, loop)].append(loop)
-            return loop
-        out = self.state()
+            at = self.build(part, at)
         self.jumps[at].append(out)
-        for _ in range(most - least):
-            at = self.build(items, at)
+        if most is None:
+            self.jumps[self.build(part, out)].append(out)
+        for _ in range((most or least) - least):
+            at = self.build(part, at)
             self.jumps[at].append(out)
         return out
 
@@ -113,16 +115,62 @@ class _Nfa:
         return frozenset(seen)
 
 
-def _members(items) -> frozenset:
-    out: set[int] = set()
-    for kind, value in items:
-        out |= {value} if kind is sre.LITERAL else set(range(value[0], value[1] + 1))
-    return frozenset(out)
+REPEATS = {"?": (0, 1), "*": (0, None), "+": (1, None)}
+
+
+def _either(text: str) -> tuple[tuple, str]:
+    """Alternatives up to a closing bracket or the end, and the rest of the text."""
+    options, row = [], []
+    while text and text[0] != ")":
+        if text[0] == "|":
+            options.append(("row", row))
+            row, text = [], text[1:]
+            continue
+        part, text = _part(text)
+        if text and text[0] in REPEATS:
+            part, text = ("repeat", part, *REPEATS[text[0]]), text[1:]
+        elif text and text[0] == "{":
+            times, text = text[1:].split("}", 1)
+            part = ("repeat", part, int(times), int(times))
+        row.append(part)
+    return (("either", [*options, ("row", row)]) if options else ("row", row)), text
+
+
+def _part(text: str) -> tuple[tuple, str]:
+    """A group, a class or one character, and the rest of the text."""
+    if text[0] == "(":
+        tree, rest = _either(text[1:])
+        if not rest:
+            raise ValueError(f"a bracket of {text!r} stays open")
+        return tree, rest[1:]
+    if text[0] != "[":
+        byte, rest = _byte(text)
+        return ("read", frozenset([byte])), rest
+    members: set[int] = set()
+    text = text[1:]
+    while text[0] != "]":
+        low, text = _byte(text)
+        high = low
+        if text[0] == "-" and text[1] != "]":
+            high, text = _byte(text[1:])
+        members |= set(range(low, high + 1))
+    return ("read", frozenset(members)), text[1:]
+
+
+def _byte(text: str) -> tuple[int, str]:
+    if text[0] != "\\":
+        return ord(text[0]), text[1:]
+    if text[1] == "x":
+        return int(text[2:4], 16), text[4:]
+    return ord(text[1]), text[2:]
 
 
 @dataclass(frozen=True)
 class Automaton:
-    """``table[state, classes[byte]]`` is the next state; 0 is the start."""
+    """``table[state, classes[byte]]`` is the next state; 0 is the start.
+
+    ``accepts`` has a bit for each pattern that ends in the state.
+    """
 
     classes: np.ndarray
     table: np.ndarray
@@ -138,7 +186,7 @@ def compile_rules(patterns: tuple[str, ...], anchored: bool) -> Automaton:
     """
     nfa = _Nfa()
     start = nfa.state()
-    ends = {nfa.build(sre_parser.parse(p), start) for p in patterns}
+    ends = [nfa.add(p, start) for p in patterns]
     marks: dict[tuple, list[int]] = {}
     sets = {symbols for reads in nfa.reads for symbols, _ in reads}
     ordered = sorted(sets, key=sorted)
@@ -154,14 +202,15 @@ def compile_rules(patterns: tuple[str, ...], anchored: bool) -> Automaton:
     steps = []
     for reads in nfa.reads:
         steps.append([_mask(nfa.closed([to for symbols, to in reads if b in symbols])) for b in samples])
-    final = _mask(ends)
+    final = _mask(set(ends))
     first = _mask(nfa.closed([start]))
     numbers, todo, rows, accepts = {first: 0}, [first], [], []
     while len(rows) < len(todo):
         now = todo[len(rows)]
         number = len(rows)
-        accepts.append(bool(now & final))
-        if accepts[-1] and not anchored:
+        accepts.append(_mask(k for k, end in enumerate(ends) if anchored and now >> end & 1))
+        if now & final and not anchored:
+            accepts[-1] = 1
             rows.append([number] * len(samples))
             continue
         targets = [0 if anchored else first] * len(samples)
@@ -179,7 +228,7 @@ def compile_rules(patterns: tuple[str, ...], anchored: bool) -> Automaton:
                 todo.append(target)
             row.append(numbers[target])
         rows.append(row)
-    return _minimal(classes, np.array(rows, np.int64), np.array(accepts))
+    return _minimal(classes, np.array(rows, np.int64), np.array(accepts, np.int64))
 
 
 def _mask(states) -> int:
@@ -196,7 +245,7 @@ def _bits(mask: int):
 def _minimal(classes: np.ndarray, table: np.ndarray, accepts: np.ndarray) -> Automaton:
     """Merge states that no input tells apart: refine by acceptance, then by successors."""
     weights = mix64(np.arange(1, table.shape[1] + 2, dtype=np.uint64))
-    part = accepts.astype(np.int64)
+    part = accepts.copy()
     count = 0
     while True:
         successors = np.where(table >= 0, part[table], -1)
@@ -229,29 +278,63 @@ def linked_rows(automaton: Automaton) -> tuple[list, list]:
     return rows[0], seen[0]
 
 
-def matches(data: bytes, automaton: Automaton) -> list[tuple[int, int]]:
-    """Leftmost, longest, non-overlapping matches; ``data`` holds byte classes."""
-    table, accepts = automaton.table.tolist(), automaton.accepts.tolist()
-    begins = [t >= 0 for t in table[0]]
-    out, at, n = [], 0, len(data)
-    while at < n:
-        if not begins[data[at]]:
-            at += 1
-            continue
-        state, end, k = 0, -1, at
-        while k < n:
-            state = table[state][data[k]]
-            if state < 0:
-                break
-            k += 1
-            if accepts[state]:
-                end = k
-        if end > at:
-            out.append((at, end))
-            at = end
-        else:
-            at += 1
-    return out
+def _can_end(automaton: Automaton) -> np.ndarray:
+    """For each state the patterns that can end there or further on, as bits."""
+    reach = automaton.accepts.copy()
+    while True:
+        ahead = np.where(automaton.table >= 0, reach[automaton.table], 0)
+        new = reach | np.bitwise_or.reduce(ahead, axis=1)
+        if (new == reach).all():
+            return reach
+        reach = new
+
+
+class Placer:
+    """Leftmost, longest, non-overlapping matches of each pattern, in one pass for all."""
+
+    def __init__(self, automaton: Automaton):
+        self.classes = automaton.classes.tobytes()
+        self.table = automaton.table.tolist()
+        self.accepts = automaton.accepts.tolist()
+        self.can_end = _can_end(automaton).tolist()
+        self.numbers = [
+            [k for k in range(int(accept).bit_length()) if accept >> k & 1] for accept in self.accepts
+        ]
+        # Of each byte the patterns that can begin with it.
+        self.begins = [self.can_end[t] if t >= 0 else 0 for t in self.table[0]]
+        self.starters = re.compile(
+            b"[" + b"".join(b"\\x%02x" % b for b in range(256) if self.begins[self.classes[b]]) + b"]"
+        )
+
+    def places(self, data: bytes) -> list[tuple[int, int, int]]:
+        """(start, pattern, end) in order."""
+        table, can_end, accepts, numbers = self.table, self.can_end, self.accepts, self.numbers
+        read = data.translate(self.classes)
+        n, out = len(read), []
+        busy: dict[int, int] = {}  # pattern: end of its last match
+        every = self.can_end[0]
+        for found in self.starters.finditer(data):
+            at = found.start()
+            wanted = every
+            for k, end in busy.items():
+                if end > at:
+                    wanted &= ~(1 << k)
+            if not self.begins[read[at]] & wanted:
+                continue
+            state, k, ends = 0, at, {}
+            while k < n:
+                state = table[state][read[k]]
+                if state < 0 or not can_end[state] & wanted:
+                    break
+                k += 1
+                if accepts[state] & wanted:
+                    for pattern in numbers[state]:
+                        ends[pattern] = k
+            for pattern, end in ends.items():
+                if wanted >> pattern & 1:
+                    out.append((at, pattern, end))
+                    busy[pattern] = end
+        return sorted(out)
 
 
 def _long_enough(rule: Rule, found: bytes) -> bool:
@@ -261,22 +344,24 @@ def _long_enough(rule: Rule, found: bytes) -> bool:
     return len(value) - (value[:1] in (b'"', b"'")) >= rule.least
 
 
+def _code_points(data: bytes) -> Callable[[int], int]:
+    """From byte places to code points; counted once for a text."""
+    if data.isascii():
+        return lambda at: at
+    starts = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+    counts = np.append(0, np.cumsum(starts))
+    return lambda at: int(counts[at])
+
+
 def _scan(rules: tuple[Rule, ...]):
     search = compile_rules(tuple(r.sign for r in rules), anchored=False)
-    places = [compile_rules((r.match,), anchored=True) for r in rules]
+    automaton = compile_rules(tuple(r.match for r in rules), anchored=True)
     empty = hashlib.sha256(b"").hexdigest()
 
-    def spans(data: bytes) -> list[tuple[int, int, int]]:
-        out = []
-        for k, (rule, automaton) in enumerate(zip(rules, places, strict=True)):
-            for start, end in matches(data.translate(automaton.classes.tobytes()), automaton):
-                if _long_enough(rule, data[start:end]):
-                    out.append((start, k, end))
-        return sorted(out)
-
     def work(batch: pa.RecordBatch):
         classes = search.classes.tobytes()
         start, seen = linked_rows(search)
+        placer = Placer(automaton)
         step = operator.getitem
         counts = np.zeros((batch.num_rows, len(rules)), np.int64)
         prints, texts = [empty] * batch.num_rows, [""] * batch.num_rows
@@ -284,8 +369,11 @@ def _scan(rules: tuple[Rule, ...]):
             data = text.as_py().encode("utf-8", "surrogatepass")
             if reduce(step, data.translate(classes), start) is not seen:
                 continue
+            point = _code_points(data)
             found = [
-                (len(data[:s].decode("utf-8", "surrogatepass")), k, e - s) for s, k, e in spans(data)
+                (point(s), k, e - s)
+                for s, k, e in placer.places(data)
+                if _long_enough(rules[k], data[s:e])
             ]
             listed = [(rules[k].kind, f"{rules[k].kind}:{s}:{s + n}") for s, k, n in found]
             for _, k, _ in found:
