@@ -11,6 +11,8 @@
 
 Rows are pages; ids may repeat or be null. A null or empty page has no text evidence, a missing
 declaration is a value of its own, a null address has the empty host. Ties go to the first name.
+The model has ``FEATURES`` n-grams of ``LANGUAGES`` languages at most. A page's text is read in time
+linear in its length.
 """
 
 from __future__ import annotations
@@ -27,12 +29,15 @@ from pyspark.sql import functions as F
 from parcelpulse.llm.common import map_arrow, stash, whole_text
 
 FIT_ROWS = 20_000
+LANGUAGES = 500  # in the model at most: those with most text in the sample
 FEATURES = 40_000  # n-grams in the model at most: the most frequent ones
 GRAM = 3
 TEMPER = 8.0
 SMOOTH = 10.0  # pages' worth of the wider prior
 
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+# Elements whose content is not shown, and their ends.
+SILENT = re.compile(r"<(script|style|noscript)\b", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript")}
 OTHER = re.compile(r"[^\w]+|[\d_]+")
 
 
@@ -42,7 +47,36 @@ def plain(text: str) -> str:
 
 
 def visible(html: str) -> str:
-    return unescape(HIDDEN.sub(" ", html))
+    """Text without comments, silent elements and tags; each counts as a blank.
+
+    One pass: what has no end further on is not looked for again, so the time is linear in the
+    text, also if it is full of signs that open something.
+    """
+    out, at = [], 0
+    missing: set[str] = set()  # ends that do not occur any more
+
+    def end_of(begin: int) -> int:
+        """Where what opens at a sign ends; -1 if it never does."""
+        if html.startswith("<!--", begin) and "-->" not in missing:
+            end = html.find("-->", begin + 4)
+            if end >= 0:
+                return end + 3
+            missing.add("-->")
+        silent = SILENT.match(html, begin)
+        if silent and (name := silent[1].lower()) in ENDS and name not in missing:
+            found = ENDS[name].search(html, silent.end())
+            if found:
+                return found.end()
+            missing.add(name)
+        return html.find(">", begin) + 1 or -1
+
+    while (begin := html.find("<", at)) >= 0:
+        end = end_of(begin)
+        if end < 0:  # no tag ends any more
+            break
+        out += (html[at:begin], " ")
+        at = end
+    return unescape("".join(out) + html[at:])
 
 
 def grams(text: str) -> Counter:
@@ -77,8 +111,10 @@ def train(texts: DataFrame) -> tuple[list[str], dict[str, np.ndarray], np.ndarra
         .agg(F.sum("n").alias("n"))
     )
     held = stash(counted, "grams")
-    sums = {r["lang"]: r["n"] for r in held.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    by_lang = held.groupBy("lang").agg(F.sum("n").alias("n"))
+    sums = {r["lang"]: r["n"] for r in by_lang.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     langs = sorted(sums)
+    held = held.where(F.col("lang").isin(langs))
     frequent = held.groupBy("gram").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "gram").limit(FEATURES)
     totals = np.array([sums[lang] for lang in langs], float) + FEATURES
     unknown = -np.log(totals)
@@ -107,7 +143,7 @@ def _likelihoods(langs: list[str], model: dict[str, np.ndarray]):
 
 def declared(html: Column) -> Column:
     """The primary tag of the root element's ``lang``; empty without one."""
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
+    tag = F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
     return F.lower(tag)
 
 
