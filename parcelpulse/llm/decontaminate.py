@@ -14,8 +14,9 @@ A retrieved item is verified on full words: of its shingles of five words the do
 half). The table tells no question from the answer, and the first share implies the second, so it is
 whole overlap that decides. Items of fewer than five words match nothing.
 
-The index is made by aggregations and comes in blocks of about ``BLOCK_ITEMS`` segments, each
-of which is broadcast and meets all documents; no other bound is set on items. With several blocks
+The index is made by aggregations and comes in blocks of items with about ``BLOCK_BYTES`` of text, each
+of which is broadcast and meets all documents; no other bound is set on items, and an item, which a block
+holds once, may be longer than that. With several blocks
 the documents are held once, and a block's findings are held before the next block is built, so
 that one block is in memory at a time. A null or empty text
 holds nothing. Rows are documents: ids may repeat or be null; test items of equal id are named once.
@@ -38,13 +39,13 @@ SEGMENT = 64  # words
 K1, B = 1.2, 0.75
 LEAST_SCORE = 0.6
 LEAST_OVERLAP = 0.75
-BLOCK_ITEMS = 20_000  # segments per broadcast index: some tens of megabytes
+BLOCK_BYTES = 8_000_000  # of text per broadcast index, which takes some tens of megabytes
 POSTING_BLOCK = 16
 END = 1 << 60
 
 
-def segments(items: DataFrame) -> DataFrame:
-    """``item``, ``item_id``, ``segment``, ``terms``: an item's words in segments."""
+def worded(items: DataFrame) -> DataFrame:
+    """``item``, ``item_id``, ``words`` of the items that have enough of them."""
     words = F.filter(
         F.split(
             F.translate(whole_text(), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
@@ -52,19 +53,21 @@ def segments(items: DataFrame) -> DataFrame:
         ),
         lambda w: w != "",
     )
+    return items.select(
+        F.monotonically_increasing_id().alias("item"),
+        F.col("item_id").cast("bigint").alias("item_id"),
+        words.alias("words"),
+    ).where(F.size("words") >= 5)
+
+
+def segments(items: DataFrame) -> DataFrame:
+    """``item``, ``segment``, ``terms``: the words of worded items in segments."""
     cut = F.expr(
         f"transform(sequence(0, int((size(words) - 1) div {SEGMENT})),"
         f" k -> slice(words, k * {SEGMENT} + 1, {SEGMENT}))"
     )
-    return (
-        items.select(
-            F.monotonically_increasing_id().alias("item"),
-            F.col("item_id").cast("bigint").alias("item_id"),
-            words.alias("words"),
-        )
-        .where(F.size("words") >= 5)
-        .select("item", "item_id", "words", F.posexplode(cut).alias("part", "terms"))
-        .withColumn("segment", F.monotonically_increasing_id())
+    return items.select("item", F.explode(cut).alias("terms")).withColumn(
+        "segment", F.monotonically_increasing_id()
     )
 
 
@@ -105,13 +108,14 @@ class Index:
     rare_weights: np.ndarray = None
 
 
-def build_index(rows: list, items: list) -> Index:
-    """``rows`` are (segment, term, weight), ``items`` (segment, item, item_id, words)."""
+def build_index(rows: list, owners: list, items: list) -> Index:
+    """``rows`` are (segment, term, weight), ``owners`` (segment, item), ``items`` (item, item_id, words)."""
     index = Index()
     numbers = {}
-    for segment, item, item_id, words in sorted(items):
+    for segment, item in sorted(owners):
         numbers[segment] = len(numbers)
         index.owner[numbers[segment]] = item
+    for item, item_id, words in items:
         index.item_ids[item] = item_id
         index.words[item] = [w.encode("utf-8", "surrogatepass") for w in words]
     by_term: dict[bytes, list] = {}
@@ -287,15 +291,18 @@ def _leaks_of_one(index: Index):
 
 def indexes(items: DataFrame) -> tuple[int, Iterator[Index]]:
     """The number of index blocks, and the blocks, each built when it is asked for."""
-    parts = stash(segments(items), "segments")
-    weights = stash(postings(parts), "postings")
-    blocks = -(-parts.count() // BLOCK_ITEMS)
+    whole = stash(worded(items), "items")
+    parts = stash(segments(whole), "segments")
+    weights = stash(postings(parts).join(parts.select("segment", "item"), "segment"), "postings")
+    size = whole.agg(F.sum(F.octet_length(F.concat_ws(" ", "words")))).first()[0]
+    blocks = -(-(size or 0) // BLOCK_BYTES)
 
     def build(block: int) -> Index:
-        mine = F.pmod(F.xxhash64("segment"), F.lit(blocks)) == block
+        mine = F.pmod(F.xxhash64("item"), F.lit(blocks)) == block
         return build_index(
             [tuple(r) for r in weights.where(mine).select("segment", "term", "weight").collect()],
-            [tuple(r) for r in parts.where(mine).select("segment", "item", "item_id", "words").collect()],
+            [tuple(r) for r in parts.where(mine).select("segment", "item").collect()],
+            [tuple(r) for r in whole.where(mine).select("item", "item_id", "words").collect()],
         )
 
     return blocks, map(build, range(blocks))
