@@ -15,7 +15,8 @@ Only DataFrame and SQL functions run. Positions are code points, ends exclusive.
    about as many digits, whatever the separators and prefixes. A span inside a longer one that
    is added falls out.
 
-A null text is empty and has no span. Rows are documents: repeated and null ids stay apart.
+A null text is empty and has no span. Rows are documents: repeated and null ids stay apart. The
+work on a text grows little more than its length, however many spans it has.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ GROUP = (
 NEAR_DIGITS = 2  # seeds with so many digits more or less count for a shape
 LEAST_SHAPE = 0.05
 CONTEXT = 60  # code points on either side of an instance that hold its context
+CUT = 1_000  # code points of the pieces that contexts are looked up in
+PIECE = 300  # matches whose places are summed at a time
 
 LUHN = """aggregate(
     sequence(1, length(d)), 0,
@@ -65,25 +68,57 @@ FIELDS = "s.start AS start, s.end AS end, s.value AS value"
 NO_SPANS = "cast(array() AS array<struct<start: bigint, end: bigint, value: string>>)"
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """All matches with their places: ``array<struct<start, end, value>>``."""
-    pairs = F.arrays_zip(
-        F.slice(
-            F.split(text, pattern, -1), 1, F.greatest(F.size(F.split(text, pattern, -1)) - 1, F.lit(0))
-        ).alias("before"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
-    )
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.expr(NO_SPANS).alias("found")
-    )
+def _length(piece: Column) -> Column:
+    """Code points of a piece of pairs (text before, match)."""
+    zero = F.lit(0).cast("bigint")
+    return F.aggregate(piece, zero, lambda n, p: n + F.length(p["before"]) + F.length(p["value"]))
+
+
+def _spans_of(piece: Column, at: Column) -> Column:
+    """The spans of a piece of pairs that begins at a code point."""
 
     def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["before"])
+        begin = (state["at"] + F.length(pair["before"])).cast("bigint")
         end = (begin + F.length(pair["value"])).cast("bigint")
-        span = F.struct(begin.cast("bigint").alias("start"), end.alias("end"), pair["value"].alias("value"))
+        span = F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(end.alias("at"), F.array_append(state["found"], span).alias("found"))
 
-    return F.aggregate(pairs, start, add, lambda state: state["found"])
+    start = F.struct(at.alias("at"), F.expr(NO_SPANS).alias("found"))
+    return F.aggregate(piece, start, add, lambda state: state["found"])
+
+
+def _placed(pairs: Column) -> Column:
+    """All spans of pairs: lengths are summed over pieces of ``PIECE``, then within each piece.
+
+    So appending copies short arrays only, and the work grows little more than their number.
+    """
+
+    def piece(k: Column) -> Column:
+        return F.slice(pairs, k * PIECE + 1, F.lit(PIECE))
+
+    last = F.floor((F.greatest(F.size(pairs), F.lit(1)) - 1) / PIECE).cast("int")
+    numbers = F.sequence(F.lit(0), last)
+    begins = F.aggregate(  # where each piece begins; and, too many, where the last one ends
+        F.transform(numbers, lambda k: _length(piece(k))),
+        F.array(F.lit(0).cast("bigint")),
+        lambda sums, n: F.array_append(sums, F.element_at(sums, -1) + n),
+    )
+    both = F.filter(F.arrays_zip(numbers.alias("k"), begins.alias("at")), lambda p: p["k"].isNotNull())
+    return F.flatten(F.transform(both, lambda p: _spans_of(piece(p["k"]), p["at"])))
+
+
+def spans(text: Column, pattern: str) -> Column:
+    """All matches with their places: ``array<struct<start, end, value>>``."""
+
+    def pairs(parts: Column) -> Column:
+        return F.arrays_zip(
+            F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))).alias("before"),
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
+        )
+
+    # Arrays of one hold what is used several times, so that it is made once.
+    paired = F.transform(F.array(F.split(text, pattern, -1)), pairs)
+    return F.element_at(F.transform(paired, _placed), 1)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -100,33 +135,72 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def with_places(docs: DataFrame) -> DataFrame:
-    """Adds ``places``: seeds (with kind) and candidates (kind null) with the text around."""
+    """Adds ``places``: seeds (with kind) and candidates (kind null) with the text around.
+
+    The text is cut in pieces of ``CUT`` code points, so that a context is looked up in two short
+    pieces and not in the whole text.
+    """
     seeds = "concat(" + ", ".join(f"transform({k}, s -> struct('{k}' AS kind, {FIELDS}))" for k in KINDS) + ")"
+    nothing = F.expr(NO_SPANS)
     candidates = F.concat(
-        F.when(F.col("text").rlike("[0-9@]"), spans(F.col("text"), CANDIDATE)).otherwise(F.expr(NO_SPANS)),
-        F.when(F.col("text").rlike(r"[0-9).+/-]\x20[(]?[0-9]"), spans(F.col("text"), GROUP)).otherwise(
-            F.expr(NO_SPANS)
-        ),
+        F.when(F.col("text").rlike("[0-9@]"), spans(F.col("text"), CANDIDATE)).otherwise(nothing),
+        F.when(F.col("text").rlike(r"[0-9).+/-]\x20[(]?[0-9]"), spans(F.col("text"), GROUP)).otherwise(nothing),
     )
+    open_ = f"transform(candidates, s -> struct(cast(NULL AS string) AS kind, {FIELDS}))"
+
+    def around(first: str, local: str, length: str) -> str:
+        """Text from a code point on: from the piece that holds it and the next."""
+        piece = f"int({first} div {CUT})"
+        both = f"concat(get(cuts, {piece}), coalesce(get(cuts, {piece} + 1), ''))"
+        return f"coalesce(substring({both}, int({local}) + 1, int({length})), '')"
+
+    begin = f"greatest(s.start - {CONTEXT}, 0)"
+    left = around(begin, f"{begin} % {CUT}", f"least(s.start, {CONTEXT})")
+    right = around("s.end", f"s.end % {CUT}", str(CONTEXT))
     return (
         docs.withColumn("seeds", F.expr(seeds))
         .withColumn("candidates", candidates)
-        .withColumn(
-            "candidates",
-            F.expr(
-                "transform(filter(candidates, c -> NOT exists(seeds, k -> c.start < k.end AND k.start < c.end)),"
-                " c -> struct(cast(NULL AS string) AS kind, c.start AS start, c.end AS end, c.value AS value))"
-            ),
-        )
+        .withColumn("cuts", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)))
         .withColumn(
             "places",
             F.expr(
-                f"transform(concat(seeds, candidates), s -> struct(s.kind AS kind, {FIELDS}, "
-                f"substring(text, int(greatest(s.start - {CONTEXT}, 0)) + 1, int(least(s.start, {CONTEXT}))) AS left,"
-                f" substring(text, int(s.end) + 1, {CONTEXT}) AS right))"
+                f"transform(concat(seeds, {open_}), s -> struct(s.kind AS kind, {FIELDS}, "
+                f"{left} AS left, {right} AS right))"
             ),
         )
-        .drop("seeds", "candidates")
+        .drop("seeds", "candidates", "cuts")
+    )
+
+
+def apart_from_seeds(places: DataFrame) -> DataFrame:
+    """The seeds, and the candidates that overlap none of their row.
+
+    In the order of starts, a candidate overlaps a seed if one before reaches beyond its start, or
+    the next one starts before its end.
+    """
+    seed = F.col("kind").isNotNull()
+    order = (F.col("start"), F.when(seed, 0).otherwise(1), F.col("end"))
+    inside = Window.partitionBy("row")
+    before = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    after = inside.orderBy(*(c.desc() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(seed, F.col("end"))).over(before)
+    following = F.min(F.when(seed, F.col("start"))).over(after)
+    clear = F.coalesce(reach <= F.col("start"), F.lit(True)) & F.coalesce(following >= F.col("end"), F.lit(True))
+    return places.withColumn("clear", seed | clear).where("clear").drop("clear")
+
+
+def outermost(found: DataFrame) -> DataFrame:
+    """Spans (``row``, ``kind``, ``start``, ``end``) that lie inside no longer one of their row."""
+    distinct = found.groupBy("row", "start", "end").agg(F.collect_set("kind").alias("kinds"))
+    before = (
+        Window.partitionBy("row")
+        .orderBy("start", F.desc("end"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        distinct.withColumn("reach", F.max("end").over(before))
+        .where("reach IS NULL OR reach < end")
+        .select("row", F.explode("kinds").alias("kind"), "start", "end")
     )
 
 
@@ -255,22 +329,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
     )
     held = stash(with_places(base_spans(rows)).drop("text"), "places")
-    places = patterned(held.select("row", F.explode("places").alias("p")).select("row", "p.*"))
-    added = (
+    listed = held.select("row", F.explode("places").alias("p")).select("row", "p.*")
+    places = stash(patterned(apart_from_seeds(listed)), "instances")
+    found = (
         places.where("kind is null")
         .drop("kind")
         .join(bootstrap(places), "value")
         .join(likely_shapes(places), ["kind", "form", "digits"], "left_semi")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-        .withColumn(
-            "added",
-            F.expr(
-                "filter(added, a -> NOT exists(added, b -> b.start <= a.start AND a.end <= b.end"
-                " AND b.end - b.start > a.end - a.start))"
-            ),
-        )
     )
+    added = outermost(found).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
     order = "CASE s.kind " + " ".join(f"WHEN '{k}' THEN {n}" for n, k in enumerate(KINDS)) + " END"
     base = "concat(" + ", ".join(
         f"transform({k}, s -> struct('{k}' AS kind, s.start AS start, s.end AS end))" for k in KINDS
