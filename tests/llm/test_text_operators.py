@@ -4,8 +4,10 @@ import gc
 import hashlib
 import itertools
 import re
+import time
 import weakref
 import zlib
+from html import unescape
 
 import numpy as np
 import public_tokenizers
@@ -148,10 +150,72 @@ def test_secrets_equal_regexes(spark, docs, odd, empty):
 @given(st.text("aAkKiIbB0=: \"'tokenTOKENpwdsr", max_size=60))
 @settings(max_examples=150, deadline=None)
 def test_automaton_places_equal_regex(text):
-    rule = secret_automaton.RULES[0]
-    automaton = secret_automaton.compile_rules((rule.match,), anchored=True)
-    data = text.encode().translate(automaton.classes.tobytes())
-    assert secret_automaton.matches(data, automaton) == [m.span() for m in ASSIGN.finditer(text)]
+    rules = [r for r in secret_automaton.RULES if r.kind in secret_automaton.BASE]
+    automaton = secret_automaton.compile_rules(tuple(r.match for r in rules), anchored=True)
+    wanted = [
+        (m.start(), k, m.end())
+        for k, pattern in enumerate((ASSIGN, re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")))
+        for m in pattern.finditer(text)
+    ]
+    assert secret_automaton.Placer(automaton).places(text.encode()) == sorted(wanted)
+
+
+def test_rules_are_parsed():
+    """Each form that rules use, beside the standard library's reading of it."""
+    patterns = ("a(b|cd)*e", "[x-z_]{2}-?", r"\x41[0-9]+|q", "(ab?)+c")
+    automaton = secret_automaton.compile_rules(patterns, anchored=True)
+    placer = secret_automaton.Placer(automaton)
+    for text in ("abcdbe cde ae", "xy-zz_x-", "A12q A", "abac abc aabbc", "", "qqAe"):
+        wanted = sorted((m.start(), k, m.end()) for k, p in enumerate(patterns) for m in re.finditer(p, text))
+        assert placer.places(text.encode()) == wanted
+    for bad in ("a)", "(a"):
+        with pytest.raises(ValueError):
+            secret_automaton.compile_rules((bad,), anchored=True)
+
+
+def test_long_texts_take_seconds(spark):
+    """Two megabytes with 100,000 numbers or secrets, and a megabyte of signs that open nothing."""
+    numbers = "".join(f"call +49 30 {k:07d} or pay {k:05d} " for k in range(50_000))
+    secrets_ = "".join(f"token=abcdefgh{k} é\n" for k in range(100_000))
+    made = spark.createDataFrame([(1, numbers), (2, secrets_), (3, "a@" * 300_000)], "doc_id long, text string")
+    began = time.monotonic()
+    found = {r["doc_id"]: r for r in pii_bootstrap.personal_data(made).collect()}
+    assert found[1]["n_phone"] == len(personal(numbers)[3])
+    assert found[1]["spans"].startswith("phone:5:")
+    held = {r["doc_id"]: r for r in secret_automaton.find_secrets(made).collect()}
+    assert held[2]["n_assign"] == 100_000 and held[2]["spans"].endswith(f":{len(secrets_) - 3}")
+    for sign in ("<", "<!--", "<script>", "<script ", "</script", "<html lang"):
+        shown = language_fusion.visible(sign * (1_000_000 // len(sign)))
+        assert len(shown) >= 0
+    assert time.monotonic() - began < 60
+
+
+OLD_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+
+
+@given(st.lists(st.sampled_from(["<", ">", "<!--", "-->", "<script>", "</SCRIPT >", "<style", "</style>", "a", " ", "&lt;", "<b>"]), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_visible_text_equals_regex(parts):
+    html = "".join(parts)
+    assert language_fusion.visible(html) == unescape(OLD_HIDDEN.sub(" ", html))
+
+
+def test_long_test_items(spark):
+    """An item of 100,000 words comes to the driver once, and several blocks find what one does."""
+    rng = np.random.default_rng(2)
+    long = " ".join(f"w{k}" for k in rng.integers(0, 50_000, 100_000))
+    items = spark.createDataFrame([(1, long), (2, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, long), (2, long[: len(long) // 3]), (3, "so one two three four five six"), (4, None)],
+        "doc_id long, text string",
+    )
+    for size in (decontaminate.BLOCK_BYTES, 1_000):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(decontaminate, "BLOCK_BYTES", size)
+            index = [i for _, blocks in [decontaminate.indexes(items)] for i in blocks]
+            assert sum(len(w) for i in index for w in i.words.values()) == 100_006
+            found = {r["doc_id"]: r["item_ids"] for r in decontaminate.leaks(docs, items).collect()}
+            assert found == {1: [1], 2: [], 3: [2], 4: []}
 
 
 @given(st.lists(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 70_000), min_size=1, max_size=200), min_size=1, max_size=4))
@@ -232,7 +296,9 @@ def test_leaks_equal_brute_force(spark, docs):
 @settings(max_examples=100, deadline=None)
 def test_wand_finds_all_above_threshold(items, query, least):
     rows = [(k, t, 1.0 / len(set(item))) for k, item in enumerate(items) for t in set(item)]
-    index = decontaminate.build_index(rows, [(k, k, k, item) for k, item in enumerate(items)])
+    index = decontaminate.build_index(
+        rows, [(k, k) for k in range(len(items))], [(k, k, item) for k, item in enumerate(items)]
+    )
     wanted = {}
     for k, t, w in rows:
         if t in query:
@@ -253,7 +319,7 @@ def test_leaks_on_odd_rows(spark, odd, empty):
 def test_leaks_over_several_index_blocks(spark, docs, monkeypatch):
     items = table(spark, "/root/testdata/sf0.001", "benchmark")
     whole = sorted(map(str, decontaminate.leaks(docs, items).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4_000)
     assert sorted(map(str, decontaminate.leaks(docs, items).collect())) == whole
 
 
@@ -270,7 +336,7 @@ def test_one_index_block_lives_at_a_time(spark, docs, odd, monkeypatch):
         return index
 
     monkeypatch.setattr(decontaminate, "build_index", watched)
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4_000)
     assert sorted(map(str, decontaminate.remove_leaks(docs, items).collect())) == whole
     assert len(alive) > 2 and max(alive) == 0
     assert decontaminate.leaks(odd, items).count() == odd.count()
