@@ -13,7 +13,8 @@ changes no answer.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, rows
 without vec_id neither. Vectors of another length than the query's are no candidates. Rows with the
-query's own vec_id are left out. Ties go to the smaller vec_id.
+query's own vec_id are left out. Ties go to the smaller vec_id. Rows that share a vec_id are one query,
+with the smallest of their vectors (by components in order, a shorter one that begins alike first).
 """
 
 from __future__ import annotations
@@ -165,7 +166,11 @@ def nearest(
         .select("dims", "shard", "block", "top", "vec_id", "embedding")
     )
     queries = (
-        counted.where(F.col("vec_id") % every == 0)
+        vectors.where(F.col("vec_id") % every == 0)
+        .groupBy("vec_id")
+        .agg(F.min("embedding").alias("embedding"))
+        .withColumn("dims", F.size("embedding"))
+        .join(F.broadcast(sizes), "dims")
         .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks).cast("int"))
         .withColumn("shard", F.explode(F.sequence(F.lit(0), shards - 1)))
         .select(*(F.col(c).alias(f"query_{c}") for c in ("dims", "shard", "block", "vec_id", "embedding")))
@@ -175,7 +180,7 @@ def nearest(
         if not len(some) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         some = some.sort_values("vec_id")
-        asked = asked.sort_values("query_vec_id").drop_duplicates("query_vec_id")
+        asked = asked.sort_values("query_vec_id")
         return search(
             some["vec_id"].to_numpy(),
             np.stack(some["embedding"].to_numpy()),

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from parcelpulse.llm import graph, minhash_dedup, mixture_cube, projected_neighbours, suffix_dedup
 from parcelpulse.llm.common import shingle_set, table
+from parcelpulse.session import new_folder
 
 
 def near_components(rows):
@@ -197,6 +198,17 @@ def test_neighbours_of_repeated_rows(spark):
     assert [r["vec_id"] for r in found][:6] == [41, 42, 1, 2, 4, 5]
 
 
+def test_rows_of_one_query_id_with_different_vectors(spark):
+    """The smallest vector asks, however the rows lie; all its other rows are left out."""
+    rows = [(20, [0.0, 1.0]), (20, [1.0, 0.0]), (20, [0.5, 5.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [1.0, 1.0, 1.0])]
+    answers = set()
+    for parts in (1, 3, 6):
+        made = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        made = made.selectExpr("*", "7 AS dims", "'x' AS shard").repartition(parts)
+        answers.add(tuple(tuple(r) for r in projected_neighbours.nearest(made).orderBy("rank").collect()))
+    assert answers == {((20, 1, 2, 1.0), (20, 2, 1, 0.1))}
+
+
 def test_ties_go_to_the_smaller_id():
     """More equal products than a search keeps otherwise, in one leaf and over leaves."""
     ids = np.random.default_rng(2).permutation(1_000)
@@ -281,3 +293,21 @@ def test_pipeline_stages(spark, docs):
         wanted.append((r["doc_id"], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     result = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in result) == sorted(wanted)
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, empty):
+    """Nulls, repeated and equal ids, long texts, clashing columns; no rows, no labels, no test items."""
+    labels = odd.where("doc_id is not null").selectExpr("doc_id", "1 AS quality", "cast(doc_id % 2 AS int) AS toxic", "text AS label")
+    items = spark.createDataFrame([(1, None, 1), (2, "one two three four five", 2)], "item_id long, text string, segment int")
+    clashing = odd.selectExpr("*", "1 AS label", "'p' AS part", "2 AS whole", "'k' AS key", "text AS tie")
+    for documents, known, tests in ((clashing, labels, items), (empty, labels, items), (odd, labels.where("false"), items.where("false"))):
+        folder = new_folder(spark, "tables")
+        for name, rows in (("documents", documents), ("labels", known), ("benchmark", tests)):
+            rows.write.parquet(f"{folder}/{name}.parquet")
+        now = table(spark, folder, "documents")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = corpus_pipeline.stash(stage(spark, now, folder), "stage")
+            assert now.columns == documents.columns, name
+        ids = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()]
+        assert len(ids) == now.count()
+        assert set(ids) <= {r["doc_id"] for r in documents.select("doc_id").collect()}
