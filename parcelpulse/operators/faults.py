@@ -36,12 +36,9 @@ def row_fault() -> Column:
     return F.expr(f"CASE {cases} END")
 
 
-def sound(parcels: DataFrame) -> DataFrame:
-    return parcels.where(row_fault().isNull())
-
-
-def faulty(parcels: DataFrame) -> DataFrame:
-    return parcels.withColumn("reason", row_fault()).where("reason IS NOT NULL").select(*FAILED)
+def faulty(judged: DataFrame) -> DataFrame:
+    """Of parcels with the ``reason`` of ``row_fault``, those that have one."""
+    return judged.where("reason IS NOT NULL").select(*FAILED)
 
 
 def without_result(

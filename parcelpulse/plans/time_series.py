@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelpulse.functions import geometry
 from parcelpulse.functions.indices import add_indices, computable, mask_clear
 from parcelpulse.operators import catalogue, clarity, faults, layout, mosaic, series, spatial
 from parcelpulse.operators.spatial import DAY_KEYS
@@ -107,17 +108,16 @@ def run_dates(parcels: DataFrame) -> tuple:
 def search(
     parcels: DataFrame, scenes: DataFrame, params: Params, start=None, end=None, utm=False
 ) -> Search:
-    rows = hold(with_range(parcels, start, end), "parcel-rows")
-    parcels = spatial.with_bounds(faults.sound(rows))
-    if utm:
-        parcels = spatial.in_batch_utm(parcels, params.batch_size_deg)
-    parcels = hold(parcels, "parcels")
+    judged = with_range(parcels, start, end).withColumn("reason", faults.row_fault())
+    rows = hold(judged.withColumns(geometry.bounds("rings")), "parcels")
+    parcels = rows.where("reason IS NULL").drop("reason")
     items, footprints = find_items(scenes, params, *run_dates(parcels), parcels)
     matches = spatial.match_footprints(parcels, footprints)
     if utm:
         matches = hold(matches, "matches")
         zones = spatial.footprint_zones(items, footprints)
-        parcels = hold(spatial.with_zones(parcels, matches, zones), "zoned-parcels")
+        own = spatial.in_batch_utm(parcels, params.batch_size_deg)
+        parcels = hold(spatial.with_zones(own, matches, zones), "zoned-parcels")
     days = hold(spatial.parcel_days(matches, items), "days")
     items = hold(catalogue.with_item_seq(needed_items(items, days)), "items")
     rings = "rings_utm" if utm else "rings"

@@ -5,11 +5,14 @@ Tables that the plans take:
 parcels  parcel_key LONG (unique per row), parcel_id STRING, source_file STRING,
          date_range STRING, start DATE, end DATE, rings RINGS
 scenes   item_id (any type), collection STRING, datetime TIMESTAMP_NTZ, rings RINGS,
-         cloud_cover DOUBLE, scale DOUBLE, offset DOUBLE, optional solar_lon DOUBLE
+         cloud_cover DOUBLE, scale DOUBLE, offset DOUBLE, optional solar_lon DOUBLE, epsg INT
+         (the zone that the pixels are stored in), and minx, miny, maxx, maxy DOUBLE, cell LONG
+         (where the scene is filed, as write_scenes stores it)
 pixels   item_id, y LONG, x LONG, one column per band, scl; one row per item and cell.
          Optional columns: parcel_key (samples already cut to a parcel window), epsg
          (the grid's UTM code), acq_day DATE (UTC day, best as partition column),
-         px_seq LONG (order of repeated samples of one item and cell)
+         px_seq LONG (order of repeated samples of one item and cell), and block_key, tile LONG
+         (where the pixel is stored, as write_pixels makes them)
 """
 
 from __future__ import annotations
