@@ -39,7 +39,7 @@ _SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), si
 
 BLOCK_TOKENS = 1 << 16
 BATCH_TEXTS = 256
-CACHED_WORDS = 250_000  # of each kind, twice: recent ones and those before
+CACHED_WORDS = 500_000  # twice: recent ones and those before
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
@@ -72,8 +72,6 @@ class Encoder:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        self.bodies: dict[str, bytes] = {}
-        self.older_bodies: dict[str, bytes] = {}
         # Bytes that print as themselves keep their character; others follow from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
@@ -117,26 +115,17 @@ class Encoder:
         ids = self._word(" " + body)
         return ids if body == word else ids + self._other(word[len(body) :])
 
-    def _letters(self, body: str) -> bytes:
-        """Ids of a blank and plain letters, which are met with different marks after them."""
-        ids = self.bodies.get(body) or self.older_bodies.get(body)
-        if ids is None:
-            ids = array("I", [t.id for t in self.tokenize(self.chars[32] + body)]).tobytes()
-        if len(self.bodies) >= CACHED_WORDS:
-            self.older_bodies, self.bodies = self.bodies, {}
-        self.bodies[body] = ids
-        return ids
-
     def _learn(self, word: str) -> bytes:
+        """Ids of a blank and a word; its letters are met with different marks after them."""
         ids = self.older.get(word)
         if ids is None:
             body = word.rstrip(".,;:!?")
             if not (body.isascii() and body.isalpha()):
                 ids = self._after_blank(word)
             elif len(body) == len(word):
-                ids = self._letters(body)
+                ids = array("I", [t.id for t in self.tokenize(self.chars[32] + body)]).tobytes()
             else:
-                ids = self._letters(body) + self._other(word[len(body) :])
+                ids = (self.recent.get(body) or self._learn(body)) + self._other(word[len(body) :])
         if len(self.recent) >= CACHED_WORDS:  # words not met for long are forgotten
             self.older, self.recent = self.recent, {}
         self.recent[word] = ids
