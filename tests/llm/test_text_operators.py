@@ -209,7 +209,7 @@ def test_long_test_items(spark):
         [(1, long), (2, long[: len(long) // 3]), (3, "so one two three four five six"), (4, None)],
         "doc_id long, text string",
     )
-    for size in (decontaminate.BLOCK_BYTES, 1_000):
+    for size in (decontaminate.BLOCK_BYTES, 300_000):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr(decontaminate, "BLOCK_BYTES", size)
             index = [i for _, blocks in [decontaminate.indexes(items)] for i in blocks]
