@@ -63,11 +63,12 @@ def rejected_ndvi(cube: DataFrame) -> DataFrame:
     """Unmasked NDVI per pixel beside the class, its date, and the parcel's date count.
 
     Takes a rejected cube, as computed or read back. A cube without red or nir has nothing
-    to show.
+    to show. It is held: the rows and the counts would each compute it.
     """
     missing = [b for b in REJECTED_BANDS if b not in cube.columns]
     if missing:
         raise ValueError(f"the cube lacks {missing}")
+    cube = hold(cube, "rejected")
     shown = add_indices(cube, ["NDVI"]).withColumn(
         "day", utc_day(F.col("time"))
     )
