@@ -234,7 +234,8 @@ def by_month(matches: DataFrame) -> DataFrame:
 
 def _in_range(matches: DataFrame, scenes: DataFrame) -> DataFrame:
     dated = scenes.withColumn("month", F.trunc("utc_day", "month"))
-    return by_month(matches).join(dated, ["footprint_id", "month"]).where(
+    # Merged: held matches are small as a file, but not with a row for each month.
+    return by_month(matches).hint("merge").join(dated, ["footprint_id", "month"]).where(
         F.col("utc_day").between(F.col("start"), F.col("end"))
     )
 
@@ -491,7 +492,7 @@ def window_pixels(
     cells = cells_of_days(window_cells(parcels, grid, pad), days)
     of_items = pixels_of_items(pixels, items.select("item_id", *DAY_KEYS[1:]), cells)
     near = clip_pixels(of_items, cells)
-    return near.join(days, DAY_KEYS, "left_semi").drop(*DAY_KEYS[1:])
+    return near.join(days.hint("merge"), DAY_KEYS, "left_semi").drop(*DAY_KEYS[1:])
 
 
 def resample_nearest(

@@ -165,13 +165,14 @@ def matched_pixels(
     the first, which Catalyst broadcasts while the held scene table is below the threshold.
     Sieves leave out most pixels that the first two would drop, and a cell meets the pixels
     of its parcel's footprints only. With ``few`` days, of those that have items, one more
-    goes before the last.
+    goes before the last. That one is merged: the days of all parcels, which compress well,
+    would be broadcast by the size of their files.
     """
     reached = spatial.cells_of_days(cells, days)
     clipped = spatial.clip_pixels(spatial.pixels_of_items(pixels, items, reached), reached)
     if few:
         clipped = sift(clipped, days, DAY_KEYS)
-    return clipped.join(days, DAY_KEYS)
+    return clipped.join(days.hint("merge"), DAY_KEYS)
 
 
 def sample_columns(pixels: DataFrame, bands: list[str]) -> DataFrame:

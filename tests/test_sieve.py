@@ -1,10 +1,13 @@
 """Rows that no partner waits for are left out before a shuffle, and no others."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from parcelpulse.operators import spatial
 from parcelpulse.operators.sieve import sift
+from parcelpulse.plans.rejected import rejected_ndvi
 from parcelpulse.plans.time_series import matched_pixels
 
 
@@ -71,3 +74,35 @@ def test_a_cell_meets_pixels_of_its_parcels_footprints_only(spark):
     clipped = spatial.clip_pixels(pixels.join(items, "item_id"), reached)
     # Parcel 2 has no day with footprint 7, so the pixels of scenes 1 and 3 do not meet it.
     assert {r.item_id for r in clipped.where("parcel_key = 2").collect()} == {2}
+
+
+def test_days_and_months_are_merged_not_broadcast(spark):
+    """As files they are small; in memory the driver could not build their hash tables."""
+    pixels, items, cells, days = _tables(spark)
+
+    def last_join(df):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return next(line for line in plan.splitlines() if "Join" in line)
+
+    assert "SortMergeJoin" in last_join(matched_pixels(pixels, cells, items, days))
+    matches = spark.sql("SELECT 1L AS parcel_key, 7L AS footprint_id, date'2000-01-01' AS start, date'2000-03-01' AS end")
+    assert "SortMergeJoin" in last_join(spatial.join_parcel_scene(matches, items))
+
+
+def test_rejected_ndvi_computes_its_cube_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    cube = spark.createDataFrame(
+        [("p", "a", "r", 1, y, 0, 0.1, 0.3, 8) for y in range(4)],
+        "parcel_id string, source_file string, date_range string, parcel_key long, y long, x long,"
+        " red double, nir double, scl long",
+    ).withColumns({"time": F.lit("2000-01-01 10:00:00").cast("timestamp_ntz"), "red": F.udf(count, "double")("red")})
+    cube = cube.withColumn("time", F.when(F.col("red") > 0, F.col("time")))
+    rows = rejected_ndvi(cube).collect()
+    assert [r.n_dates for r in rows] == [1] * 4
+    assert all(math.isclose(r.NDVI, 0.5) for r in rows)
+    assert seen.value == 4
