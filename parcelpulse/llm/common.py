@@ -6,6 +6,7 @@ import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,18 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Actions inside hand ``BATCH_ROWS`` rows at once to Python: 10,000 texts are held twice, there and in the JVM."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column of about ``limit`` bytes; one long text stands alone."""
     sizes = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]

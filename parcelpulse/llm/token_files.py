@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelpulse.llm.common import map_arrow, process_store, whole_text
+from parcelpulse.llm.common import map_arrow, process_store, small_batches, whole_text
 from parcelpulse.session import new_folder
 
 # Ids per word and bits of each, by selector; selector 0 escapes.
@@ -39,7 +39,7 @@ _SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), si
 
 BLOCK_TOKENS = 1 << 16
 BATCH_TEXTS = 256
-CACHED_WORDS = 500_000  # twice: recent ones and those before
+CACHED_WORDS = 450_000  # twice: recent ones and those before
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
@@ -51,6 +51,10 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 # so only a line break that stands alone is a place to cut.
 _FINE = re.compile(rf"(?<=[{_LATIN}])(?=[.,;:!?\n])|(?<=\S\n)(?=[{_LATIN}])")
 _WORD = re.compile(rf" ?[{_LATIN}]+")
+# A line that starts with a letter and does not end with white space.
+_LINE = re.compile(rf"[{_LATIN}](.*\S)?\Z")
+# Marks of ASCII but no digit; the tokenizer parts them from letters before.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class _Unsure(Exception):
@@ -72,6 +76,7 @@ class Encoder:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
         # Bytes that print as themselves keep their character; others follow from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
@@ -105,25 +110,46 @@ class Encoder:
             ids = self.marks[part] = array("I", found).tobytes()
         return ids
 
+    def _line_start(self, word: str) -> bytes:
+        """Ids of a word that stands after a line break."""
+        ids = self.starts.get(word)
+        if ids is None:
+            body = word.rstrip(_MARKS)
+            if not _WORD.fullmatch(body):
+                ids = self._piece(word)
+            elif len(body) == len(word):
+                ids = self._word(word)
+            else:
+                ids = self._line_start(body) + self._other(word[len(body) :])
+            if len(self.starts) >= CACHED_WORDS // 4:
+                self.starts.clear()
+            self.starts[word] = ids
+        return ids
+
     def _after_blank(self, word: str) -> bytes:
-        """Ids of a blank and a word."""
+        """Ids of a blank and what is more than letters and marks after them."""
         if not word or word != word.strip():
             raise _Unsure
-        body = word.rstrip(".,;:!?")
-        if not _WORD.fullmatch(body):
+        first, *lines = word.split("\n")
+        # A line break alone, before a letter, is a word of its own.
+        if not lines or first != first.rstrip() or not all(_LINE.match(x) for x in lines):
             return self._piece(" " + word)
-        ids = self._word(" " + body)
-        return ids if body == word else ids + self._other(word[len(body) :])
+        out = [self.recent.get(first) or self._learn(first)]
+        for line in lines:
+            out += self._other("\n"), self._line_start(line)
+        return b"".join(out)
 
     def _learn(self, word: str) -> bytes:
         """Ids of a blank and a word; its letters are met with different marks after them."""
         ids = self.older.get(word)
         if ids is None:
-            body = word.rstrip(".,;:!?")
-            if not (body.isascii() and body.isalpha()):
+            body = word.rstrip(_MARKS)
+            if not (body.isalpha() and (body.isascii() or _WORD.fullmatch(body))):
                 ids = self._after_blank(word)
+                if "\n" in word:  # hardly met again: its parts are kept
+                    return ids
             elif len(body) == len(word):
-                ids = array("I", [t.id for t in self.tokenize(self.chars[32] + body)]).tobytes()
+                ids = self._word(" " + word)
             else:
                 ids = (self.recent.get(body) or self._learn(body)) + self._other(word[len(body) :])
         if len(self.recent) >= CACHED_WORDS:  # words not met for long are forgotten
@@ -148,7 +174,8 @@ def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = ids.astype(np.uint64)
     n = len(ids)
     ends = np.cumsum(counts)
-    left = np.repeat(ends, counts) - np.arange(n)  # ids up to the end of the document
+    # Ids up to the end of the document; more than fit a word are alike.
+    left = np.minimum(np.repeat(ends, counts) - np.arange(n), max(COUNTS)).astype(np.int8)
     width = _CLASS[np.searchsorted(_LIMITS, ids, side="right")] if ids.max(initial=0) >> 16 else _SMALL[ids]
     selector = np.where(width > 60, 0, 15).astype(np.int8)
     widest, span = width, 1
@@ -158,10 +185,10 @@ def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(span, count - span)
             widest = np.maximum(widest[: len(widest) - step], widest[step:]) if len(widest) > step else widest[:0]
             span += step
-        fits = np.flatnonzero((widest <= WIDTHS[s]) & (left[: len(widest)] >= count))
-        if not len(fits):
+        fits = (widest <= WIDTHS[s]) & (left[: len(widest)] >= count)
+        if not fits.any():
             break  # more ids of fewer bits do not fit either
-        selector[fits] = s
+        np.copyto(selector[: len(fits)], s, where=fits)
     jumps = np.array(COUNTS, np.int64)[selector].tolist()
     heads, at = [], 0
     while at < n:
@@ -216,6 +243,7 @@ def _encode(definition: str, end_id: int, cuts: np.ndarray):
     def work(batch: pa.RecordBatch):
         store = process_store()
         if store.get("definition") != definition:
+            pa.default_memory_pool().release_unused()  # what other steps left in this worker
             store.update(definition=definition, encoder=Encoder(definition))
         encode = store["encoder"].encode
         for at in range(0, batch.num_rows, BATCH_TEXTS):
@@ -296,7 +324,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) ->
         "part int, doc_id bigint, tie bigint, n_tokens bigint, words binary",
     )
     ordered = coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "tie")
-    ordered.mapInArrow(_blocks, BLOCKS).write.parquet(path)
+    with small_batches(spark):
+        ordered.mapInArrow(_blocks, BLOCKS).write.parquet(path)
 
 
 def _read(batch: pa.RecordBatch):

@@ -7,6 +7,7 @@ import re
 import time
 import weakref
 import zlib
+from contextlib import contextmanager
 from html import unescape
 
 import numpy as np
@@ -379,3 +380,44 @@ def test_white_space_before_letters(before):
                 text = before + space + after
                 wanted = tokenizer.encode(text, add_special_tokens=False).ids
                 assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted, text
+
+
+def test_letters_are_encoded_once_whatever_stands_beside_them():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    tokenizer = Tokenizer.from_file(PATH)
+    met = []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda word: met.append(word) or tokenize(word)
+    text = "start " + " ".join(f"{w}{m}\n{v}{n}" for w in ("été", "word") for v in ("Über", "line") for m in ("", ",***", "&&&") for n in ("", "$$$"))
+    wanted = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted
+    assert len(met) == len(set(met)) == 5  # start, two words after a blank, two after a line break
+    assert not any("\n" in word for word in encoder.recent)
+
+
+def test_marks_and_lines_do_not_change_tokens():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    tokenizer = Tokenizer.from_file(PATH)
+    signs = ["a", "é", "日", "1", "'", "_", "<|endoftext|>", ".", "\n", "\t", "\x1c", " ", "s"]
+    for parts in itertools.product(signs, repeat=4):
+        text = "x " + "".join(parts)
+        wanted = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted, text
+    text = "x " + "\n".join(["line"] * 5000)
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_are_handed_over_in_small_batches(spark, docs, tmp_path, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(name), []
+    whole = token_files.small_batches
+
+    @contextmanager
+    def watched(session):
+        with whole(session):
+            seen.append(int(session.conf.get(name)))
+            yield
+
+    monkeypatch.setattr(token_files, "small_batches", watched)
+    token_files.write_tokens(docs.limit(5), PATH, str(tmp_path / "tokens"))
+    assert seen and max(seen) <= 512 and spark.conf.get(name) == before
