@@ -282,8 +282,10 @@ def cloudy_rejects(spark, sf) -> DataFrame:
 
 def write_rejected_cube(spark, sf):
     path = new_folder(spark, "rejected")
-    results.write_cube(cloudy_rejects(spark, sf), path, by_parcel=True)
-    return rounded(results.read_cube(spark, path), ["red", "nir"]).select(
+    cube = cloudy_rejects(spark, sf)
+    results.write_cube(cube, path, by_parcel=True)
+    # With its schema the many folders are listed once, not twice.
+    return rounded(results.read_cube(spark, path, schema=cube.schema), ["red", "nir"]).select(
         stamp("time").alias("time"),
         "parcel_key",
         "y",

@@ -41,13 +41,16 @@ def write_cube(cube: DataFrame, path: str, by_parcel: bool = False) -> None:
     folders does not grow with the parcels. A run covers whole files, so it replaces what
     it made before and leaves the cubes of other files. ``by_parcel`` makes a folder per
     parcel below each date range. Range partitioning on the full sort key splits a large
-    parcel over several files.
+    parcel over several files. A folder costs more than its few rows: with ``by_parcel`` the
+    ranges are not put together by their bytes, so that all tasks make folders.
     """
     folders = ["date_range", "parcel_id" if by_parcel else "source_file"]
     order = folders[1:] + CUBE_ORDER
+    spark = cube.sparkSession
+    ranges = [int(spark.conf.get("spark.sql.shuffle.partitions"))] if by_parcel else []
     (
         hold(cube, "cube")  # the ranges are sampled first, which would compute the cube twice
-        .repartitionByRange(*order)
+        .repartitionByRange(*ranges, *order)
         .sortWithinPartitions("date_range", *[c for c in order if c != "date_range"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

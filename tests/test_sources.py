@@ -223,3 +223,16 @@ def test_cube_without_red_is_an_error(spark):
     results.write_cube(cube(spark, 1, "r1", 0.1).drop("red"), path)
     with pytest.raises(ValueError, match="red"):
         results.read_cube(spark, path)
+
+
+def test_all_tasks_make_folders_of_parcels(spark, tmp_path):
+    path = str(tmp_path / "cubes")
+    rows = spark.range(64).selectExpr(
+        "cast(id AS string) AS parcel_id", "id AS parcel_key", "'r1' AS date_range", "'a.parquet' AS source_file",
+        "timestamp_seconds(id) AS time", "id AS y", "id AS x", "0.1 AS red", "0.2 AS nir",
+    )
+    results.write_cube(rows, path, by_parcel=True)
+    tasks = {p.name.split("-")[1] for p in (tmp_path / "cubes").rglob("part-*.parquet")}
+    assert len(tasks) > 1  # a few bytes each, they were put together in one
+    read = results.read_cube(spark, path, schema=rows.schema)
+    assert sorted(r["parcel_id"] for r in read.collect()) == sorted(map(str, range(64)))
