@@ -22,10 +22,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelpulse.llm.common import map_arrow, process_store, small_batches, whole_text
+from parcelpulse.llm.common import map_arrow, pieces, process_store, small_batches, text_bytes, whole_text
 from parcelpulse.session import new_folder
 
 # Ids per word and bits of each, by selector; selector 0 escapes.
@@ -38,34 +39,98 @@ _LIMITS = np.array([1 << int(w) for w in _CLASS[:-1]], np.uint64)
 _SMALL = _CLASS[np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right")]
 
 BLOCK_TOKENS = 1 << 16
-BATCH_TEXTS = 256
-CACHED_WORDS = 450_000  # twice: recent ones and those before
+BATCH_TEXTS = 256  # that are packed at once
+BATCH_BYTES = 2 << 20  # of texts that are cut and looked up at once
+CACHED_WORDS = 300_000  # twice: recent ones and those before
+KEPT_CHARS = 64  # of a piece other than letters that is kept
+STRUNG = 64  # new words that are encoded in one call
 BLOCKS = (
     "part int, block int, start bigint, n_tokens bigint, doc_ids array<bigint>, "
     "token_counts array<bigint>, word_counts array<bigint>, words binary"
 )
 
-_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-# The tokenizer parts the last of several white-space characters before a letter from the others,
-# so only a line break that stands alone is a place to cut.
-_FINE = re.compile(rf"(?<=[{_LATIN}])(?=[.,;:!?\n])|(?<=\S\n)(?=[{_LATIN}])")
-_WORD = re.compile(rf" ?[{_LATIN}]+")
-# A line that starts with a letter and does not end with white space.
-_LINE = re.compile(rf"[{_LATIN}](.*\S)?\Z")
-# Marks of ASCII but no digit; the tokenizer parts them from letters before.
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
+_NO_TEXT = b"\xff"  # does not occur in UTF-8
 
-class _Unsure(Exception):
-    """A blank beside other white space: the text cannot be cut at each blank."""
+# Kinds of bytes. Of those of no kind nothing is known, so there is no cut beside them.
+_BLANK, _BREAK, _LETTER, _DIGIT, _MARK, _QUOTE, _BEYOND = range(1, 8)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.zeros(256, np.uint8)
+    kinds[33:127] = _MARK
+    for chars, kind in ((r" ", _BLANK), ("\t\n\r", _BREAK), ("0123456789", _DIGIT), ("'", _QUOTE)):
+        kinds[list(chars.encode())] = kind
+    kinds[65:91] = kinds[97:123] = _LETTER
+    kinds[128:] = _BEYOND
+    return kinds
+
+
+def _borders() -> np.ndarray:
+    """By the kinds before and after: whether the tokenizer always starts a word there."""
+    seen, space = (_LETTER, _DIGIT, _MARK, _QUOTE, _BEYOND), (_BLANK, _BREAK)
+    table = np.zeros((8, 8), bool)
+    for before in seen:
+        table[before, space] = True
+    for before, after in ((_LETTER, (_DIGIT, _MARK, _QUOTE)), (_DIGIT, (_LETTER, _MARK, _QUOTE))):
+        table[before, after] = True
+    table[_MARK, (_LETTER, _DIGIT)] = True
+    table[_QUOTE, _DIGIT] = True  # before letters it may be a word with them, as in "don't"
+    return table.ravel()
+
+
+# As tables for bytes.translate, the fastest lookup of bytes.
+_KINDS = _kinds().tobytes()
+_BORDERS = _borders().tobytes().ljust(256, b"\0")
+# Letters of two bytes, the first of them 0xC3, by the second: all but the signs of times and division.
+_SECOND = np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+# White space beyond ASCII, by its bytes.
+_WHITE = [c.encode() for c in "\x85\xa0\u1680\u180e\u2028\u2029\u202f\u205f\u3000"]
+_WHITE += [chr(c).encode() for c in range(0x2000, 0x200C)]
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Places in ``data``, the bytes of texts, that the tokenizer never joins the sides of.
+
+    A byte-level tokenizer starts a word wherever letters, digits and marks change, and before
+    white space; the last of several white-space characters goes with what follows, and is a word
+    of its own unless it is a blank. The bounds of texts are cuts, and the only ones of ``whole`` texts.
+    """
+    kinds = np.frombuffer(bytearray(data.tobytes().translate(_KINDS)), np.uint8)
+    if kinds.max(initial=0) == _BEYOND:
+        padded = np.append(data, np.zeros(2, np.uint8))
+        at = np.flatnonzero(data == 0xC3)
+        at = at[_SECOND[padded[at + 1]]]
+        kinds[at] = kinds[at + 1] = _LETTER
+        for lead in sorted({w[0] for w in _WHITE}):
+            at = np.flatnonzero(data == lead)
+            for white in _WHITE if len(at) else ():
+                if white[0] == lead:
+                    hit = at[(padded[at + 1] == white[1]) & (padded[at + len(white) - 1] == white[-1])]
+                    for k in range(len(white)):
+                        kinds[hit + k] = 0
+    filled = np.diff(offsets) > 0
+    starts, ends = offsets[:-1][filled], offsets[1:][filled] - 1
+    before = np.append(np.uint8(0), kinds[:-1])
+    after = np.append(kinds[1:], np.uint8(0))
+    before[starts] = after[ends] = 0
+    followed = after >= _LETTER
+    cut = np.frombuffer(bytearray((before * np.uint8(8) + kinds).tobytes().translate(_BORDERS)), bool)
+    # Kinds from 1 to _BREAK are white space; 0 less 1 is 255.
+    cut |= (kinds - np.uint8(1) < _BREAK) & (before - np.uint8(1) < _BREAK) & followed
+    cut[starts] = True
+    cut[np.flatnonzero(cut & (kinds == _BREAK) & followed) + 1] = True
+    for k in np.flatnonzero(whole):
+        cut[offsets[k] + 1 : offsets[k + 1]] = False
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Whole texts to ids, by pieces that the tokenizer never joins, each encoded once.
 
-    A byte-level tokenizer starts a new word at a single blank between other characters, so
-    texts are cut there, and pieces already met are looked up. It equals encoding whole texts.
+    Many texts are cut and their distinct pieces found at once; these are looked up, and those
+    not met before are encoded. It equals encoding whole texts.
     """
 
     def __init__(self, definition: str):
@@ -73,14 +138,18 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenize = self.tokenizer.model.tokenize
+        # Their places are found before all others, so texts that hold one are not cut.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.starts: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
         # Bytes that print as themselves keep their character; others follow from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.chars = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        between = self.chars[_NO_TEXT[0]]
+        merged = any(between in token and token != between for token in self.tokenizer.get_vocab())
+        self.between = None if merged else self.tokenizer.token_to_id(between)
 
     def _word(self, word: str) -> bytes:
         """Ids of letters, maybe after a blank."""
@@ -90,83 +159,76 @@ class Encoder:
             shown = word.encode().decode("latin-1").translate(self.chars)
         return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if _WORD.fullmatch(piece):
-            return self._word(piece)
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Many are strung together by a byte that is never merged: a call for each string."""
+        if len(words) < STRUNG or self.between is None:
+            return [self._word(w) for w in words]
         out = []
-        for part in _FINE.split(piece):
-            if _WORD.fullmatch(part):
-                out.append(self._word(part))
+        for at in range(0, len(words), STRUNG):
+            string = _NO_TEXT.join([w.encode() for w in words[at : at + STRUNG]])
+            shown = string.decode("latin-1").translate(self.chars)
+            ids = np.array([t.id for t in self.tokenize(shown)], "<u4")
+            data, edges = ids.tobytes(), np.flatnonzero(ids == self.between) * 4
+            ends = [*edges.tolist(), len(data)]
+            out += [data[a:b] for a, b in zip([0, *(edges + 4).tolist()], ends, strict=True)]
+        return out
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        if len(self.recent) >= CACHED_WORDS:  # words not met for long are forgotten
+            self.older, self.recent = self.recent, {}
+        self.recent[piece] = ids
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of some distinct pieces."""
+        out = [*map(self.recent.get, pieces)]
+        words = []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            piece = pieces[k]
+            out[k] = ids = self.older.get(piece)
+            if ids is not None:
+                self._keep(piece, ids)
+            elif _WORD.fullmatch(piece):
+                words.append(k)
             else:
-                out.append(self._other(part))
-        return b"".join(out)
-
-    def _other(self, part: str) -> bytes:
-        ids = self.marks.get(part)
+                out[k] = self._other(piece)
+        for k, ids in zip(words, self._words([pieces[k] for k in words]), strict=True):
+            out[k] = ids
+            self._keep(pieces[k], ids)
+        return out
+
+    def _other(self, piece: str) -> bytes:
+        """Ids of what is not letters; long pieces are hardly met again and not kept."""
+        ids = self.others.get(piece)
         if ids is None:
-            found = self.tokenizer.encode(part, add_special_tokens=False).ids
-            if len(self.marks) >= CACHED_WORDS // 4:
-                self.marks.clear()
-            ids = self.marks[part] = array("I", found).tobytes()
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+            if len(piece) <= KEPT_CHARS:
+                if len(self.others) >= CACHED_WORDS // 4:
+                    self.others.clear()
+                self.others[piece] = ids
         return ids
 
-    def _line_start(self, word: str) -> bytes:
-        """Ids of a word that stands after a line break."""
-        ids = self.starts.get(word)
-        if ids is None:
-            body = word.rstrip(_MARKS)
-            if not _WORD.fullmatch(body):
-                ids = self._piece(word)
-            elif len(body) == len(word):
-                ids = self._word(word)
-            else:
-                ids = self._line_start(body) + self._other(word[len(body) :])
-            if len(self.starts) >= CACHED_WORDS // 4:
-                self.starts.clear()
-            self.starts[word] = ids
-        return ids
-
-    def _after_blank(self, word: str) -> bytes:
-        """Ids of a blank and what is more than letters and marks after them."""
-        if not word or word != word.strip():
-            raise _Unsure
-        first, *lines = word.split("\n")
-        # A line break alone, before a letter, is a word of its own.
-        if not lines or first != first.rstrip() or not all(_LINE.match(x) for x in lines):
-            return self._piece(" " + word)
-        out = [self.recent.get(first) or self._learn(first)]
-        for line in lines:
-            out += self._other("\n"), self._line_start(line)
-        return b"".join(out)
-
-    def _learn(self, word: str) -> bytes:
-        """Ids of a blank and a word; its letters are met with different marks after them."""
-        ids = self.older.get(word)
-        if ids is None:
-            body = word.rstrip(_MARKS)
-            if not (body.isalpha() and (body.isascii() or _WORD.fullmatch(body))):
-                ids = self._after_blank(word)
-                if "\n" in word:  # hardly met again: its parts are kept
-                    return ids
-            elif len(body) == len(word):
-                ids = self._word(" " + word)
-            else:
-                ids = (self.recent.get(body) or self._learn(body)) + self._other(word[len(body) :])
-        if len(self.recent) >= CACHED_WORDS:  # words not met for long are forgotten
-            self.older, self.recent = self.recent, {}
-        self.recent[word] = ids
-        return ids
+    def encode_texts(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end`` after each, and how many each has."""
+        data, offsets = text_bytes(texts)
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        starts = cuts(data, offsets, whole)
+        parts = pa.StringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)
+        ).dictionary_encode()
+        known = self._ids(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # After the pieces of each text comes its end.
+        last = np.searchsorted(starts, offsets[1:])
+        order = np.insert(parts.indices.to_numpy(), last, len(known))
+        ids = pa.array([*known, end], pa.large_binary()).take(pa.array(order))
+        edges = np.frombuffer(ids.buffers()[1], np.int64)[: len(order) + 1] // 4
+        counts = np.diff(edges[np.append(0, last + np.arange(1, len(last) + 1))])
+        return np.frombuffer(ids.buffers()[2] or b"", "<u4", int(edges[-1])), counts
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        first, *words = text.split(" ")
-        try:
-            if words and (not first or first != first.strip()):
-                raise _Unsure
-            get, learn = self.recent.get, self._learn
-            return self._piece(first) + b"".join([get(w) or learn(w) for w in words])
-        except _Unsure:
-            return b"".join(map(self._piece, _CUT.split(text)))
+        return self.encode_texts(pa.array([text], pa.string()))[0].tobytes()
 
 
 def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,30 +299,46 @@ def unpack(words: np.ndarray) -> np.ndarray:
     return ids
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``BATCH_BYTES`` of texts: fewer distinct pieces are looked up again."""
+    held, size = [], 0
+
+    def whole() -> Iterator[pa.RecordBatch]:
+        texts = pa.Table.from_batches(held).combine_chunks().to_batches()
+        held.clear()
+        for batch in texts:
+            for first, last in pieces(batch.column("text"), BATCH_BYTES):
+                yield batch.slice(first, last - first)
+
+    for batch in batches:
+        held.append(batch.set_column(batch.schema.get_field_index("text"), "text", batch.column("text").cast(pa.string())))
+        size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield from whole()
+            size = 0
+    if held:
+        yield from whole()
+
+
 def _encode(definition: str, end_id: int, cuts: np.ndarray):
     end = np.array([end_id], "<u4").tobytes()
 
-    def work(batch: pa.RecordBatch):
-        store = process_store()
-        if store.get("definition") != definition:
-            pa.default_memory_pool().release_unused()  # what other steps left in this worker
-            store.update(definition=definition, encoder=Encoder(definition))
-        encode = store["encoder"].encode
+    def packed(batch: pa.RecordBatch, encoder: Encoder) -> Iterator[pa.RecordBatch]:
+        ids, counts = encoder.encode_texts(batch.column("text"), end)
+        places = np.append(0, np.cumsum(counts))
         for at in range(0, batch.num_rows, BATCH_TEXTS):
-            part = batch.slice(at, BATCH_TEXTS)
-            coded = [encode(t) + end for t in part.column("text").to_pylist()]
-            counts = np.array([len(c) // 4 for c in coded], np.int64)
-            words, sizes = pack(np.frombuffer(b"".join(coded), "<u4"), counts)
+            part, n = batch.slice(at, BATCH_TEXTS), counts[at : at + BATCH_TEXTS]
+            words, sizes = pack(ids[places[at] : places[at + len(n)]], n)
             data = words.astype("<u8").tobytes()
             edges = np.append(0, np.cumsum(sizes)) * 8
-            ids = part.column("doc_id")
-            known = ids.fill_null(-(2**63)).to_numpy()
+            doc_ids = part.column("doc_id")
+            known = doc_ids.fill_null(-(2**63)).to_numpy()
             yield pa.record_batch(
                 {
                     "part": np.searchsorted(cuts, known, side="right").astype(np.int32),
-                    "doc_id": ids,
+                    "doc_id": doc_ids,
                     "tie": part.column("tie"),
-                    "n_tokens": counts,
+                    "n_tokens": n,
                     "words": pa.array(
                         [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)],
                         pa.binary(),
@@ -268,7 +346,15 @@ def _encode(definition: str, end_id: int, cuts: np.ndarray):
                 }
             )
 
-    return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = process_store()
+        if store.get("definition") != definition:
+            pa.default_memory_pool().release_unused()  # what other steps left in this worker
+            store.update(definition=definition, encoder=Encoder(definition))
+        for batch in _gathered(batches):
+            yield from packed(batch, store["encoder"])
+
+    return run
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,8 +404,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) ->
     # Quantiles of the ids alone; sampling the encoded rows would encode all texts twice.
     cuts = docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)
     cuts = np.unique(np.array(cuts, np.float64).astype(np.int64))
-    coded = map_arrow(
-        docs,
+    coded = docs.mapInArrow(
         _encode(Path(tokenizer).read_text(encoding="utf-8"), end_id, cuts),
         "part int, doc_id bigint, tie bigint, n_tokens bigint, words binary",
     )

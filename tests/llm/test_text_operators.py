@@ -3,6 +3,7 @@
 import gc
 import hashlib
 import itertools
+import random
 import re
 import time
 import weakref
@@ -12,6 +13,7 @@ from html import unescape
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -421,3 +423,35 @@ def test_texts_are_handed_over_in_small_batches(spark, docs, tmp_path, monkeypat
     monkeypatch.setattr(token_files, "small_batches", watched)
     token_files.write_tokens(docs.limit(5), PATH, str(tmp_path / "tokens"))
     assert seen and max(seen) <= 512 and spark.conf.get(name) == before
+
+
+def test_texts_are_cut_together_and_new_words_strung():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    tokenizer = Tokenizer.from_file(PATH)
+    calls = []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda word: calls.append(word) or tokenize(word)
+    words = [f"{a}{b}é" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    texts = [" ".join(words), "", "\n".join(words) + "\n\n", "\nWas", "", " ".join(reversed(words)), "a<|endoftext|>b c"]
+    for _ in range(2):
+        ids, counts = encoder.encode_texts(pa.array(texts), b"\2\0\0\0")
+        wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+    # 338 words with and without a blank, and three of the short texts, in strings of 64; none a second time.
+    assert len(calls) <= 6
+    ids, counts = encoder.encode_texts(pa.array(["", ""]))
+    assert ids.tolist() == [] and counts.tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_many_texts_encode_as_each_alone(seed):
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    tokenizer = Tokenizer.from_file(PATH)
+    signs = ["a", "Z", "é", "×", "œ", "日", "я", "7", "'", "'s", "_", ".", "\n", "\t", "\r", "\x0b", "\x1c", " ", "  ", "\x85", "\xa0", "“", " ", "　", "😀", "é", "\0"]
+    draw = random.Random(seed)
+    texts = ["".join(draw.choices(signs, k=draw.randrange(12))) for _ in range(5000)]
+    ids, counts = encoder.encode_texts(pa.array(texts))
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in wanted]
+    assert ids.tolist() == [i for w in wanted for i in w]
