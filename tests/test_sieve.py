@@ -106,3 +106,24 @@ def test_rejected_ndvi_computes_its_cube_once(spark):
     assert [r.n_dates for r in rows] == [1] * 4
     assert all(math.isclose(r.NDVI, 0.5) for r in rows)
     assert seen.value == 4
+
+
+def test_pairs_of_parcels_and_scenes_come_list_by_list(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "LISTED", 8, raising=False)
+    # Rows that come twice, parcels with dates of their own, a missing date, a footprint without a partner.
+    matches = spark.range(60).selectExpr(
+        "id % 50 AS parcel_key", "if(id % 5 = 0, 8L, 7L) AS footprint_id", "if(id = 9, NULL, date'2000-01-01') AS start",
+        "date_add(date'2000-01-10', cast(id % 3 AS int) * 20) AS end",
+    )
+    items = spark.range(200).selectExpr(
+        "id % 190 AS item_id", "if(id % 7 = 0, 9L, 7L) AS footprint_id",
+        "if(id = 3, NULL, date_add(date'2000-01-01', cast(id % 4 AS int) * 15)) AS utc_day", "id * 0.5 AS scale",
+    )
+    rows = spatial.join_parcel_scene(matches, items).coalesce(1)
+    assert set(rows.columns) == {"parcel_key", "start", "end", "item_id", "utc_day", "scale"}
+    plain = matches.join(items, "footprint_id").where("utc_day BETWEEN start AND end").select(*rows.columns)
+    got = rows.collect()
+    assert sorted(got) == sorted(plain.collect()) and len(got) > 2000
+    # A parcel's rows change places with others' after a list of scenes; they compress better so.
+    changes = sum(a.parcel_key != b.parcel_key for a, b in zip(got, got[1:]))
+    assert changes > len(got) / 40
