@@ -57,6 +57,7 @@ def map_arrow(
     """``mapInArrow`` for a function of one batch; it gets ``BATCH_ROWS`` rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 for out in work(batch.slice(at, BATCH_ROWS)):
@@ -190,3 +191,13 @@ def release(spark: SparkSession) -> None:
 def process_store() -> dict:
     """A dictionary that lives as long as the Python worker, over tasks."""
     return sys.modules.setdefault("_worker_store", types.ModuleType("_worker_store")).__dict__
+
+
+def forget() -> None:
+    """Let go what another step has kept in this Python worker, which Spark uses again."""
+    store = process_store()
+    kept = [name for name in store if not name.startswith("__")]
+    for name in kept:
+        del store[name]
+    if kept:
+        pa.default_memory_pool().release_unused()

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from parcelpulse.llm.common import stash
 
+# A round of few edges over many partitions would write as many tiny files.
+EDGES_PER_FILE, LEAST_FILES = 2_000, 8
+
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node``, ``component``: the smallest node reachable over ``edges`` (``a``, ``b``).
@@ -24,7 +27,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     state = _state(now)
     for _ in range(max_rounds):
-        now = stash(_small_star(_large_star(now)), "edges")
+        files = max(state[0] // EDGES_PER_FILE, LEAST_FILES)
+        now = stash(_small_star(_large_star(now)).coalesce(files), "edges")
         before, state = state, _state(now)
         if state == before:
             break

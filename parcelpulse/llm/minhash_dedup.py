@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.llm.common import (
+    forget,
     hash_shingles,
     hash_words,
     map_arrow,
@@ -38,6 +39,7 @@ from parcelpulse.llm.common import (
     pieces,
     release,
     shingle_set,
+    small_batches,
     stash,
     text_bytes,
 )
@@ -225,7 +227,8 @@ def one_of_each(docs: DataFrame, miss: float = MISS) -> DataFrame:
     It is the row of smallest id, and of rows with that id the first. Rows without words stay.
     """
     names = docs.columns
-    sets = stash(shingle_sets(docs, whole=True), "sets").withColumn("text", F.col("whole.text"))
+    with small_batches(docs.sparkSession):
+        sets = stash(shingle_sets(docs, whole=True), "sets").withColumn("text", F.col("whole.text"))
     found = components_of(sets, miss)
     named = sets.join(found, "print", "left")
     first = (
@@ -257,13 +260,17 @@ def components_of(sets: DataFrame, miss: float = MISS) -> DataFrame:
         "pairs",
     )
     release(star.sparkSession)
-    groups = stash(components(stash(verify(star, sets, miss), "links")), "groups")
+    links = verify(star, sets, miss)
+    with small_batches(star.sparkSession):  # pairs hold both texts
+        links = stash(links, "links")
+    groups = stash(components(links), "groups")
 
     done = star
     for every in (False, True):
         release(star.sparkSession)
         pairs = stash(_across(members, groups, sets, miss, every).join(done, ["a", "b"], "left_anti"), "pairs")
-        more = stash(confirm(pairs, sets), "links")
+        with small_batches(star.sparkSession):
+            more = stash(confirm(pairs, sets), "links")
         if not more.isEmpty():
             groups = extend(groups, more)
         done = done.unionByName(pairs)
@@ -323,6 +330,7 @@ def _meeting(rows: DataFrame, miss: float, mode: str) -> DataFrame:
 
 def _meet(miss: float, mode: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held = None  # rows of the last group: more of them may follow
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):

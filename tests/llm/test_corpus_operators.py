@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from parcelpulse.llm import graph, minhash_dedup, mixture_cube, projected_neighbours, suffix_dedup
+from parcelpulse.llm import common, graph, minhash_dedup, mixture_cube, projected_neighbours, suffix_dedup
 from parcelpulse.llm.common import shingle_set, table
 from parcelpulse.session import new_folder
 
@@ -311,3 +312,41 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, empty):
         ids = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()]
         assert len(ids) == now.count()
         assert set(ids) <= {r["doc_id"] for r in documents.select("doc_id").collect()}
+
+
+def test_a_worker_forgets_what_another_step_has_kept(spark):
+    """Spark uses its Python workers again: the encoder's words would lie beside the next step's data."""
+    from parcelpulse.llm.common import map_arrow, process_store
+
+    def keep(batches):
+        process_store()["encoder"] = "words"
+        yield from batches
+
+    def kept(batch):
+        yield pa.record_batch({"n": [sum(not k.startswith("__") for k in process_store())]})
+
+    rows = spark.range(8).repartition(1)
+    assert rows.mapInArrow(keep, "id long").count() == 8
+    assert {r.n for r in map_arrow(rows, kept, "n long").collect()} == {0}
+
+
+def test_rounds_of_components_write_as_many_files_as_their_edges_need(spark, monkeypatch):
+    seen = []
+
+    def stash(df, name):
+        held = common.stash(df, name)
+        seen.append(len(held.inputFiles()))
+        return held
+
+    monkeypatch.setattr(graph, "stash", stash)
+    monkeypatch.setattr(graph, "EDGES_PER_FILE", 20, raising=False)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        edges = spark.createDataFrame([(k, k + 1) for k in range(100) if k % 10], "a long, b long")
+        found = graph.components(edges).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.node, r.component) for r in found} == {(k, (k - 1) // 10 * 10 + 1) for k in range(1, 101)}
+    assert max(seen[1:]) <= 8
