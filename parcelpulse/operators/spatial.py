@@ -479,8 +479,13 @@ def clip_pixels(pixels: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def cells_of_days(cells: DataFrame, days: DataFrame) -> DataFrame:
-    """Add ``footprint_id``: a row per cell and footprint that the parcel has a day with."""
-    return cells.join(days.select("parcel_key", "footprint_id").distinct(), "parcel_key")
+    """Add ``footprint_id``: a row per cell and footprint that the parcel has a day with.
+
+    Merged: Catalyst sizes cells by the parcels' files, however many a parcel has, and once
+    it has planned a broadcast it keeps it whatever size it measures.
+    """
+    reached = days.select("parcel_key", "footprint_id").distinct()
+    return cells.hint("merge").join(reached, "parcel_key")
 
 
 def pixels_of_items(

@@ -157,7 +157,12 @@ def prune_pixels(
 
 
 def matched_pixels(
-    pixels: DataFrame, cells: DataFrame, items: DataFrame, days: DataFrame, few: bool = False
+    pixels: DataFrame,
+    cells: DataFrame,
+    items: DataFrame,
+    days: DataFrame,
+    few: bool = False,
+    scaled: DataFrame | None = None,
 ) -> DataFrame:
     """Pixels of the items, inside a parcel, on one of that parcel's days.
 
@@ -165,14 +170,17 @@ def matched_pixels(
     the first, which Catalyst broadcasts while the held scene table is below the threshold.
     Sieves leave out most pixels that the first two would drop, and a cell meets the pixels
     of its parcel's footprints only. With ``few`` days, of those that have items, one more
-    goes before the last. That one is merged: the days of all parcels, which compress well,
-    would be broadcast by the size of their files.
+    goes before the last. The last two are merged: cells and the days of all parcels, which
+    compress well, would be broadcast by the size of their files. ``scaled`` are the days with
+    columns that the pixels take from them.
     """
     reached = spatial.cells_of_days(cells, days)
-    clipped = spatial.clip_pixels(spatial.pixels_of_items(pixels, items, reached), reached)
+    of_items = spatial.pixels_of_items(pixels, items, reached)
+    clipped = spatial.clip_pixels(of_items, reached.hint("merge"))
     if few:
         clipped = sift(clipped, days, DAY_KEYS)
-    return clipped.join(days.hint("merge"), DAY_KEYS)
+    last = days if scaled is None else scaled
+    return clipped.join(last.hint("merge"), DAY_KEYS)
 
 
 def sample_columns(pixels: DataFrame, bands: list[str]) -> DataFrame:
@@ -225,12 +233,12 @@ def spectral_cube(
     coarser table is looked up for the matched pixels only.
     """
     items = needed_items(found.items, days)
-    wanted = days.select(*DAY_KEYS)
+    wanted, scaled = days.select(*DAY_KEYS), None
     scene_columns = ITEM_COLUMNS
     if per_item_scale:
         scene_columns = [*ITEM_COLUMNS, "scale", "offset"]
     else:
-        wanted = wanted.join(mosaic.first_item_scale(days), "parcel_key")
+        scaled = wanted.hint("merge").join(mosaic.first_item_scale(days), "parcel_key")
     own = [CLASS_BAND] if classes is None else []
     px = matched_pixels(
         sample_columns(prune_pixels(pixels, found, days, grid), [*bands, *own]),
@@ -238,6 +246,7 @@ def spectral_cube(
         items.select(*scene_columns),
         wanted,
         few=True,
+        scaled=scaled,
     )
     if classes is not None:
         coarse = sample_columns(prune_pixels(classes, found, days, class_grid), [CLASS_BAND])

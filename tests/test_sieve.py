@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from parcelpulse.operators import spatial
 from parcelpulse.operators.sieve import sift
 from parcelpulse.plans.rejected import rejected_ndvi
-from parcelpulse.plans.time_series import matched_pixels
+from parcelpulse.plans.time_series import Search, matched_pixels, spectral_cube
+from parcelpulse.schema import RINGS, Grid
+from parcelpulse.session import hold
 
 
 @pytest.mark.parametrize("kinds", [("int", "long"), ("long", "long"), ("string", "string"), ("date", "date")])
@@ -127,3 +129,27 @@ def test_pairs_of_parcels_and_scenes_come_list_by_list(spark, monkeypatch):
     # A parcel's rows change places with others' after a list of scenes; they compress better so.
     changes = sum(a.parcel_key != b.parcel_key for a, b in zip(got, got[1:]))
     assert changes > len(got) / 40
+
+
+def joins_on_parcels(df):
+    """The joins on the key of a parcel in the plan that Catalyst starts with."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "Join [parcel_key#" in line]
+
+
+def test_cells_and_days_with_a_scale_are_not_broadcast(spark):
+    """As files they are small, and a broadcast that was planned is kept at any size."""
+    pixels, items, cells, days = _tables(spark)
+    assert ["SortMergeJoin" in j for j in joins_on_parcels(spatial.cells_of_days(cells, days))] == [True]
+    day = F.lit("2000-01-01").cast("timestamp_ntz")
+    held = hold(days.withColumns({"datetime": day, "item_id": F.lit(1), "scale": F.lit(0.5), "offset": F.lit(1.0)}), "days")
+    parcels = spark.createDataFrame(
+        [(k, [[(0.0, 0.0), (1.0, 0.0), (1.0, 2.0), (0.0, 2.0)]]) for k in (1, 2)],
+        f"parcel_key long, rings {RINGS.simpleString()}",
+    )
+    found = Search(hold(parcels, "parcels"), items.withColumn("item_seq", F.col("item_id")), held, "rings", None)
+    values = pixels.withColumns({"nir": F.lit(7), "scl": F.lit(4)})
+    cube = spectral_cube(values, found, held, Grid(1), ["red"])
+    joins = joins_on_parcels(cube)
+    assert len(joins) >= 4 and all("SortMergeJoin" in j for j in joins)
+    assert sorted((r.parcel_key, r.y, r.red) for r in cube.collect()) == [(1, 0, 6.0), (1, 1, 6.5), (2, 0, 11.0), (2, 1, 11.5)]
