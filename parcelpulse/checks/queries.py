@@ -246,8 +246,7 @@ def stamped_cube(spark, sf, params):
     found = full_search(spark, sf, params=params)
     days_ok = usable(spark, sf, found, params)
     cube, days = ts.masked_cube(fx.pixels(spark, sf), found, days_ok, params, fx.GRID)
-    timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
-    return series.stamp_provenance(timed, found.parcels)
+    return series.stamp(cube, days, found.parcels)
 
 
 def write_pixel_cube(spark, sf):

@@ -30,8 +30,22 @@ def day_times(days: DataFrame) -> DataFrame:
 
 
 def stamp_provenance(df: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Add parcel_id, source_file and date_range by parcel row, not by parcel id."""
-    return df.join(parcels.select("parcel_key", *PROVENANCE), "parcel_key")
+    """Add parcel_id, source_file and date_range by parcel row, not by parcel id.
+
+    Merged: a held parcel table is many times larger than its files, by which Catalyst would
+    broadcast it.
+    """
+    return df.join(parcels.select("parcel_key", *PROVENANCE).hint("merge"), "parcel_key")
+
+
+def stamp(df: DataFrame, days: DataFrame, parcels: DataFrame) -> DataFrame:
+    """Add time and provenance to rows of parcels and solar days, such as the cells of a cube.
+
+    Parcel days get both first, as they are fewer, so that ``df`` is joined once. Merged, as
+    all tables with a row per parcel and day: held days are small as files only.
+    """
+    times = stamp_provenance(day_times(days), parcels)
+    return df.join(times.hint("merge"), PARCEL_DAY)
 
 
 def assemble_cube(df: DataFrame, bands: list[str], indices: list[str], keys: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelpulse.functions.dates import utc_day
 from parcelpulse.functions.indices import add_indices
-from parcelpulse.operators import clarity, series
+from parcelpulse.operators import series
 from parcelpulse.params import Params
 from parcelpulse.plans.time_series import (
     Search,
@@ -31,12 +31,11 @@ def cube_of_rejected(
     class_grid: Grid | None = None,
 ) -> DataFrame:
     """Red, nir (scaled, clipped, not masked) and class of all dates of rejected parcels."""
-    days = hold(found.days.join(usable, "parcel_key", "left_anti"), "rejected-days")
+    days = hold(found.days.join(usable.hint("merge"), "parcel_key", "left_anti"), "rejected-days")
     cube = spectral_cube(
         pixels, found, days, grid, REJECTED_BANDS, params.per_item_scale, classes, class_grid
     )
-    timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
-    return series.stamp_provenance(timed, found.parcels)
+    return series.stamp(cube, days, found.parcels)
 
 
 def rejected_cube(

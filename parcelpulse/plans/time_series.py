@@ -290,9 +290,7 @@ def finish_series(
     indices = [c for c in cube.columns if c in params.indices]
     means = series.spatial_mean(cube, bands + indices)
     kept = series.drop_all_null(means, params.indices)
-    timed = kept.join(series.day_times(days), clarity.PARCEL_DAY)
-    stamped = series.stamp_provenance(timed, parcels)
-    return stamped.select(
+    return series.stamp(kept, days, parcels).select(
         "time", *bands, *indices, *series.PROVENANCE, "parcel_key", "solar_day"
     )
 

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from parcelpulse.operators import spatial
+from parcelpulse.operators import series, spatial
 from parcelpulse.operators.sieve import sift
 from parcelpulse.plans.rejected import rejected_ndvi
 from parcelpulse.plans.time_series import Search, matched_pixels, spectral_cube
@@ -153,3 +153,22 @@ def test_cells_and_days_with_a_scale_are_not_broadcast(spark):
     joins = joins_on_parcels(cube)
     assert len(joins) >= 4 and all("SortMergeJoin" in j for j in joins)
     assert sorted((r.parcel_key, r.y, r.red) for r in cube.collect()) == [(1, 0, 6.0), (1, 1, 6.5), (2, 0, 11.0), (2, 1, 11.5)]
+
+
+def test_stamps_are_not_broadcast(spark):
+    days = spark.sql(
+        "SELECT 1L AS parcel_key, date'2000-01-01' AS solar_day, timestamp_ntz'2000-01-01 10:00:00' AS datetime"
+        " UNION ALL SELECT 1L, date'2000-01-01', timestamp_ntz'2000-01-01 09:00:00'"
+    )
+    # Two rows of one parcel give two rows each, a cell without a day or a parcel none.
+    parcels = spark.createDataFrame(
+        [(1, "a", "f", "r"), (1, None, "g", "r"), (2, "b", "f", "r")],
+        "parcel_key long, parcel_id string, source_file string, date_range string",
+    )
+    cells = spark.sql("SELECT * FROM VALUES (1L, date'2000-01-01', 5L, 6L), (2L, date'2000-01-01', 5L, 6L) t(parcel_key, solar_day, y, x)")
+    shown = series.stamp(hold(cells, "cells"), hold(days, "days"), hold(parcels, "parcels"))
+    assert shown.columns == ["parcel_key", "solar_day", "y", "x", "time", *series.PROVENANCE]
+    got = {(r.parcel_key, r.y, str(r.time), r.parcel_id, r.source_file) for r in shown.collect()}
+    assert got == {(1, 5, "2000-01-01 09:00:00", k, f) for k, f in (("a", "f"), (None, "g"))}
+    joins = joins_on_parcels(shown)
+    assert len(joins) == 2 and all("SortMergeJoin" in j for j in joins)
