@@ -62,7 +62,8 @@ def rejected_ndvi(cube: DataFrame) -> DataFrame:
     """Unmasked NDVI per pixel beside the class, its date, and the parcel's date count.
 
     Takes a rejected cube, as computed or read back. A cube without red or nir has nothing
-    to show. It is held: the rows and the counts would each compute it.
+    to show. It is held: the rows and the counts would each compute it. The two are merged:
+    held, even a cube may be small enough as files to be broadcast, its rows are not.
     """
     missing = [b for b in REJECTED_BANDS if b not in cube.columns]
     if missing:
@@ -72,6 +73,6 @@ def rejected_ndvi(cube: DataFrame) -> DataFrame:
         "day", utc_day(F.col("time"))
     )
     counts = cube.groupBy("parcel_key").agg(F.count_distinct("time").alias("n_dates"))
-    return shown.join(counts, "parcel_key").select(
+    return shown.hint("merge").join(counts, "parcel_key").select(
         *series.PROVENANCE, "parcel_key", "day", "y", "x", CLASS_BAND, "NDVI", "n_dates"
     )

@@ -172,3 +172,14 @@ def test_stamps_are_not_broadcast(spark):
     assert got == {(1, 5, "2000-01-01 09:00:00", k, f) for k, f in (("a", "f"), (None, "g"))}
     joins = joins_on_parcels(shown)
     assert len(joins) == 2 and all("SortMergeJoin" in j for j in joins)
+
+
+def test_rows_of_rejected_ndvi_are_not_broadcast(spark):
+    cube = spark.createDataFrame(
+        [("p", "a", "r", k, y, 0, 0.1, 0.3, 8) for k in (1, 2) for y in range(k)],
+        "parcel_id string, source_file string, date_range string, parcel_key long, y long, x long,"
+        " red double, nir double, scl long",
+    ).withColumn("time", F.date_add(F.lit("2000-01-01"), F.col("y").cast("int")).cast("timestamp_ntz"))
+    shown = rejected_ndvi(cube)
+    assert ["SortMergeJoin" in j for j in joins_on_parcels(shown)] == [True]
+    assert sorted((r.parcel_key, r.n_dates) for r in shown.collect()) == [(1, 1), (2, 2), (2, 2)]
