@@ -45,22 +45,24 @@ def keep_usable(items: DataFrame, usable: DataFrame, utc_day_match: bool = False
 
     By default days match as they were grouped, by solar day. With ``utc_day_match`` an
     item is kept when its UTC day equals the UTC day of the first item of some usable
-    group, which loses items whose group began on the UTC day before.
+    group, which loses items whose group began on the UTC day before. Merged: a held table of
+    usable days is many times larger than its files, by which Catalyst would broadcast it.
     """
+    usable = usable.hint("merge")
     if not utc_day_match:
         return items.join(usable, PARCEL_DAY, "left_semi")
     first = items.groupBy(*PARCEL_DAY).agg(F.to_date(F.min("datetime")).alias("utc_day"))
     days = first.join(usable, PARCEL_DAY, "left_semi").select("parcel_key", "utc_day")
-    return items.join(days, ["parcel_key", "utc_day"], "left_semi")
+    return items.join(days.hint("merge"), ["parcel_key", "utc_day"], "left_semi")
 
 
 def without_scene(parcels: DataFrame, matched: DataFrame) -> DataFrame:
     """Parcels that no scene intersects."""
-    return parcels.join(matched, "parcel_key", "left_anti")
+    return parcels.join(matched.hint("merge"), "parcel_key", "left_anti")
 
 
 def rejected(parcels: DataFrame, matched: DataFrame, usable: DataFrame) -> DataFrame:
     """Parcels with scenes but without a usable day."""
-    return parcels.join(matched, "parcel_key", "left_semi").join(
-        usable, "parcel_key", "left_anti"
+    return parcels.join(matched.hint("merge"), "parcel_key", "left_semi").join(
+        usable.hint("merge"), "parcel_key", "left_anti"
     )

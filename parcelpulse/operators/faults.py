@@ -44,10 +44,13 @@ def faulty(judged: DataFrame) -> DataFrame:
 def without_result(
     parcels: DataFrame, days: DataFrame, usable: DataFrame, series: DataFrame
 ) -> DataFrame:
-    """Sound parcels that have no row in ``series``, with what they lack first."""
+    """Sound parcels that have no row in ``series``, with what they lack first.
+
+    Merged: held days and points are small as files only.
+    """
 
     def known(df: DataFrame, flag: str) -> DataFrame:
-        return df.select("parcel_key", F.lit(True).alias(flag)).distinct()
+        return df.select("parcel_key", F.lit(True).alias(flag)).distinct().hint("merge")
 
     reason = (
         F.when(F.col("has_scene").isNull(), NO_SCENE)
@@ -56,7 +59,7 @@ def without_result(
     )
     return (
         parcels.select("parcel_key", *PROVENANCE)
-        .join(series.select("parcel_key"), "parcel_key", "left_anti")
+        .join(series.select("parcel_key").hint("merge"), "parcel_key", "left_anti")
         .join(known(days, "has_scene"), "parcel_key", "left")
         .join(known(usable, "has_day"), "parcel_key", "left")
         .withColumn("reason", reason)

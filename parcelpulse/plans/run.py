@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpulse.operators import clarity, faults, series
+from parcelpulse.operators import faults, series
 from parcelpulse.params import Params, problems_text
 from parcelpulse.plans.rejected import cube_of_rejected
 from parcelpulse.plans.time_series import (
@@ -104,15 +104,15 @@ def run_parcels(
     usable = hold(usable, "usable")
     cube, days = masked_cube(pixels, found, usable, params, grid, **coarse)
     if params.save_cube:
-        timed = cube.join(series.day_times(days), clarity.PARCEL_DAY)
-        stamped = series.stamp_provenance(timed, found.parcels)
+        stamped = series.stamp(cube, days, found.parcels)
         write_cube(stamped, paths.cube)
         saved = read_cube(parcels.sparkSession, paths.cube, schema=stamped.schema)
         mine = found.parcels.select(
             *(F.col(c).alias(f"own_{c}") for c in ("parcel_key", *series.PROVENANCE))
         )
         same = [saved[c].eqNullSafe(mine[f"own_{c}"]) for c in ("parcel_key", *series.PROVENANCE)]
-        cube = saved.join(mine, same, "left_semi").select(*cube.columns)
+        # Merged, as parcels would be broadcast by the size of their files.
+        cube = saved.join(mine.hint("merge"), same, "left_semi").select(*cube.columns)
     if params.debug_cloud:
         write_cube(
             cube_of_rejected(pixels, found, usable, params, grid, **coarse),

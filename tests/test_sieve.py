@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from parcelpulse.operators import series, spatial
+from parcelpulse.operators import clarity, faults, series, spatial
 from parcelpulse.operators.sieve import sift
 from parcelpulse.plans.rejected import rejected_ndvi
 from parcelpulse.plans.time_series import Search, matched_pixels, spectral_cube
@@ -183,3 +183,33 @@ def test_rows_of_rejected_ndvi_are_not_broadcast(spark):
     shown = rejected_ndvi(cube)
     assert ["SortMergeJoin" in j for j in joins_on_parcels(shown)] == [True]
     assert sorted((r.parcel_key, r.n_dates) for r in shown.collect()) == [(1, 1), (2, 2), (2, 2)]
+
+
+def test_parcels_without_a_result_are_merged(spark):
+    """Days and points of all parcels are many rows, however small they are as files."""
+    names = ["parcel_key", *series.PROVENANCE]
+    parcels = spark.createDataFrame([(k, str(k), "f", "r") for k in range(4)], names)
+    frames = [spark.range(n).withColumnRenamed("id", "parcel_key") for n in (3, 2, 1)]
+    failed = faults.without_result(parcels, *(hold(f.unionAll(f), "keys") for f in frames))
+    joins = joins_on_parcels(failed)
+    assert len(joins) == 3 and all("SortMergeJoin" in j for j in joins)
+    reasons = [(1, faults.NO_INDEX), (2, faults.NO_USABLE_DAY), (3, faults.NO_SCENE)]
+    assert sorted((r.parcel_key, r.reason) for r in failed.collect()) == reasons
+
+
+@pytest.mark.parametrize("utc", [False, True])
+def test_usable_days_are_merged(spark, utc):
+    """Held, they are few bytes; a row that comes twice or without a key changes nothing."""
+    days = spark.sql(
+        "SELECT cast(nullif(id, 3) AS bigint) AS parcel_key, date'2000-01-01' AS solar_day, date'2000-01-01' AS utc_day,"
+        " timestamp_ntz'2000-01-01 10:00:00' AS datetime FROM range(4)"
+    )
+    usable = hold(days.where("parcel_key = 2 OR parcel_key IS NULL").select("parcel_key", "solar_day"), "usable")
+    usable = usable.unionAll(usable)
+    kept = clarity.keep_usable(hold(days, "days"), usable, utc)
+    none = clarity.rejected(days.select("parcel_key"), hold(days, "days"), usable)
+    for df in (kept, none, clarity.without_scene(days, hold(days, "days"))):
+        joins = joins_on_parcels(df)
+        assert joins and all("SortMergeJoin" in j for j in joins)
+    assert [r.parcel_key for r in kept.collect()] == [2]
+    assert sorted(r.parcel_key for r in none.collect()) == [0, 1]
