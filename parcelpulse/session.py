@@ -66,8 +66,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def hold(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once, as a table in the shared folder, and read it from there.
 
-    The table survives lost executors, cuts the lineage, and has a known size, so Catalyst
-    broadcasts it in later joins exactly when it is small.
+    The table survives lost executors, cuts the lineage, and has a known size. That is the size
+    of its files: rows that compress well are many times larger, so joins merge tables that
+    grow with parcels times days.
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
