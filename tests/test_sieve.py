@@ -213,3 +213,17 @@ def test_usable_days_are_merged(spark, utc):
         assert joins and all("SortMergeJoin" in j for j in joins)
     assert [r.parcel_key for r in kept.collect()] == [2]
     assert sorted(r.parcel_key for r in none.collect()) == [0, 1]
+
+
+def test_pairs_of_one_footprint_and_month_are_listed_by_many_tasks(spark, monkeypatch):
+    """The lists are few bytes, the pairs many rows."""
+    monkeypatch.setattr(spatial, "LISTED", 8)
+    matches = spark.range(200).selectExpr(
+        "id AS parcel_key", "7L AS footprint_id", "date'2000-01-01' AS start", "date'2000-01-31' AS end"
+    )
+    items = spark.range(300).selectExpr("id AS item_id", "7L AS footprint_id", "date'2000-01-05' AS utc_day")
+    pairs = spatial.join_parcel_scene(hold(matches, "matches"), hold(items, "items"))
+    rows = pairs.select("parcel_key", "item_id", F.spark_partition_id().alias("task"))
+    got = rows.collect()
+    assert len({(r.parcel_key, r.item_id) for r in got}) == len(got) == 200 * 300
+    assert len({r.task for r in got}) > 1
